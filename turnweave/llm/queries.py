@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnweave.llm import repetition
+from turnweave.llm import bpe, repetition
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -17,8 +20,13 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_quality(_docs(spark, sf_dir))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.decode(bpe.encode(_docs(spark, sf_dir), RANKS), RANKS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
+    "op7_bpe": op7_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
