@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnweave.llm import bpe, repetition
+from turnweave.llm import bpe, jaccard, repetition
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -20,12 +20,17 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_quality(_docs(spark, sf_dir))
 
 
+def op2_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_docs(spark, sf_dir), n_gram=3, percent=90)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(_docs(spark, sf_dir), RANKS), RANKS))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
+    "op2_parity_join": op2_parity_join,
     "op7_bpe": op7_bpe,
 }
 
