@@ -1,13 +1,14 @@
 """Byte-level BPE encoding and decoding with a global distinct-word shuffle.
 
-1. Each task cuts its texts into pre-tokens, block by block (about `BLOCK_BYTES` of text), and keeps a block as a list
-   of distinct words plus, for each pre-token in its position, the word's number in that list.
+1. Each task cuts its texts into pre-tokens, block by block (about `BLOCK_BYTES` of text): a list of the block's distinct
+   words, and for each pre-token in its position the word's number in that list.
 2. The blocks' distinct words are shuffled by word, so a word is encoded in one task, once (its task remembers it).
-3. The ids go back to the blocks; there they are joined to the word numbers and reassembled by position.
+3. The ids meet the blocks' numbers again (a cogroup by block), are joined to them and reassembled by position.
 
-Pre-tokens themselves are never shuffled as rows: a block's numbers travel packed, and its list holds each word once.
-Decoding joins ids with the token-byte table, whose size is that of the vocabulary file. A block is named by its task and
-its place in the task, so the input must come from a deterministic plan (files, or a written table).
+Pre-tokens themselves are never shuffled as rows: a block's numbers travel packed, once, and its list holds a word once.
+Words and numbers come from two passes over the texts, which costs less than shuffling the numbers twice. A block's name is
+a hash of its content, so both passes agree if the input cuts into the same batches again: read it from files or from a
+written table, not from a shuffle. Decoding joins ids with the token-byte table, whose size is that of the vocabulary file.
 """
 
 from __future__ import annotations
@@ -21,15 +22,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnweave.llm import ragged as R
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 2 << 20
 REMEMBERED = 400_000  # words a task remembers; beyond that it starts afresh and encodes a returning word again
-DOCS, WORDS = 0, 1
 
 # White space of the pre-token pattern.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -135,60 +134,61 @@ def _dictionary(data: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return s[at], size, h[at], inverse
 
 
-def _blocks(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks: rows, name, bytes, starts of pre-tokens, pre-tokens before each text."""
+
+    def block(held: list[pa.RecordBatch]) -> tuple[pa.Table, int, np.ndarray, np.ndarray, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        data, offs = R.buffer(table.column("text"))
+        s, before = pre_tokens(data, offs)
+        whole = R.span_hash(data, np.zeros(1, np.int64), np.full(1, len(data)))
+        name = R.mix(whole + R.mix(offs.astype(R.U64) + np.arange(len(offs), dtype=R.U64) * R.U64(31)).sum())
+        return table, int(name.view(np.int64)[0]), data, s, before
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in R.chunks(batches, "text", BLOCK_BYTES):
+        more = batch.column("text").nbytes
+        if held and size + more > BLOCK_BYTES:
+            yield block(held)
+            held, size = [], 0
+        held.append(batch)
+        size += more
+    if held:
+        yield block(held)
+
+
+def _words(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each block's distinct words, a row for each of the parts that its words fall into by hash."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId() if TaskContext.get() else 0
-        held: list[pa.RecordBatch] = []
-        size = seq = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, size, seq
-            table = pa.Table.from_batches(held).combine_chunks()
-            block, held, size, seq = (task << 32) + seq, [], 0, seq + 1
-            data, offs = R.buffer(table.column("text"))
-            s, before = pre_tokens(data, offs)
-            ids = table.column("doc_id").combine_chunks()
-            ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-            whole = pa.ListArray.from_arrays
-            none = whole(pa.array([0, 0], pa.int32()), ids.slice(0, 0))
-            rows = {"target": [], "block": [], "kind": [], "payload": []}
-
-            def add(target: int, kind: int, payload: bytes) -> None:
-                for k, v in zip(rows, (target, block, kind, payload), strict=True):
-                    rows[k].append(v)
-
-            if len(s):
-                at, length, h, number = _dictionary(data, s)
-            else:
-                at = length = number = np.zeros(0, np.int64)
-                h = np.zeros(0, R.U64)
-            add(parts + int(R.mix(np.array([block], R.U64))[0] % R.U64(1 << 30)), DOCS, _pack(before.astype(np.int64), _planes(number)))
+        for _, name, data, s, _ in _cut(batches):
+            if len(s) == 0:
+                continue
+            at, length, h, _ = _dictionary(data, s)
             to = (h % R.U64(parts)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             edges = np.searchsorted(to[order], np.arange(parts + 1))
-            for p in range(parts):
+            full = np.flatnonzero(np.diff(edges))
+            payloads = []
+            for p in full:
                 mine = order[edges[p] : edges[p + 1]]
-                if len(mine):
-                    words = data[_gather(at[mine], length[mine])]
-                    add(p, WORDS, _pack(_planes(np.diff(mine, prepend=0)), _planes(length[mine]), words))
-            lists = [whole(pa.array([0, len(ids)], pa.int32()), ids)] + [none] * (len(rows["kind"]) - 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["target"], pa.int64()), pa.array(rows["block"], pa.int64()), pa.array(rows["kind"], pa.int32()), pa.array(rows["payload"], pa.binary()), pa.concat_arrays(lists)],
-                names=["target", "block", "kind", "payload", "ids"],
-            )
-
-        for batch in R.chunks(batches, "text", BLOCK_BYTES):
-            more = batch.column("text").nbytes
-            if held and size + more > BLOCK_BYTES:
-                yield from flush()
-            held.append(batch)
-            size += more
-        if held:
-            yield from flush()
+                payloads.append(_pack(_planes(np.diff(mine, prepend=0)), _planes(length[mine]), data[_gather(at[mine], length[mine])]))
+            yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(np.full(len(full), name)), pa.array(payloads, pa.binary())], names=["part", "block", "payload"])
 
     return run
 
 
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each block's word numbers and the ids of its rows."""
+    for table, name, data, s, before in _cut(batches):
+        number = _dictionary(data, s)[3] if len(s) else np.zeros(0, np.int64)
+        ids = pa.concat_arrays(table.column("doc_id").chunks)
+        lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+        payload = _pack(before.astype(np.int64), _planes(number))
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([payload], pa.binary()), lists], names=["block", "payload", "ids"])
+
+
 def _encoder(path: str) -> Callable[[bytes], list[int]]:
     import tiktoken
 
@@ -197,17 +197,13 @@ def _encoder(path: str) -> Callable[[bytes], list[int]]:
 
 def _encode_words(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, known = None, {}
+        one, known = _encoder(path), {}
         for batch in batches:
-            kinds, payloads = batch.column("kind").to_pylist(), batch.column("payload").to_pylist()
-            for k, kind in enumerate(kinds):
-                if kind == DOCS:
-                    continue
-                step, length, words = _unpack(payloads[k], np.uint8, np.uint8, np.uint8)
-                raw, ends = words.tobytes(), np.cumsum(_from_planes(length).astype(np.int64)).tolist()
-                one = one or _encoder(path)
-                ids, start = [], 0
-                for end in ends:
+            out = []
+            for payload in batch.column("payload"):
+                step, length, words = _unpack(payload.as_buffer(), np.uint8, np.uint8, np.uint8)
+                raw, ids, start = words.tobytes(), [], 0
+                for end in np.cumsum(_from_planes(length).astype(np.int64)).tolist():
                     word = raw[start:end]
                     start = end
                     found = known.get(word)
@@ -217,35 +213,35 @@ def _encode_words(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                         found = known[word] = one(word)
                     ids.append(found)
                 flat = np.array([i for x in ids for i in x], np.uint32)
-                payloads[k] = _pack(step, _planes(np.array([len(x) for x in ids])), _planes(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("kind"), pa.array(payloads, pa.binary()), batch.column("ids")], names=["block", "kind", "payload", "ids"])
+                out.append(_pack(step, _planes(np.array([len(x) for x in ids])), _planes(flat)))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(out, pa.binary())], names=["block", "payload"])
 
     return run
 
 
-def _reassemble(table: pa.Table) -> pa.Table:
-    kinds, payloads = table.column("kind").to_pylist(), table.column("payload").to_pylist()
-    at = kinds.index(DOCS)
-    before, planes = _unpack(payloads[at], np.int64, np.uint8)
-    number = _from_planes(planes).astype(np.int64)
-    parts = [[_from_planes(x).astype(np.int64) for x in _unpack(p, np.uint8, np.uint8, np.uint8)] for k, p in zip(kinds, payloads, strict=True) if k == WORDS]
-    n_words = sum(len(p[1]) for p in parts)
+def _reassemble(numbers: pa.Table, words: pa.Table) -> pa.Table:
+    """The rows of a block: the ids of each pre-token's word, in order. Blocks of equal content share a name and words."""
+    parts = [[_from_planes(x) for x in _unpack(p.as_buffer(), np.uint8, np.uint8, np.uint8)] for p in words.column("payload")]
+    n_words = max((int(step.sum()) for step, _, _ in parts if len(step)), default=-1) + 1
     start, size = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64)
     flat, base = [], 0
     for step, count, ids in parts:
-        words = np.cumsum(step)
-        start[words], size[words] = base + np.cumsum(count) - count, count
+        at = np.cumsum(step.astype(np.int64))
+        count = count.astype(np.int64)
+        start[at], size[at] = base + np.cumsum(count) - count, count
         flat.append(ids.astype(np.int32))
         base += len(ids)
     ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-    counts = size[number]
-    out = ids[_gather(start[number], counts)] if len(number) else ids[:0]
-    offs = np.append(0, np.cumsum(counts))[before]
-    doc_ids = table.column("ids").combine_chunks()
-    doc_ids = doc_ids.chunk(0) if isinstance(doc_ids, pa.ChunkedArray) else doc_ids
-    doc_ids = doc_ids.slice(at, 1).flatten()
-    lists = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(out, pa.int32()))
-    return pa.table({"doc_id": doc_ids, "ids": lists})
+    out = []
+    for k in range(numbers.num_rows):
+        before, planes = _unpack(numbers.column("payload")[k].as_buffer(), np.int64, np.uint8)
+        number = _from_planes(planes)
+        counts = size[number]
+        offs = np.append(0, np.cumsum(counts))[before]
+        found = ids[_gather(start[number], counts)] if len(number) else ids[:0]
+        lists = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(found, pa.int32()))
+        out.append(pa.table({"doc_id": numbers.column("ids")[k].values, "ids": lists}))
+    return pa.concat_tables(out)
 
 
 def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,9 +255,10 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    blocks = rows.mapInArrow(_blocks(parts), f"target bigint, block bigint, kind int, payload binary, ids array<{kind}>")
-    coded = blocks.repartition("target").mapInArrow(_encode_words(ranks_path), f"block bigint, kind int, payload binary, ids array<{kind}>")
-    return coded.groupBy("block").applyInArrow(_reassemble, f"doc_id {kind}, ids array<int>")
+    words = rows.mapInArrow(_words(parts), "part bigint, block bigint, payload binary")
+    coded = words.repartition("part").mapInArrow(_encode_words(ranks_path), "block bigint, payload binary")
+    numbers = rows.mapInArrow(_numbers, f"block bigint, payload binary, ids array<{kind}>")
+    return numbers.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_reassemble, f"doc_id {kind}, ids array<int>")
 
 
 def _decoded(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
