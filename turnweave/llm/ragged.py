@@ -69,15 +69,18 @@ def buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that each holds about `limit` bytes of `column`; a longer text stands alone."""
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
         at = batch.schema.get_field_index(column)
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        start, base = 0, 0
-        while start < batch.num_rows:
-            stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
-            yield batch.slice(start, stop - start)
-            base, start = int(ends[stop - 1]), stop
+        yield from slices(batch, pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), limit)
+
+
+def slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch so that a slice's sizes sum to about `limit`; a larger row stands alone."""
+    ends = np.cumsum(sizes.astype(np.int64))
+    start, base = 0, 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
+        yield batch.slice(start, stop - start)
+        base, start = int(ends[stop - 1]), stop
 
 
 def word_spans(data: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
