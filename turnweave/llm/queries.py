@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnweave.llm import bpe, chat, decontaminate, jaccard, licences, repetition
+from turnweave.llm import bpe, chat, cotrain, decontaminate, jaccard, licences, repetition, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -24,10 +24,20 @@ def op2_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_docs(spark, sf_dir), n_gram=3, percent=90)
 
 
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return cotrain.quality(_docs(spark, sf_dir, "doc_id", "text", "lang", "source"), labels)
+
+
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_docs(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.toxicity(_docs(spark, sf_dir), labels)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(_docs(spark, sf_dir), RANKS), RANKS))
 
@@ -47,7 +57,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_parity_join": op2_parity_join,
+    "op3_cotraining": op3_cotraining,
     "op5_licences": op5_licences,
+    "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
     "op8_chat": op8_chat,
     "op10_decontaminate": op10_decontaminate,
