@@ -1,5 +1,68 @@
-"""placeholder"""
-STAGES = []
-ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""From raw documents to token ids: quality, near duplicates, benchmark passages, personal data, encoding.
+
+Each stage works on all that the stage before has kept, written as Parquet and read again. All but the last return the
+columns of `documents`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from turnweave.llm import bpe, cotrain, decontaminate, jaccard, personal
+from turnweave.llm.lineage import park
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the co-trained quality classifier rejects. Rows go through unchanged: the score is added to each."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return cotrain.keep_good(docs, labels)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group of near duplicates (five words, similarity 0.8) the document with the smallest doc_id. Of rows that
+    share that doc_id all stay; documents without words have no group and stay."""
+    near = jaccard.near_duplicates(docs.select("doc_id", "text"))
+    gone = near.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that contain a benchmark item (five words, four fifths of its shingles)."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    found = decontaminate.contained_items(docs.select("doc_id", "text"), items)
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts <KIND> in place of every span of personal data, and n_chars right."""
+    masked = personal.mask(docs)
+    return masked.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids and whether they decode to the text again."""
+    decoded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), RANKS), RANKS)
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", jaccard_join),
+    ("benchmark decontamination", decontamination),
+    ("PII", personal_data),
+    ("byte-level BPE", byte_level_bpe),
+]
+ORACLE_SQL = None  # a trained classifier and a tokenizer are no SQL; tests/llm holds the stages against brute force
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = park(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

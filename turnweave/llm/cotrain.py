@@ -205,20 +205,38 @@ def _scored(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in R.chunks(batches, "text", TEXT_BYTES):
             a, b, both = model.scores(batch.column("text"), batch.column("lang"), batch.column("source"))
-            rest = [batch.column(name) for name in batch.schema.names]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(a, pa.float64()), pa.array(b, pa.float64()), pa.array(both, pa.float64())], names=[*batch.schema.names, "by_content", "by_metadata", "score"])
+            scores = [pa.array(x, pa.float64()) for x in (a, b, both)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *scores], names=["doc_id", "by_content", "by_metadata", "score"])
 
     return run
 
 
+def _kept(model: Model, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in R.chunks(batches, "text", TEXT_BYTES):
+            *_, both = model.scores(batch.column("text"), batch.column("lang"), batch.column("source"))
+            yield batch.filter(pa.array(both >= threshold))
+
+    return run
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, whatever their columns, that `quality` keeps; their order within a partition stays."""
+    known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+    model = fit(_columns(docs, id_col, text_col), known)
+    special = {text_col: "text", "lang": "lang", "source": "source"}
+    inner = docs.select(*(F.col(f"`{c}`").alias(special.get(c, f"c{k}")) for k, c in enumerate(docs.columns)), *(F.lit(None).cast("string").alias(c) for c in ("lang", "source") if c not in docs.columns))
+    out = inner.mapInArrow(_kept(model, threshold), ", ".join(f"{c} {t}" for c, t in inner.dtypes))
+    return out.select(*(F.col(special.get(c, f"c{k}")).alias(c) for k, c in enumerate(docs.columns)))
+
+
 def _columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     has = [c if c in docs.columns else None for c in ("lang", "source")]
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *((F.col(c) if c else F.lit(None)).cast("string").alias(name) for c, name in zip(has, ("lang", "source"), strict=True)))
 
 
-def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD, keep_columns: bool = False) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: doc_id, by_content, by_metadata, score (chances of good quality) and kept (score >= threshold).
-    With `keep_columns` the rows also have text, lang and source.
 
     Null and empty texts have empty features and are scored like any other; missing or null language and source count as
     empty. Labels that are null or name no document do nothing, of a document's repeated labels one counts. Labels of one class,
@@ -228,7 +246,5 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     model = fit(rows, known)
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = rows.mapInArrow(_scored(model), f"doc_id {kind}, text string, lang string, source string, by_content double, by_metadata double, score double")
-    if not keep_columns:
-        scored = scored.drop("text", "lang", "source")
+    scored = rows.mapInArrow(_scored(model), f"doc_id {kind}, by_content double, by_metadata double, score double")
     return scored.withColumn("kept", F.col("score") >= threshold)

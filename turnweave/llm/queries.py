@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnweave.llm import bpe, chat, cotrain, decontaminate, jaccard, licences, repetition, toxicity
+from turnweave.llm import bpe, chat, cotrain, decontaminate, extract, jaccard, licences, personal, repetition, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -29,6 +29,10 @@ def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.quality(_docs(spark, sf_dir, "doc_id", "text", "lang", "source"), labels)
 
 
+def op4_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digests(personal.find(_docs(spark, sf_dir)))
+
+
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_docs(spark, sf_dir))
 
@@ -49,6 +53,10 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns.union(own)))
 
 
+def op9_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     return decontaminate.contained_items(_docs(spark, sf_dir), items)
@@ -58,10 +66,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_parity_join": op2_parity_join,
     "op3_cotraining": op3_cotraining,
+    "op4_personal": op4_personal,
     "op5_licences": op5_licences,
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
     "op8_chat": op8_chat,
+    "op9_extract": op9_extract,
     "op10_decontaminate": op10_decontaminate,
 }
 
