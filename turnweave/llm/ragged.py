@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 SEGMENT = 1 << 18
 _MASK = (1 << 64) - 1
 

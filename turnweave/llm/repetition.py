@@ -114,7 +114,7 @@ def repetition_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per input row: its id as `doc_id`, the counts, `base_failed`, `failed_rules` and `kept`.
 
     Other columns are not carried, so their names cannot clash. A null or empty text has zero counts and fails the base
-    rule; a null id stays null; repeated rows give repeated results. No shuffle; memory follows a chunk of about 4 MB
+    rule; a null id stays null; repeated rows give repeated results. No shuffle; memory follows a chunk of about 1 MB
     of text, or the longest single text.
     """
     kind = docs.schema[id_col].dataType.simpleString()
