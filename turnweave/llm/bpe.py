@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import functools
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from turnweave.llm import ragged as R
 
 BLOCK_BYTES = 2 << 20
-REMEMBERED = 400_000  # words a task remembers; beyond that it starts afresh and encodes a returning word again
+REMEMBERED = 150_000  # words a task remembers; beyond that it starts afresh and encodes a returning word again
 
 # White space of the pre-token pattern.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -210,10 +211,10 @@ def _encode_words(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                     if found is None:
                         if len(known) >= REMEMBERED:
                             known.clear()
-                        found = known[word] = one(word)
+                        found = known[word] = array("I", one(word)).tobytes()
                     ids.append(found)
-                flat = np.array([i for x in ids for i in x], np.uint32)
-                out.append(_pack(step, _planes(np.array([len(x) for x in ids])), _planes(flat)))
+                flat = np.frombuffer(b"".join(ids), np.uint32)
+                out.append(_pack(step, _planes(np.array([len(x) // 4 for x in ids])), _planes(flat)))
             yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(out, pa.binary())], names=["block", "payload"])
 
     return run
