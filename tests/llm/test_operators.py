@@ -2,7 +2,9 @@
 
 import hashlib
 import itertools
+import random
 import re
+import textwrap
 import zlib
 
 import public_tokenizers
@@ -174,6 +176,60 @@ def test_licences(spark):
     assert got[len(ODD)].licences == "MIT" and got[0].n_sentences == 0 and got[0].matches == ""
 
 
+def scanned(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(licences.scan(docs).collect(), key=lambda r: r.doc_id)
+
+
+def plain_licences(text):
+    """Runs of pieces tried one by one, then rules at each place."""
+    pieces, start = [], 0
+    for m in re.finditer(r"(?<=[.!?;:])[ \t\x0b\f\r]+|\n+", text):
+        pieces.append(text[start : m.start()])
+        start = m.end()
+    words = [(k, w) for k, s in enumerate([*pieces, text[start:]]) for w in licences.normalised(s).split()]
+    ends_piece = lambda j: j == len(words) or words[j][0] != words[j - 1][0]
+
+    def ends(i, marked):
+        found = []
+        for wording, name in licences.KNOWN.items():
+            j = i + len(wording.split())
+            end_mark = licences.SENTENCES[name][-1] in ".!?;:"
+            if [w for _, w in words[i:j]] == wording.split() and (end_mark or not marked) and (ends_piece(j) or not end_mark and ends(j, True)):
+                found.append((j, name))
+        return max(found, default=None)
+
+    seq, i, after = [], 0, False
+    while i < len(words):
+        best = ends(i, False) if after or i == 0 or ends_piece(i) else None
+        if best:
+            seq.append((words[i][0], words[best[0] - 1][0], best[1]))
+        i, after = (best[0], True) if best else (i + 1, False)
+    hits = [(i, i + len(ids), rule, licence) for i in range(len(seq)) for rule, licence, ids in licences.RULES if [x[2] for x in seq[i : i + len(ids)]] == ids]
+    hits = [h for h in hits if not any(g[0] <= h[0] and g[1] >= h[1] and g[1] - g[0] > h[1] - h[0] for g in hits)]
+    return len(seq), ",".join(dict.fromkeys(h[3] for h in hits)), ",".join(f"{r}:{seq[a][0]}:{seq[b - 1][1]}" for a, b, r, _ in hits)
+
+
+def test_every_licence_rule_matches_its_own_wording(spark):
+    wordings = [(rule, " ".join(licences.SENTENCES[x] for x in ids)) for rule, _, ids in licences.RULES]
+    wraps = [lambda t: t, *(lambda t, n=n: "\n".join(textwrap.wrap(t, n, break_long_words=False, break_on_hyphens=False)) for n in (1, 40, 72)), lambda t: "Title\n\n# " + "\r\n# ".join(textwrap.wrap(t, 60, break_long_words=False, break_on_hyphens=False)) + "\n\nEnd"]
+    rows = [(rule, wrap(text)) for rule, text in wordings for wrap in wraps]
+    for (rule, text), r in zip(rows, scanned(spark, [t for _, t in rows]), strict=True):
+        assert r.matches.split(":")[0] == rule and "," not in r.matches, (rule, text, r)
+
+
+def test_licences_by_brute_force(spark):
+    rng = random.Random(3)
+    words = [w for t in licences.SENTENCES.values() for w in t.split()]
+    rows = []
+    for _ in range(300):
+        parts = [rng.choice([*licences.SENTENCES.values(), *licences.SENTENCES.values(), " ".join(rng.choices(words, k=4)), "--", "Other text. And"]) for _ in range(rng.randint(1, 7))]
+        rows.append("".join(w + rng.choice([" ", " ", " ", "\n", "\n\n", "\t"]) for w in rng.choice([" ", "\n"]).join(parts).split(" ")))
+    rows += list(licences.SENTENCES.values()) + ["\n".join(licences.SENTENCES.values())]
+    got = scanned(spark, rows)
+    assert [(r.n_sentences, r.licences, r.matches) for r in got] == [plain_licences(t) for t in rows]
+
+
 def test_toxicity(spark, docs, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}

@@ -1,7 +1,8 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences, sentences are normalised, and each one that is known gets its licence-sentence identifier.
-The sequence of a document's identifiers is then matched against ordered rules: a rule is a run of identifiers, in order,
+A text is cut into pieces after marks and at line ends, pieces are normalised, and a run of pieces whose words are those of a
+known sentence gets its licence-sentence identifier: known sentences hold such cuts themselves, and wrapped ones have more. Runs are
+taken from the left, the longest first. A sentence's numbers are those of its first and last piece. The sequence of a document's identifiers is then matched against ordered rules: a rule is a run of identifiers, in order,
 with nothing but unknown sentences between. At each place the longest rule counts; a match inside a longer one does not.
 All of it is built-in array work within a row: no shuffle, no Python.
 """
@@ -66,23 +67,47 @@ def normalised(text: str) -> str:
 KNOWN = {normalised(text): name for name, text in SENTENCES.items()}
 assert all(re.search(TRIGGER, text) for text in KNOWN)
 _LONGEST = max(len(ids) for _, _, ids in RULES)
+CUT = r"(?<=[.!?;:])[\x20\t\x0B\f\r]+|\n+"
+# Runs of whole lines with the words of a known sentence, the longest first. One without an end mark (a title, an address) may
+# have a known sentence behind it on its line.
+_ORDER = sorted(KNOWN, key=lambda t: -len(t.split()))
+_OPEN = {normalised(text) for text in SENTENCES.values() if text[-1] not in ".!?;:"}
+_words = lambda text: text.replace(" ", "[ \\n]")
+_NEXT = "(?=$| (?:" + "|".join(_words(text) for text in _ORDER if text not in _OPEN) + ")$)"
+_RUN = r"(?m)(?:^|\G )(?:" + "|".join(_words(text) + (_NEXT if text in _OPEN else "$") for text in _ORDER) + ")"
 
 
 def _map(pairs: dict[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for pair in pairs.items() for x in pair))
 
 
+def _none() -> Column:
+    return F.expr("array()").cast("array<struct<at:int,to:int,id:string>>")
+
+
 def _sequence(text: Column) -> Column:
-    """The known sentences of a text: array of (sentence number, identifier)."""
-    sentences = F.split(text, r"(?<=[.!?;:])[\x20\t\x0B\f\r]+|\n+")
+    """The known sentences of a text: array of (first piece's number, last piece's number, identifier)."""
+    pieces = F.transform(F.split(text, CUT), lambda s, i: F.struct(i.alias("at"), F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")).alias("norm")))
+    pieces = F.filter(pieces, lambda x: x["norm"] != "")  # one piece a line from here on
+    lines = F.array_join(F.transform(pieces, lambda x: x["norm"]), "\n")
+    parts = F.split(F.regexp_replace(lines, _RUN, "\x01$0\x02"), "\x01")  # all but the first begin with a known sentence
     known = _map(KNOWN)
-    named = F.transform(sentences, lambda s, i: F.struct(i.alias("at"), F.try_element_at(known, F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))).alias("id")))
-    return F.filter(named, lambda x: x["id"].isNotNull())
+    breaks = lambda x: F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit("")))
+
+    def add(done: Column, part: Column) -> Column:
+        found = F.substring_index(part, "\x02", 1)
+        first = done["line"]
+        here = F.struct(F.get(pieces, first)["at"].alias("at"), F.get(pieces, first + breaks(found))["at"].alias("to"), F.try_element_at(known, F.trim(F.translate(found, "\n", " "))).alias("id"))
+        return F.struct((first + breaks(part)).alias("line"), F.concat(done["seq"], F.array(here)).alias("seq"))
+
+    start = F.struct(breaks(F.get(parts, F.lit(0))).alias("line"), _none().alias("seq"))
+    found = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), start, add, lambda done: done["seq"])
+    return F.when(F.size(parts) > 1, found).otherwise(_none())
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_sentences (known licence sentences), licences (distinct, in order, comma-joined),
-    matches (rule:first:last sentence numbers, comma-joined).
+    matches (rule:first:last piece numbers, comma-joined).
 
     Null and empty texts, and texts without a known sentence, have 0 and empty strings; a known sentence that begins no
     rule is counted and matches nothing. Repeated rows and null ids are kept. Other columns are not carried.
@@ -90,8 +115,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rules = sorted(RULES, key=lambda r: -len(r[2]))
     table = F.array(*(F.struct(F.lit(name).alias("rule"), F.lit(licence).alias("licence"), F.array(*map(F.lit, ids)).alias("ids")) for name, licence, ids in rules))
     text = F.col(text_col).cast("string")
-    seq = F.when(F.lower(text).rlike(TRIGGER), _sequence(text)).otherwise(F.expr("array()").cast("array<struct<at:int,id:string>>"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(seq, F.expr("array()").cast("array<struct<at:int,id:string>>")).alias("seq"))
+    seq = F.when(F.lower(text).rlike(TRIGGER), _sequence(text)).otherwise(_none())
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(seq, _none()).alias("seq"))
 
     def at(x: Column, i: Column) -> Column:
         """The longest rule that begins with the i-th known sentence."""
@@ -102,8 +127,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = rows.withColumn("hits", F.filter(F.transform("seq", at), lambda h: h["rule"].isNotNull()))
     outer = F.filter("hits", lambda h: ~F.exists("hits", lambda g: (g["i"] <= h["i"]) & (g["i"] + g["n"] >= h["i"] + h["n"]) & (g["n"] > h["n"])))
     rows = rows.withColumn("hits", outer)
-    place = lambda k: F.get(F.col("seq"), k)["at"].cast("string")
-    spans = F.transform("hits", lambda h: F.concat_ws(":", h["rule"], place(h["i"]), place(h["i"] + h["n"] - 1)))
+    place = lambda k, end: F.get(F.col("seq"), k)[end].cast("string")
+    spans = F.transform("hits", lambda h: F.concat_ws(":", h["rule"], place(h["i"], "at"), place(h["i"] + h["n"] - 1, "to")))
     return rows.select("doc_id", F.size("seq").cast("long").alias("n_sentences"), F.array_join(F.array_distinct(F.transform("hits", lambda h: h["licence"])), ",").alias("licences"), F.array_join(spans, ",").alias("matches"))
 
 
