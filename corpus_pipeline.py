@@ -27,7 +27,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near duplicates (five words, similarity 0.8) the document with the smallest doc_id. Of rows that
     share that doc_id all stay; documents without words have no group and stay."""
-    near = jaccard.near_duplicates(docs.select("doc_id", "text"))
+    near = jaccard.JaccardJoin(docs.select("doc_id", "text")).components()
     gone = near.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 

@@ -107,6 +107,22 @@ def test_jaccard_join(spark, texts, n, percent):
     assert all(r.n_shingles == len(shingles[i]) for i, r in got.items())
 
 
+def test_jaccard_join_counts_every_link(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = []
+    for size in (1, 2, 3, 30):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        rows += [" ".join([*words[:k], f"x{k}", *words[k + 1 :]]) for k in rng.sample(range(150), size)]
+        rows.append(" ".join([*words[:20], *(f"y{k}" for k in range(8)), *words[28:]]))
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    df = spark.createDataFrame([*enumerate(rows), (0, None), (3, None), (3, rows[3])], "doc_id long, text string")
+    found = [sets(t, 3) for t in rows]
+    want = {i: sum(a is not b and 100 * len(a & b) >= 90 * len(a | b) for b in found) for i, a in enumerate(found)}
+    assert max(want.values()) > 20 and len(set(want.values())) > 3
+    got = jaccard.near_duplicates(df, 3, 90).collect()
+    assert sorted((r.doc_id, r.n_links) for r in got) == sorted([*want.items(), (0, 0), (3, 0), (3, want[3])])
+
+
 def test_jaccard_join_on_odd_rows(spark, docs):
     got = jaccard.near_duplicates(documents(spark, ODD), 3, 90).collect()
     assert len(got) == len(ODD) + 2

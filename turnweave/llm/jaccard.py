@@ -14,6 +14,9 @@ in at most (|A|+|B|)(1-t)/(1+t) n-grams, and their sizes in a ratio of at least
    with several components, and there the pairs that cross components are compared, once each. Pairs whose 512-bit
    sketches differ in too many bits are dropped before that (Hamming distance bounds the difference from below), the others
    are verified on their whole texts. No linked pair of different components is left, so components are exact.
+4. Links lie within components. In each component of more than two classes all pairs are compared, in squares of two blocks of at
+   most BLOCK classes: size and Hamming tests within the task, then the whole sets. Each pair lies in one square, so the
+   number of links is exact as well.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnweave.llm import ragged as R
@@ -34,6 +37,7 @@ from turnweave.llm.lineage import components, park
 SEGMENT_BITS = 1 << 20
 SKETCH_WORDS = 8  # of 64 bits, for the Hamming test of a pair
 BLOOM_BITS = 1 << 26  # of the filter that spares texts in no candidate pair; its size is fixed
+BLOCK = 64  # classes; a task holds the texts of two blocks
 U = R.U64
 
 
@@ -189,7 +193,7 @@ def _packed_texts(n_gram: int, percent: int, bloom: bytes) -> Callable[[Iterator
         for batch in R.chunks(batches, "text"):
             at = batch.column("at").to_numpy(zero_copy_only=False)
             hit = (words[at >> 6] >> (at & 63)) & 1 == 1
-            batch = batch.filter(pa.array(hit))
+            batch = batch.filter(pc.and_(pa.array(hit), pc.is_valid(batch.column("text"))))
             if batch.num_rows == 0:
                 continue
             cls = signatures(batch.column("text"), n_gram, percent, False)["cls"]
@@ -228,6 +232,73 @@ def _verified(n_gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
+def _square(cls: np.ndarray, second: np.ndarray, n: np.ndarray, sketch: np.ndarray, z: pa.Array, n_gram: int, percent: int, alone: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Each class's links to others in a square of two blocks, or of one block with itself."""
+    rows = np.arange(len(cls))
+    left = rows if alone else rows[~second]
+    near = []
+    for i in left:
+        to = rows[i + 1 :] if alone else rows[second]
+        apart = np.bitwise_count(sketch[to] ^ sketch[i]).sum(1, dtype=np.int64)
+        to = to[(100 * np.minimum(n[i], n[to]) >= percent * np.maximum(n[i], n[to])) & ((100 + percent) * apart <= (100 - percent) * (n[i] + n[to]))]
+        near.append((i, to))
+    used = np.unique(np.concatenate([[i, *to] for i, to in near if len(to)] or [np.zeros(0, np.int64)])).astype(np.int64)
+    links = np.zeros(len(cls), np.int64)
+    if len(used) == 0:
+        return cls, links
+    unpack = zstandard.ZstdDecompressor()
+    at, grams = [], []
+    for k in used:
+        g = R.shingles(pa.array([unpack.decompress(z[int(k)].as_buffer())], pa.binary()).cast(pa.string()), n_gram)[1]
+        at.append(np.full(len(g), k))
+        grams.append(g)
+    at, ids = np.concatenate(at), np.unique(np.concatenate(grams), return_inverse=True)[1]
+    start = np.searchsorted(at, rows)
+    stop = np.searchsorted(at, rows, "right")
+    mark = np.zeros(ids.max(initial=-1) + 1, bool)
+    for i, to in near:
+        if len(to):
+            own = ids[start[i] : stop[i]]
+            mark[own] = True
+            both = np.array([np.count_nonzero(mark[ids[start[j] : stop[j]]]) for j in to])
+            mark[own] = False
+            linked = to[100 * both >= percent * (n[i] + n[to] - both)]
+            links[i] += len(linked)
+            links[linked] += 1
+    return cls, links
+
+
+def _squares(n_gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by (root, lo, hi) in; (cls, n_links) of each class in each square out."""
+
+    def counted(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        column = lambda c: table.column(c).to_numpy()
+        sketch = np.column_stack([column(f"s{k}") for k in range(SKETCH_WORDS)]).view(U)
+        lo, hi = column("lo")[0], column("hi")[0]
+        cls, links = _square(column("cls"), column("block") != lo, column("n"), sketch, table.column("z"), n_gram, percent, lo == hi)
+        return pa.RecordBatch.from_arrays([pa.array(cls), pa.array(links)], names=["cls", "n_links"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            key = np.column_stack([batch.column(c).to_numpy() for c in ("root", "lo", "hi")])
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1), len(key)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and tuple(key[a]) != last:
+                    yield counted(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = tuple(key[a])
+        if held:
+            yield counted(held)
+
+    return run
+
+
 class JaccardJoin:
     """The join over one table of documents, step by step; `result` is what callers want.
 
@@ -266,7 +337,14 @@ class JaccardJoin:
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that do link, by their whole texts."""
         pairs = park(self._near(pairs))
-        ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct().join(self.classes.select("cls", "rep"), "cls")
+        texts = self._texts(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct())
+        left, right = (texts.select(F.col("cls").alias(x), F.col("z").alias(f"z{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "za", "zb", (F.col("size_a") + F.col("size_b")).alias("size"))
+        return park(both.mapInArrow(_verified(self.n_gram, self.percent), "a bigint, b bigint"))
+
+    def _texts(self, ends: DataFrame) -> DataFrame:
+        """(cls, packed text, its size) of these classes, and of a few others."""
+        ends = ends.join(self.classes.select("cls", "rep"), "cls")
         place = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(BLOOM_BITS))
         at = ends.select(place("rep").alias("at"))
         words = at.groupBy(F.shiftright("at", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
@@ -274,10 +352,7 @@ class JaccardJoin:
         for batch in words.toArrow().to_batches():  # at most BLOOM_BITS / 64 rows, whatever the corpus
             bloom[batch.column("w").to_numpy()] = batch.column("bits").to_numpy()
         packed = self.docs.withColumn("at", place("doc_id")).mapInArrow(_packed_texts(self.n_gram, self.percent, bloom.tobytes()), "cls bigint, z binary, size bigint")
-        texts = park(packed.dropDuplicates(["cls"]))
-        left, right = (texts.select(F.col("cls").alias(x), F.col("z").alias(f"z{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "za", "zb", (F.col("size_a") + F.col("size_b")).alias("size"))
-        return park(both.mapInArrow(_verified(self.n_gram, self.percent), "a bigint, b bigint"))
+        return park(packed.dropDuplicates(["cls"]))
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified links (a, b) between classes, enough for exact components; and the components (node, root)."""
@@ -296,14 +371,37 @@ class JaccardJoin:
         links = links.union(more)
         return links, park(components(links))
 
-    def result(self) -> DataFrame:
-        """doc_id, n_shingles, component_id (smallest doc_id reachable, itself included), and the class's number of verified
-        links to other classes (a lower bound inside components already joined)."""
-        links, found = self.links()
+    def degrees(self, found: DataFrame) -> DataFrame:
+        """(cls, n_links): the exact number of other classes that a class is linked with, for the classes in components."""
+        sizes = found.groupBy("root").agg(F.count("*").alias("members"))
+        ranked = found.join(sizes, "root").withColumnRenamed("node", "cls")
+        pairs = ranked.where("members = 2").select("cls", F.lit(1).cast("long").alias("n_links"))  # the link that joins them
+        many = park(ranked.where("members > 2").join(self.classes, "cls"))
+        place = F.row_number().over(Window.partitionBy("root").orderBy("n", "cls")) - 1
+        many = many.withColumn("block", F.floor(place / BLOCK).cast("long")).join(self._texts(many.select("cls")), "cls")
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("members") - 1) / BLOCK).cast("long")))
+        squares = many.withColumn("other", other).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+        squares = squares.select("root", "lo", "hi", "block", "cls", "n", *(f"s{k}" for k in range(SKETCH_WORDS)), "z")
+        counted = squares.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(_squares(self.n_gram, self.percent), "cls bigint, n_links bigint")
+        return pairs.union(counted.groupBy("cls").agg(F.sum("n_links").alias("n_links")))
+
+    def groups(self) -> tuple[DataFrame, DataFrame]:
+        """(cls, component_id) of all classes; and the components (node, root) of those with links."""
+        _, found = self.links()
         named = self.classes.select("cls", "rep").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-        degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
-        named = park(named.join(ids, "root").join(degree, "cls", "left").select("cls", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
+        return named.join(ids, "root").select("cls", "component_id"), found
+
+    def components(self) -> DataFrame:
+        """doc_id, component_id: `result` without the number of links, for which not all links need be found."""
+        named = park(self.groups()[0])
+        return self.rows.select("doc_id", "cls").join(named, "cls", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+    def result(self) -> DataFrame:
+        """doc_id, n_shingles, component_id (smallest doc_id reachable, itself included), and the class's number of
+        links to other classes."""
+        named, found = self.groups()
+        named = park(named.join(self.degrees(found), "cls", "left").select("cls", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
         out = self.rows.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
         return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
