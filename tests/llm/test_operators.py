@@ -364,3 +364,12 @@ def test_containment(spark, docs, sf_dir):
     assert {(5, 1), (5, 5), (9, 4)} <= found and not {i for _, i in found} & {2, 3}
     assert decontaminate.contained_items(docs, items.limit(0)).count() == 0
     assert decontaminate.contained_items(docs.limit(0), items).count() == 0
+
+
+def test_containment_of_repeated_and_conflicting_items(spark):
+    w = [f"w{k}" for k in range(24)]
+    other = [f"v{k}" for k in range(24)]
+    items = spark.createDataFrame([(1, " ".join(w)), (1, " ".join(w)), (2, " ".join(w)), (2, " ".join([*w[:14], *other[14:]]))], "item_id long, text string")
+    docs = [" ".join(w), " ".join(w[:12]), " ".join([*w[:14], *other[14:]]), " ".join([*w[:14], *other[:10]])]
+    got = decontaminate.contained_items(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), items)
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 20, 20, 1.0), (0, 2, 20, 20, 1.0), (2, 2, 20, 20, 1.0)]

@@ -1,8 +1,8 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search, verified exactly.
+"""Benchmark decontamination: containment search by an exact prefix filter, verified exactly.
 
 Test items are sets of distinct word shingles. An item of q shingles is contained in a document at `percent` when the
-document has at least c = ceil(percent q / 100) of them. Items are partitioned by size, and an item's MinHash sketch is its
-q - c + 1 smallest shingle hashes, a number fixed by its size: a document that contains the item must have one of them, so
+document has at least c = ceil(percent q / 100) of them. Neither items nor documents are partitioned by size, and documents have no sketches: an
+item's sketch is its q - c + 1 smallest shingle hashes, a number fixed by its size: a document that contains the item must have one of them, so
 the search loses nothing (a fixed-length MinHash of a long document would lose short items). Documents keep the
 shingles that two fixed-size filters let through, one of all sketches (is the document a candidate at all?), one of all
 item shingles; these few rows join the items, a sketch hit makes a candidate, and the shared shingles are counted.
@@ -63,11 +63,13 @@ def _items(width: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
             rank = np.arange(len(d)) - (np.cumsum(n) - n)[d]
             q = n[d]
             sketch = rank < q - -(-q * percent // 100) + 1
+            key = np.zeros(batch.num_rows, U)
+            np.add.at(key, d, R.mix(g))
             place, mask = _bits(g)
             words = _word_counts(batch.column("text"))[d]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id").take(pa.array(d)), pa.array(g.view(np.int64)), pa.array(q.astype(np.int64)), pa.array(sketch), pa.array(np.minimum(words, width).astype(np.int64)), pa.array(place), pa.array(mask.view(np.int64))],
-                names=["item_id", "hash", "n_item", "in_sketch", "width", "place", "mask"],
+                [batch.column("item_id").take(pa.array(d)), pa.array(key[d].view(np.int64)), pa.array(g.view(np.int64)), pa.array(q.astype(np.int64)), pa.array(sketch), pa.array(np.minimum(words, width).astype(np.int64)), pa.array(place), pa.array(mask.view(np.int64))],
+                names=["item_id", "item_key", "hash", "n_item", "in_sketch", "width", "place", "mask"],
             )
 
     return run
@@ -107,20 +109,21 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, percent:
     """(doc_id, item_id, n_item, n_shared, containment): each item of which a document has at least `percent` of the shingles.
 
     An item of fewer than `width` words is one shingle, its whole sequence; one without words is found nowhere. Null and
-    empty texts contain nothing. Rows with one doc_id give one row for an item, with the largest share; repeated items
-    (one item_id) count as one by their largest share. Other columns are not read.
+    empty texts contain nothing. Rows with one doc_id give one row for an item, with the largest share. Repeated rows of an item
+    count once; different texts under one item_id are searched apart and give one row, that of the largest share. Other columns are not read.
     """
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_id_col].dataType.simpleString()
     rows = items.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    index = rows.mapInArrow(_items(width, percent), f"item_id {item_kind}, hash bigint, n_item bigint, in_sketch boolean, width bigint, place bigint, mask bigint")
+    index = rows.mapInArrow(_items(width, percent), f"item_id {item_kind}, item_key bigint, hash bigint, n_item bigint, in_sketch boolean, width bigint, place bigint, mask bigint")
+    index = index.dropDuplicates(["item_id", "item_key", "hash"])
     widths = [r[0] for r in index.select("width").distinct().collect()] or [width]  # at most `width` values
     full, sketch = _filter(index), _filter(index.where("in_sketch"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hits = texts.mapInArrow(_hits(widths, sketch.tobytes(), full.tobytes()), f"doc_id {kind}, row bigint, hash bigint")
-    known = index.select("hash", "item_id", "n_item", "in_sketch")
+    known = index.select("hash", "item_id", "item_key", "n_item", "in_sketch")
     if index.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    found = hits.join(known, "hash").groupBy("row", "doc_id", "item_id", "n_item").agg(F.count("*").alias("n_shared"), F.max("in_sketch").alias("candidate"))
+    found = hits.join(known, "hash").groupBy("row", "doc_id", "item_id", "item_key", "n_item").agg(F.count("*").alias("n_shared"), F.max("in_sketch").alias("candidate"))
     found = found.where(F.col("candidate") & (F.col("n_shared") * 100 >= F.col("n_item") * percent))
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("n_shared") / F.col("n_item"), "n_item", "n_shared")).alias("m"))
     return best.select("doc_id", "item_id", "m.n_item", "m.n_shared", F.round(F.col("m.n_shared") / F.col("m.n_item"), 6).alias("containment"))
