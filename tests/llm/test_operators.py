@@ -373,3 +373,9 @@ def test_containment_of_repeated_and_conflicting_items(spark):
     docs = [" ".join(w), " ".join(w[:12]), " ".join([*w[:14], *other[14:]]), " ".join([*w[:14], *other[:10]])]
     got = decontaminate.contained_items(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), items)
     assert sorted(map(tuple, got.collect())) == [(0, 1, 20, 20, 1.0), (0, 2, 20, 20, 1.0), (2, 2, 20, 20, 1.0)]
+
+
+@pytest.mark.parametrize("sign", ["(at)", "[at]", "{at}", "<at>", "(At)", "[aT]", "{AT}", "<At>", "(@)", "{@}"])
+def test_spelt_out_addresses_are_candidates(sign):
+    text = f"write to jane {sign} host.org today"
+    assert (0, text.index("jane"), text.index(" today")) in personal.candidates(text)

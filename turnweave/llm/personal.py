@@ -49,6 +49,7 @@ _WIDER = re.compile(
 _ZONE = re.compile(r"[0-9](?:[^0-9]{0,100}+[0-9])*+")
 ZONE_EDGE = 45
 _SPELT = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[({<](?:at|@)[\])}>]\x20?[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?[\[({<](?:dot|\.)[\])}>]\x20?)[A-Za-z0-9-]{1,63})+")
+_SPELT_SIGNS = tuple(bracket + at for bracket in "[({<" for at in ("at", "@"))  # _SPELT needs one, in any case
 
 # Gazetteers.
 TOP_DOMAINS = frozenset("com org net edu gov mil info biz io de fr es uk eu us ca ch at it nl be pt pl se no dk fi ie in jp cn br mx ar cl co au nz ru za".split())
@@ -118,7 +119,8 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     for zone in _ZONE.finditer(text):
         for m in _WIDER.finditer(text, max(0, zone.start() - ZONE_EDGE), zone.end() + ZONE_EDGE):
             out.append((KINDS.index(m.lastgroup), m.start(), m.end()))
-    if "@" in text or "(at" in text or "[at" in text or "(AT" in text or "[AT" in text:
+    low = text.lower()
+    if any(sign in low for sign in _SPELT_SIGNS):
         out += [(0, m.start(), m.end()) for m in _SPELT.finditer(text)]
     return out
 
