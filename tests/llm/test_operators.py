@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from turnweave.llm import bpe, chat, cotrain, decontaminate, extract, jaccard, licences, pages_made, personal, repetition, toxicity
+from turnweave.llm import bpe, chat, cotrain, decontaminate, dom, extract, jaccard, licences, pages_made, personal, repetition, toxicity
 from turnweave.llm import queries as Q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -379,3 +379,13 @@ def test_containment_of_repeated_and_conflicting_items(spark):
 def test_spelt_out_addresses_are_candidates(sign):
     text = f"write to jane {sign} host.org today"
     assert (0, text.index("jane"), text.index(" today")) in personal.candidates(text)
+
+
+def test_features_know_all_ancestors():
+    depths = (3, 63, 64, 65, 66, 67, 200)
+    page = lambda d: dom.parse("<html><body><nav>" + "<div>" * d + "<p>Some words here.</p>" + "</div>" * d + "</nav></body></html>")
+    nav = len(extract._GROUPS) + [list(extract._TAG_GROUPS)[k] for k in extract._ABOVE].index("nav")
+    for d in depths:
+        x, parent, _ = extract.features([page(d)])
+        first = x.shape[1] - (extract._OTHER + 1) - (len(extract._GROUPS) + len(extract._ABOVE))
+        assert x[-1, first + nav] == 1, d

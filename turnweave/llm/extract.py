@@ -101,10 +101,10 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for k, up in enumerate(parent.tolist()):  # parents come first
         if up >= 0:
             depth[k] = depth[up] + 1
-    for d in range(1, int(depth.max(initial=0)) + 1):
-        at = np.flatnonzero(depth == d) if d < 64 else np.flatnonzero(depth >= d)
-        if d > 64:
-            break
+    level = np.argsort(depth, kind="stable")
+    cuts = np.searchsorted(depth[level], np.arange(1, int(depth.max(initial=0)) + 2))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        at = level[a:b]
         above[at] = np.maximum(above[parent[at]], mine[parent[at]])
 
     def under(x: np.ndarray) -> np.ndarray:
