@@ -403,12 +403,15 @@ def word_region_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query()
 def text_match_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where the first three words of each conversation's first turn are said in that conversation."""
-    talk = _table(spark, sf_dir, "conversations").where("conv_id is not null")
-    flat = talk.select("conv_id", "turn", F.posexplode(T.lexical_tokens(F.col("text"))).alias("i", "token"))
-    tokens = flat.withColumn("at", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "i")).cast("long") - 1)
-    heads = talk.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text")).select("conv_id", F.col("conv_id").alias("target_id"), F.slice(T.lexical_tokens(F.col("text")), 1, 3).alias("target"))
-    return alignment.text_spans(tokens, ["conv_id"], heads, "at", "token", "target")
+    """Where the words of each turn, all of them, are said in its conversation: target_id is the first turn with these words,
+    first and last are places among the conversation's words. Turns without a conversation are one conversation."""
+    talk = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    each = Window.partitionBy("conv_id", "turn", "role", "text").orderBy(F.lit(1))
+    talk = talk.withColumn("copy", F.row_number().over(each)).withColumn("words", T.lexical_tokens(F.col("text")))
+    flat = talk.select("conv_id", "turn", "role", "text", "copy", F.posexplode("words").alias("i", "token"))
+    tokens = flat.withColumn("at", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text", "copy", "i")).cast("long") - 1).select("conv_id", "at", "token")
+    targets = talk.where(F.size("words") > 0).groupBy("conv_id", F.col("words").alias("target")).agg(F.min("turn").alias("target_id"))
+    return alignment.text_spans(tokens, ["conv_id"], targets, "at", "token", "target")
 
 
 @_query("SELECT r_name, n_name, count(*) AS n, round(sum(s_acctbal), 2) AS total FROM region JOIN nation ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey GROUP BY CUBE (r_name, n_name)")
