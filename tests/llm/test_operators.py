@@ -119,10 +119,49 @@ def test_jaccard_join_counts_every_link(spark, monkeypatch):
     found = [sets(t, 3) for t in rows]
     want = {i: sum(a is not b and 100 * len(a & b) >= 90 * len(a | b) for b in found) for i, a in enumerate(found)}
     assert max(want.values()) > 20 and len(set(want.values())) > 3
-    got = jaccard.near_duplicates(df, 3, 90).collect()
+    got = jaccard.near_duplicates(df, 3, 90, count_links=True).collect()
     assert sorted((r.doc_id, r.n_links) for r in got) == sorted([*want.items(), (0, 0), (3, 0), (3, want[3])])
 
 
+def test_jaccard_join_tries_few_pairs_of_a_large_group(spark, monkeypatch):
+    """2,000 near copies of one long text, all different: what is verified stays linear in them."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(900)]
+    rows = []
+    for k in range(2000):
+        at = rng.randrange(900)
+        rows.append(" ".join([*words[:at], f"x{k}", *words[at + 1 :]]))
+    rows += [" ".join(words[:300] + [f"y{k}-{j}" for j in range(400)]) for k in range(50)]  # share a passage, but are no copies
+    tried = []
+    verify = jaccard.JaccardJoin.verify
+
+    def counted(self, pairs, texts):
+        tried.append(pairs.count())
+        links = verify(self, pairs, texts)
+        assert links.count() < 2 * len(rows)
+        return links
+
+    monkeypatch.setattr(jaccard.JaccardJoin, "verify", counted)
+    got = jaccard.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), 3, 90).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: k if k >= 2000 else 0 for k in range(2050)}
+    assert sum(tried) < 2 * len(rows)
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_jaccard_join_compares_across_components(spark, monkeypatch, block):
+    """Without any round of attempts all links come from the comparison of whole buckets, whatever its blocks."""
+    rng = random.Random(11)
+    rows = []
+    for _ in range(6):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        for share in (0, 0.01, 0.02, 0.03, 0.04, 0.05, 0.06, 0.08):
+            rows.append(" ".join(w if rng.random() > share else f"z{rng.randrange(10**6)}" for w in words))
+    monkeypatch.setattr(jaccard, "PAIR_BLOCK", block)
+    monkeypatch.setattr(jaccard.JaccardJoin, "_attempt", lambda self, rooted, tried: rooted.select(F.col("cls").alias("a"), F.col("cls").alias("b")).limit(0))
+    got = jaccard.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), 3, 90).collect()
+    assert {r.doc_id: r.component_id for r in got} == components({i: sets(t, 3) for i, t in enumerate(rows)}, 90)
+
+
 def test_jaccard_join_on_odd_rows(spark, docs):
     got = jaccard.near_duplicates(documents(spark, ODD), 3, 90).collect()
     assert len(got) == len(ODD) + 2

@@ -10,13 +10,13 @@ in at most (|A|+|B|)(1-t)/(1+t) n-grams, and their sizes in a ratio of at least
    (band, segment, bits) is one join key. An empty segment says little. Where few are empty, they are cut again under another
    hash, which loses no pair for the same reason. Where many are, the sketch has D + 1 + m segments: a linkable pair agrees on
    m + 1, so a document with at most m empty ones needs no key for these; one with more keeps them.
-3. In each bucket of a key the smallest class is compared with every other; components of those links leave few buckets
-   with several components, and there the pairs that cross components are compared, once each. Pairs whose 512-bit
-   sketches differ in too many bits are dropped before that (Hamming distance bounds the difference from below), the others
-   are verified on their whole texts. No linked pair of different components is left, so components are exact.
-4. Links lie within components. In each component of more than two classes all pairs are compared, in squares of two blocks of at
-   most BLOCK classes: size and Hamming tests within the task, then the whole sets. Each pair lies in one square, so the
-   number of links is exact as well.
+3. In rounds, each class, and later each component, is tried against one leader of its buckets. That is linear in the classes,
+   and the components of the links found close most buckets. In those that still hold several components all pairs that
+   cross components are compared. Pairs whose 512-bit sketches differ in too many bits are dropped before that (Hamming distance
+   bounds the difference from below), the others are verified on their whole texts. No linked pair of different components is
+   left, so components are exact.
+4. Numbers of links are counted only when asked for: links lie within components, so in each component of more than two classes
+   all pairs are compared, in squares of two blocks of at most BLOCK classes.
 """
 
 from __future__ import annotations
@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 
 from turnweave.llm import ragged as R
 from turnweave.llm.bpe import _gather
-from turnweave.llm.lineage import components, park
+from turnweave.llm.lineage import joined_components, park
 
 SEGMENT_BITS = 1 << 20
 SKETCH_WORDS = 8  # of 64 bits, for the Hamming test of a pair
 BLOOM_BITS = 1 << 26  # of the filter that spares texts in no candidate pair; its size is fixed
 BLOCK = 64  # classes; a task holds the texts of two blocks
+PAIR_BLOCK = 512  # classes; a task holds the sketches of two blocks
+ROUNDS = 6  # of attempts at most, before all that is left is compared
 U = R.U64
 
 
@@ -161,35 +163,103 @@ def _sketched(n_gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, cls) in; (key, leader, cls) of each class that isn't its bucket's first out."""
-    key0 = leader0 = last = None
+def _runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Sorted rows, cut so that rows with equal `names` come together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        same = np.ones(batch.num_rows - 1, bool)
+        for name in names:
+            x = batch.column(name).to_numpy()
+            same &= x[1:] == x[:-1]
+        last = int(np.flatnonzero(np.append(True, ~same))[-1])  # where the last run begins
+        if held and last == 0 and all(held[0].column(x)[0] == batch.column(x)[0] for x in names):
+            held.append(batch)
+            continue
+        held.append(batch.slice(0, last))
+        yield pa.Table.from_batches(held)
+        held = [batch.slice(last)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (key, cls) those whose key several classes have."""
+    held = None  # the row before, while it is the first of its key
+    last = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
         key, cls = batch.column("key").to_numpy(), batch.column("cls").to_numpy()
+        same = np.zeros(len(key) + 1, bool)  # as the row before
+        same[1:-1] = key[1:] == key[:-1]
+        same[0] = last is not None and key[0] == last
+        keep = same[:-1] | same[1:]
+        if held is not None and same[0]:
+            key, cls, keep = np.append(held[0], key), np.append(held[1], cls), np.append(True, keep)
+        held = None if same[-2] else (key[-1:], cls[-1:])
+        last = key[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(cls[keep])], names=["key", "cls"])
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, cls, root) sorted by (key, root) in; for each but a key's first, (the first's cls, its own cls and root) out."""
+    key0 = leader0 = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        key, cls, root = (batch.column(x).to_numpy() for x in ("key", "cls", "root"))
         new = np.ones(len(key), bool)
         new[1:] = key[1:] != key[:-1]
         carried = key0 is not None and key[0] == key0
         new[0] = not carried
         group = np.cumsum(new) - (0 if carried else 1)
-        firsts = cls[new]
-        leaders = (np.concatenate([[leader0], firsts]) if carried else firsts)[group]
-        same = np.zeros(len(key), bool)
-        same[1:] = (key[1:] == key[:-1]) & (cls[1:] == cls[:-1])
-        same[0] = carried and cls[0] == last
-        out = ~new & (leaders != cls) & ~same
-        key0, leader0, last = key[-1], leaders[-1], cls[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(leaders[out]), pa.array(cls[out])], names=["key", "leader", "cls"])
+        leaders = (np.append(leader0, cls[new]) if carried else cls[new])[group]
+        key0, leader0 = key[-1], leaders[-1]
+        out = ~new & (leaders != cls)
+        yield pa.RecordBatch.from_arrays([pa.array(leaders[out]), pa.array(cls[out]), pa.array(root[out])], names=["a", "b", "root"])
+
+
+def _crossed(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by (key, lo, hi) in; of each square the pairs (a < b) of different roots that may link out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, ("key", "lo", "hi")):
+            column = lambda c, t=table: t.column(c).to_numpy()
+            cls, root, n = column("cls"), column("root"), column("n")
+            sketch = np.column_stack([column(f"s{k}") for k in range(SKETCH_WORDS)]).view(U)
+            key, lo, hi, block = column("key"), column("lo"), column("hi"), column("block")
+            new = np.append(True, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))
+            start = np.flatnonzero(new)
+            stop = np.append(start[1:], len(key))
+            square = np.cumsum(new) - 1
+            out_a, out_b = [], []
+            for i in range(len(key)):
+                first = i + 1 if lo[i] == hi[i] else start[square[i]]
+                if lo[i] != hi[i] and block[i] != lo[i]:
+                    continue
+                to = np.arange(first, stop[square[i]])
+                if lo[i] != hi[i]:
+                    to = to[block[to] != lo[i]]
+                small, large = np.minimum(n[i], n[to]), np.maximum(n[i], n[to])
+                to = to[(root[to] != root[i]) & (100 * small >= percent * large)]
+                apart = np.bitwise_count(sketch[to] ^ sketch[i]).sum(1, dtype=np.int64)
+                to = to[(100 + percent) * apart <= (100 - percent) * (n[i] + n[to])]
+                out_a.append(np.minimum(cls[i], cls[to]))
+                out_b.append(np.maximum(cls[i], cls[to]))
+            if out_a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+
+    return run
 
 
 def _packed_texts(n_gram: int, percent: int, bloom: bytes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(cls, zstd of the text) of the documents that the filter lets through; a task repeats no class it remembers."""
+    """(cls, zstd of the text) of the documents that the filter lets through; a batch repeats no class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = np.frombuffer(bloom, np.int64)
         pack = zstandard.ZstdCompressor(level=3)
-        seen: set[int] = set()
         for batch in R.chunks(batches, "text"):
             at = batch.column("at").to_numpy(zero_copy_only=False)
             hit = (words[at >> 6] >> (at & 63)) & 1 == 1
@@ -197,14 +267,8 @@ def _packed_texts(n_gram: int, percent: int, bloom: bytes) -> Callable[[Iterator
             if batch.num_rows == 0:
                 continue
             cls = signatures(batch.column("text"), n_gram, percent, False)["cls"]
-            out = []
-            for k, c in enumerate(cls.tolist()):
-                if c not in seen:
-                    if len(seen) > 1_000_000:
-                        seen.clear()
-                    seen.add(c)
-                    out.append(k)
-            z = [pack.compress(batch.column("text")[k].as_buffer()) for k in out]
+            out = np.unique(cls, return_index=True)[1]
+            z = [pack.compress(batch.column("text")[int(k)].as_buffer()) for k in out]
             size = pc.binary_length(batch.column("text")).take(pa.array(out, pa.int64())).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(cls[out]), pa.array(z, pa.binary()), size], names=["cls", "z", "size"])
 
@@ -317,30 +381,12 @@ class JaccardJoin:
         self.rows = park(rows)
         self.classes = park(self.rows.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), *(F.max(f"s{k}").alias(f"s{k}") for k in range(SKETCH_WORDS))))
 
-    def buckets(self) -> DataFrame:
-        """(key, leader, cls): for each key that several classes have, each class but the first."""
+    def members(self) -> DataFrame:
+        """(key, cls): the buckets that several classes share."""
         keyed = self.docs.mapInArrow(_keyed(self.n_gram, self.percent), "cls bigint, keys array<bigint>")
         once = keyed.groupBy("cls").agg(F.first("keys").alias("keys"))
         flat = once.select("cls", F.explode("keys").alias("key"))
-        return flat.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(_stars, "key bigint, leader bigint, cls bigint")
-
-    def _near(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes and sketches allow a link."""
-        left, right = (self.classes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), *(F.col(f"s{k}").alias(f"{x}{k}") for k in range(SKETCH_WORDS))) for x in "ab")
-        return pairs.join(left, "a").join(right, "b").where(self._may_link()).select("a", "b")
-
-    def _may_link(self) -> F.Column:
-        apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
-        p = self.percent
-        return (100 * F.least("na", "nb") >= p * F.greatest("na", "nb")) & ((100 + p) * apart <= (100 - p) * (F.col("na") + F.col("nb")))
-
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of classes that do link, by their whole texts."""
-        pairs = park(self._near(pairs))
-        texts = self._texts(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct())
-        left, right = (texts.select(F.col("cls").alias(x), F.col("z").alias(f"z{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "za", "zb", (F.col("size_a") + F.col("size_b")).alias("size"))
-        return park(both.mapInArrow(_verified(self.n_gram, self.percent), "a bigint, b bigint"))
+        return flat.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(_shared, "key bigint, cls bigint")
 
     def _texts(self, ends: DataFrame) -> DataFrame:
         """(cls, packed text, its size) of these classes, and of a few others."""
@@ -354,22 +400,78 @@ class JaccardJoin:
         packed = self.docs.withColumn("at", place("doc_id")).mapInArrow(_packed_texts(self.n_gram, self.percent, bloom.tobytes()), "cls bigint, z binary, size bigint")
         return park(packed.dropDuplicates(["cls"]))
 
-    def links(self) -> tuple[DataFrame, DataFrame]:
-        """Verified links (a, b) between classes, enough for exact components; and the components (node, root)."""
-        buckets = park(self.buckets())
-        stars = park(buckets.select(F.col("leader").alias("a"), F.col("cls").alias("b")).distinct())
-        links = self.verify(stars)
-        found = park(components(links))
-        members = buckets.select("key", "cls").union(buckets.select("key", F.col("leader").alias("cls")).distinct())
-        members = members.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        open_keys = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-        rest = members.join(open_keys, "key", "left_semi").join(self.classes.drop("rep"), "cls")
-        rest = park(rest)
-        left, right = (rest.select("key", F.col("cls").alias(x), F.col("root").alias(f"root_{x}"), F.col("n").alias(f"n{x}"), *(F.col(f"s{k}").alias(f"{x}{k}") for k in range(SKETCH_WORDS))) for x in "ab")
-        cross = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & self._may_link()).select("a", "b").distinct()
-        more = self.verify(cross.join(stars, ["a", "b"], "left_anti"))
-        links = links.union(more)
-        return links, park(components(links))
+    def _may_link(self) -> F.Column:
+        apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
+        p = self.percent
+        return (100 * F.least("na", "nb") >= p * F.greatest("na", "nb")) & ((100 + p) * apart <= (100 - p) * (F.col("na") + F.col("nb")))
+
+    def _near(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose sizes and sketches allow a link."""
+        left, right = (self.classes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), *(F.col(f"s{k}").alias(f"{x}{k}") for k in range(SKETCH_WORDS))) for x in "ab")
+        return pairs.join(left, "a").join(right, "b").where(self._may_link()).select("a", "b")
+
+    def verify(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """The pairs (a, b) of classes that do link, by their whole texts. The side that many pairs share is `a`: it is joined
+        first, while a row is two numbers."""
+        left, right = (texts.select(F.col("cls").alias(x), F.col("z").alias(f"z{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
+        both = self._near(pairs).join(left, "a").join(right, "b").select("a", "b", "za", "zb", (F.col("size_a") + F.col("size_b")).alias("size"))
+        return park(both.mapInArrow(_verified(self.n_gram, self.percent), "a bigint, b bigint"))
+
+    def _attempt(self, rooted: DataFrame, tried: DataFrame | None) -> DataFrame:
+        """(a, b): for each component but the first of its buckets one pair that was not tried yet, that of the bucket leader
+        with which it shares most buckets."""
+        one = rooted.groupBy("key", "root").agg(F.min("cls").alias("cls")) if tried is not None else rooted
+        stars = one.repartition("key").sortWithinPartitions("key", "root").mapInArrow(_stars, "a bigint, b bigint, root bigint")
+        shared = stars.groupBy("root", "a", "b").agg(F.count("*").alias("n"))
+        if tried is not None:
+            shared = shared.join(tried, ["a", "b"], "left_anti")
+        best = shared.groupBy("root").agg(F.max_by(F.struct("a", "b"), F.struct("n", -F.col("a"), -F.col("b"))).alias("m"))
+        return best.select("m.a", "m.b").distinct()
+
+    def _open(self, members: DataFrame, found: DataFrame) -> DataFrame:
+        """(key, cls, root) of the buckets that still hold several components."""
+        rooted = members.select("key", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        keys = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+        return park(rooted.join(keys, "key", "left_semi"))
+
+    def _crossing(self, rooted: DataFrame) -> DataFrame:
+        """(a, b): all pairs of classes of different components in a bucket whose sizes and sketches allow a link. A bucket is
+        compared in squares of two blocks of about PAIR_BLOCK classes, and the tests are made before a pair leaves its task."""
+        blocks = rooted.groupBy("key").agg(F.ceil(F.count("*") / PAIR_BLOCK).alias("blocks"))
+        placed = rooted.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("cls", "key"), "blocks"))
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+        squares = placed.withColumn("other", other).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+        squares = squares.join(self.classes.drop("rep"), "cls").select("key", "lo", "hi", "block", "cls", "root", "n", *(f"s{k}" for k in range(SKETCH_WORDS)))
+        sorted_ = squares.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+        return sorted_.mapInArrow(_crossed(self.percent), "a bigint, b bigint").distinct()
+
+    def links(self) -> DataFrame:
+        """The components (node, root) of all links between classes.
+
+        Each round tries one pair for each component of the buckets that are still open, so what is tried is linear in the
+        classes. Rounds end when few attempts succeed; then the pairs that cross components in a bucket are compared, all of
+        them, so no link between two components is left.
+        """
+        rooted = park(self.members())
+        self.texts = self._texts(rooted.select("cls").distinct())
+        rooted = rooted.withColumn("root", F.col("cls"))
+        found = tried = None
+        for _ in range(ROUNDS):
+            pairs = park(self._attempt(rooted, tried))
+            n_pairs = pairs.count()
+            if n_pairs == 0:
+                break
+            links = self.verify(pairs, self.texts)
+            found = park(joined_components(found, links))
+            tried = pairs if tried is None else tried.union(pairs)
+            rooted = self._open(rooted, found)
+            if links.count() * 10 < n_pairs:
+                break
+        crossing = self._crossing(rooted)
+        crossing = park(crossing if tried is None else crossing.join(tried, ["a", "b"], "left_anti"))
+        if found is not None and crossing.isEmpty():
+            return found
+        return park(joined_components(found, self.verify(crossing, self.texts)))
 
     def degrees(self, found: DataFrame) -> DataFrame:
         """(cls, n_links): the exact number of other classes that a class is linked with, for the classes in components."""
@@ -378,7 +480,7 @@ class JaccardJoin:
         pairs = ranked.where("members = 2").select("cls", F.lit(1).cast("long").alias("n_links"))  # the link that joins them
         many = park(ranked.where("members > 2").join(self.classes, "cls"))
         place = F.row_number().over(Window.partitionBy("root").orderBy("n", "cls")) - 1
-        many = many.withColumn("block", F.floor(place / BLOCK).cast("long")).join(self._texts(many.select("cls")), "cls")
+        many = many.withColumn("block", F.floor(place / BLOCK).cast("long")).join(self.texts, "cls")
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("members") - 1) / BLOCK).cast("long")))
         squares = many.withColumn("other", other).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
         squares = squares.select("root", "lo", "hi", "block", "cls", "n", *(f"s{k}" for k in range(SKETCH_WORDS)), "z")
@@ -387,25 +489,28 @@ class JaccardJoin:
 
     def groups(self) -> tuple[DataFrame, DataFrame]:
         """(cls, component_id) of all classes; and the components (node, root) of those with links."""
-        _, found = self.links()
+        found = self.links()
         named = self.classes.select("cls", "rep").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
         return named.join(ids, "root").select("cls", "component_id"), found
 
     def components(self) -> DataFrame:
-        """doc_id, component_id: `result` without the number of links, for which not all links need be found."""
+        """doc_id, n_shingles, component_id (smallest doc_id reachable, itself included). A null component_id, of rows without a
+        doc_id and without a partner, stays null."""
         named = park(self.groups()[0])
-        return self.rows.select("doc_id", "cls").join(named, "cls", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+        out = self.rows.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
+        return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
-    def result(self) -> DataFrame:
-        """doc_id, n_shingles, component_id (smallest doc_id reachable, itself included), and the class's number of
-        links to other classes."""
+    def counted(self) -> DataFrame:
+        """`components` and n_links, the class's exact number of links to other classes. All pairs within a component are compared for
+        that, block by block: the work grows with the square of a component, where `components` grows with its size."""
         named, found = self.groups()
         named = park(named.join(self.degrees(found), "cls", "left").select("cls", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
         out = self.rows.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
         return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def near_duplicates(docs: DataFrame, n_gram: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """See `JaccardJoin`; one row per input row."""
-    return JaccardJoin(docs, n_gram, percent, id_col, text_col).result()
+def near_duplicates(docs: DataFrame, n_gram: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", count_links: bool = False) -> DataFrame:
+    """See `JaccardJoin`; one row per input row: doc_id, n_shingles, component_id and, if asked for, n_links."""
+    join = JaccardJoin(docs, n_gram, percent, id_col, text_col)
+    return join.counted() if count_links else join.components()

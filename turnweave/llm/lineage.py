@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
 def shared_dir(df: DataFrame) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset, as in tests, one under /tmp/checkpoints."""
+    """The folder named by spark.checkpoint.dir. Where that is unset and Spark is local, as in tests, one under /tmp/checkpoints; on
+    a cluster a folder of one machine would lose the other machines' parts, so there it is an error."""
     spark = df.sparkSession
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    master = spark.conf.get("spark.master", "")
+    if not named and not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (named or "file:///tmp/checkpoints").rstrip("/")
 
 
@@ -23,13 +27,20 @@ def park(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _parked(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a written table; their number and checksum are observed while they are written."""
+    seen = Observation()
+    table = park(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")))
+    return table, (seen.get["n"], seen.get["sum"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a bigint, b bigint): one row (node, root) for each node in a link; root is the
     smallest node of its component. Alternating large-star and small-star steps; each step's edges are written to the shared
     folder, and only their count and checksum reach the driver."""
-    edges = park(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    edges, state = _parked(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     seen = None
-    while True:
+    while state[0] and state != seen:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -37,9 +48,18 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        edges = park(small.where("u <> v").distinct())
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
         seen = state
+        edges, state = _parked(small.where("u <> v").distinct())
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
+
+
+def joined_components(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """`components` of links together with components (node, root) known before; only the roots that links join are worked on."""
+    if found is None:
+        return components(links)
+    for end in "ab":
+        roots = found.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        links = links.join(roots, end, "left").withColumn(end, F.coalesce(f"root_{end}", end)).drop(f"root_{end}")
+    more = park(components(links))
+    moved = found.join(more.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
+    return moved.select("node", F.coalesce("new", "root").alias("root")).union(more.join(found, "node", "left_anti").select("node", "root"))
