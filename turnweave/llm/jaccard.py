@@ -32,14 +32,15 @@ from pyspark.sql import functions as F
 
 from turnweave.llm import ragged as R
 from turnweave.llm.bpe import _gather
-from turnweave.llm.lineage import joined_components, park
+from turnweave.llm.lineage import components, followed, joined_roots, park, park_counted, small_batches
 
 SEGMENT_BITS = 1 << 20
 SKETCH_WORDS = 8  # of 64 bits, for the Hamming test of a pair
 BLOOM_BITS = 1 << 26  # of the filter that spares texts in no candidate pair; its size is fixed
 BLOCK = 64  # classes; a task holds the texts of two blocks
 PAIR_BLOCK = 512  # classes; a task holds the sketches of two blocks
-ROUNDS = 6  # of attempts at most, before all that is left is compared
+ROUNDS = 2  # of attempts at most, before all that is left is compared
+PAIR = "a bigint, b bigint, ra bigint, rb bigint"  # two classes and their components' roots
 U = R.U64
 
 
@@ -204,25 +205,25 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, cls, root) sorted by (key, root) in; for each but a key's first, (the first's cls, its own cls and root) out."""
-    key0 = leader0 = None
+    """Rows (key, root, cls) sorted in; of each root in a key but the first its first cls (b, rb) and that of the key (a, ra) out."""
+    last = None  # (key, root) of the row before, and cls and root of its key's first row
     for batch in batches:
         if batch.num_rows == 0:
             continue
         key, cls, root = (batch.column(x).to_numpy() for x in ("key", "cls", "root"))
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        carried = key0 is not None and key[0] == key0
-        new[0] = not carried
+        carried = last is not None and key[0] == last[0]
+        new = np.append(not carried, key[1:] != key[:-1])
+        other = np.append(not carried or root[0] != last[1], new[1:] | (root[1:] != root[:-1]))
         group = np.cumsum(new) - (0 if carried else 1)
-        leaders = (np.append(leader0, cls[new]) if carried else cls[new])[group]
-        key0, leader0 = key[-1], leaders[-1]
-        out = ~new & (leaders != cls)
-        yield pa.RecordBatch.from_arrays([pa.array(leaders[out]), pa.array(cls[out]), pa.array(root[out])], names=["a", "b", "root"])
+        first_cls, first_root = (np.append(last[2], cls[new]), np.append(last[3], root[new])) if carried else (cls[new], root[new])
+        a, ra = first_cls[group], first_root[group]
+        last = key[-1], root[-1], a[-1], ra[-1]
+        out = other & ~new & (ra != root)
+        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (a, cls, ra, root)], names=["a", "b", "ra", "rb"])
 
 
 def _crossed(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows sorted by (key, lo, hi) in; of each square the pairs (a < b) of different roots that may link out."""
+    """Rows sorted by (key, lo, hi) in; of each square the pairs of different roots that may link out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, ("key", "lo", "hi")):
@@ -234,7 +235,7 @@ def _crossed(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             start = np.flatnonzero(new)
             stop = np.append(start[1:], len(key))
             square = np.cumsum(new) - 1
-            out_a, out_b = [], []
+            out_i, out_j = [], []
             for i in range(len(key)):
                 first = i + 1 if lo[i] == hi[i] else start[square[i]]
                 if lo[i] != hi[i] and block[i] != lo[i]:
@@ -246,10 +247,12 @@ def _crossed(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
                 to = to[(root[to] != root[i]) & (100 * small >= percent * large)]
                 apart = np.bitwise_count(sketch[to] ^ sketch[i]).sum(1, dtype=np.int64)
                 to = to[(100 + percent) * apart <= (100 - percent) * (n[i] + n[to])]
-                out_a.append(np.minimum(cls[i], cls[to]))
-                out_b.append(np.maximum(cls[i], cls[to]))
-            if out_a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+                swap = root[to] < root[i]  # a is of the smaller root, as in `_stars`
+                out_i.append(np.where(swap, to, i))
+                out_j.append(np.where(swap, i, to))
+            if out_i:
+                i, j = np.concatenate(out_i), np.concatenate(out_j)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cls[i], cls[j], root[i], root[j])], names=["a", "b", "ra", "rb"])
 
     return run
 
@@ -291,7 +294,8 @@ def _verified(n_gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]],
             both = np.bincount(pair[order[twice]], minlength=batch.num_rows)
             union = size[::2] + size[1::2] - both
             ok = 100 * both >= percent * union
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok))], names=["a", "b"])
+            names = ["a", "b", "ra", "rb"]
+            yield pa.RecordBatch.from_arrays([batch.column(x).filter(pa.array(ok)) for x in names], names=names)
 
     return run
 
@@ -375,7 +379,7 @@ class JaccardJoin:
     def __init__(self, docs: DataFrame, n_gram: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> None:
         self.n_gram, self.percent = n_gram, percent
         self.kind = docs.schema[id_col].dataType.simpleString()
-        self.docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        self.docs = small_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
         sketch = ", ".join(f"s{k} bigint" for k in range(SKETCH_WORDS))
         rows = self.docs.mapInArrow(_sketched(n_gram, percent), f"doc_id {self.kind}, n_shingles bigint, cls bigint, {sketch}")
         self.rows = park(rows)
@@ -408,34 +412,35 @@ class JaccardJoin:
     def _near(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and sketches allow a link."""
         left, right = (self.classes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), *(F.col(f"s{k}").alias(f"{x}{k}") for k in range(SKETCH_WORDS))) for x in "ab")
-        return pairs.join(left, "a").join(right, "b").where(self._may_link()).select("a", "b")
+        return pairs.join(left, "a").join(right, "b").where(self._may_link()).select("a", "b", "ra", "rb")
 
-    def verify(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        """The pairs (a, b) of classes that do link, by their whole texts. The side that many pairs share is `a`: it is joined
-        first, while a row is two numbers."""
+    def verify(self, pairs: DataFrame, texts: DataFrame) -> tuple[DataFrame, int]:
+        """The pairs (a, b, with their roots ra, rb) of classes that do link, by their whole texts, and their number. The side that many
+        pairs share is `a`: it is joined first, while a row is a few numbers."""
         left, right = (texts.select(F.col("cls").alias(x), F.col("z").alias(f"z{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
-        both = self._near(pairs).join(left, "a").join(right, "b").select("a", "b", "za", "zb", (F.col("size_a") + F.col("size_b")).alias("size"))
-        return park(both.mapInArrow(_verified(self.n_gram, self.percent), "a bigint, b bigint"))
+        both = self._near(pairs).join(left, "a").join(right, "b").select("a", "b", "ra", "rb", "za", "zb", (F.col("size_a") + F.col("size_b")).alias("size"))
+        links, seen = park_counted(small_batches(both).mapInArrow(_verified(self.n_gram, self.percent), PAIR))
+        return links, seen[0]
 
     def _attempt(self, rooted: DataFrame, tried: DataFrame | None) -> DataFrame:
-        """(a, b): for each component but the first of its buckets one pair that was not tried yet, that of the bucket leader
-        with which it shares most buckets."""
-        one = rooted.groupBy("key", "root").agg(F.min("cls").alias("cls")) if tried is not None else rooted
-        stars = one.repartition("key").sortWithinPartitions("key", "root").mapInArrow(_stars, "a bigint, b bigint, root bigint")
-        shared = stars.groupBy("root", "a", "b").agg(F.count("*").alias("n"))
+        """For each component but the first of its buckets one pair that was not tried yet: with the bucket leader with which it shares
+        most buckets. The leader's root is the smaller one."""
+        stars = rooted.repartition("key").sortWithinPartitions("key", "root", "cls").mapInArrow(_stars, PAIR)
+        shared = stars.groupBy("rb", "ra", "a", "b").agg(F.count("*").alias("n"))
         if tried is not None:
-            shared = shared.join(tried, ["a", "b"], "left_anti")
-        best = shared.groupBy("root").agg(F.max_by(F.struct("a", "b"), F.struct("n", -F.col("a"), -F.col("b"))).alias("m"))
-        return best.select("m.a", "m.b").distinct()
+            shared = shared.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        best = shared.groupBy("rb").agg(F.max_by(F.struct("a", "b", "ra"), F.struct("n", -F.col("a"), -F.col("b"))).alias("m"))
+        return best.select("m.a", "m.b", "m.ra", "rb")
 
-    def _open(self, members: DataFrame, found: DataFrame) -> DataFrame:
-        """(key, cls, root) of the buckets that still hold several components."""
+    def _open(self, members: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
+        """(key, cls, root) of the buckets that still hold several components, and their number."""
         rooted = members.select("key", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         keys = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-        return park(rooted.join(keys, "key", "left_semi"))
+        opened, seen = park_counted(rooted.join(keys, "key", "left_semi"))
+        return opened, seen[0]
 
     def _crossing(self, rooted: DataFrame) -> DataFrame:
-        """(a, b): all pairs of classes of different components in a bucket whose sizes and sketches allow a link. A bucket is
+        """All pairs of classes of different components in a bucket whose sizes and sketches allow a link. A bucket is
         compared in squares of two blocks of about PAIR_BLOCK classes, and the tests are made before a pair leaves its task."""
         blocks = rooted.groupBy("key").agg(F.ceil(F.count("*") / PAIR_BLOCK).alias("blocks"))
         placed = rooted.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("cls", "key"), "blocks"))
@@ -443,38 +448,44 @@ class JaccardJoin:
         squares = placed.withColumn("other", other).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
         squares = squares.join(self.classes.drop("rep"), "cls").select("key", "lo", "hi", "block", "cls", "root", "n", *(f"s{k}" for k in range(SKETCH_WORDS)))
         sorted_ = squares.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-        return sorted_.mapInArrow(_crossed(self.percent), "a bigint, b bigint").distinct()
+        return sorted_.mapInArrow(_crossed(self.percent), PAIR).distinct()
 
-    def links(self) -> DataFrame:
-        """The components (node, root) of all links between classes.
+    def links(self) -> DataFrame | None:
+        """The components (node, root) of all links between classes, without the roots themselves; None if no bucket is shared.
 
         Each round tries one pair for each component of the buckets that are still open, so what is tried is linear in the
-        classes. Rounds end when few attempts succeed; then the pairs that cross components in a bucket are compared, all of
-        them, so no link between two components is left.
+        classes. Its links are pointers to smaller roots, one a root, and followed to their ends. Rounds end when few attempts succeed;
+        then the pairs that cross components in a bucket are compared, all of them, so no link between two components is left.
         """
-        rooted = park(self.members())
-        self.texts = self._texts(rooted.select("cls").distinct())
-        rooted = rooted.withColumn("root", F.col("cls"))
+        members, seen = park_counted(self.members())
+        if not seen[0]:
+            return None
+        self.texts = self._texts(members.select("cls").distinct())
+        rooted = members.withColumn("root", F.col("cls"))
         found = tried = None
         for _ in range(ROUNDS):
-            pairs = park(self._attempt(rooted, tried))
-            n_pairs = pairs.count()
-            if n_pairs == 0:
+            pairs, (n_pairs,) = park_counted(self._attempt(rooted, tried))
+            if not n_pairs:
                 break
-            links = self.verify(pairs, self.texts)
-            found = park(joined_components(found, links))
+            links, n_links = self.verify(pairs, self.texts)
             tried = pairs if tried is None else tried.union(pairs)
-            rooted = self._open(rooted, found)
-            if links.count() * 10 < n_pairs:
+            if n_links:
+                found = joined_roots(found, followed(links.select(F.col("rb").alias("node"), F.col("ra").alias("root"))))
+                rooted, n_open = self._open(rooted, found)
+                if not n_open:
+                    return found
+            if n_links * 10 < n_pairs:
                 break
         crossing = self._crossing(rooted)
-        crossing = park(crossing if tried is None else crossing.join(tried, ["a", "b"], "left_anti"))
-        if found is not None and crossing.isEmpty():
+        crossing, (n_pairs,) = park_counted(crossing if tried is None else crossing.join(tried, ["a", "b"], "left_anti"))
+        if not n_pairs:
             return found
-        return park(joined_components(found, self.verify(crossing, self.texts)))
+        links, n_links = self.verify(crossing, self.texts)
+        return joined_roots(found, park(components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b"))))) if n_links else found
 
     def degrees(self, found: DataFrame) -> DataFrame:
         """(cls, n_links): the exact number of other classes that a class is linked with, for the classes in components."""
+        found = found.union(found.select("root", "root").distinct())
         sizes = found.groupBy("root").agg(F.count("*").alias("members"))
         ranked = found.join(sizes, "root").withColumnRenamed("node", "cls")
         pairs = ranked.where("members = 2").select("cls", F.lit(1).cast("long").alias("n_links"))  # the link that joins them
@@ -487,9 +498,11 @@ class JaccardJoin:
         counted = squares.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(_squares(self.n_gram, self.percent), "cls bigint, n_links bigint")
         return pairs.union(counted.groupBy("cls").agg(F.sum("n_links").alias("n_links")))
 
-    def groups(self) -> tuple[DataFrame, DataFrame]:
+    def groups(self) -> tuple[DataFrame, DataFrame | None]:
         """(cls, component_id) of all classes; and the components (node, root) of those with links."""
         found = self.links()
+        if found is None:
+            return self.classes.select("cls", F.col("rep").alias("component_id")), None
         named = self.classes.select("cls", "rep").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
         return named.join(ids, "root").select("cls", "component_id"), found
@@ -505,7 +518,8 @@ class JaccardJoin:
         """`components` and n_links, the class's exact number of links to other classes. All pairs within a component are compared for
         that, block by block: the work grows with the square of a component, where `components` grows with its size."""
         named, found = self.groups()
-        named = park(named.join(self.degrees(found), "cls", "left").select("cls", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
+        links = self.degrees(found) if found is not None else named.select("cls", F.lit(0).cast("long").alias("n_links")).limit(0)
+        named = park(named.join(links, "cls", "left").select("cls", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
         out = self.rows.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
         return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 

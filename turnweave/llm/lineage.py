@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,15 @@ def shared_dir(df: DataFrame) -> str:
     return (named or "file:///tmp/checkpoints").rstrip("/")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """`df`, after its session's Arrow batches were bounded to 4 MB where they had Spark's own bound of 64 MB: several tasks hold a
+    few batches each, in the JVM and in Python, and texts are long. It changes memory, not results."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name, "64MB") in ("64MB", "67108864b", "67108864"):
+        conf.set(name, "4MB")
+    return df
+
+
 def park(df: DataFrame) -> DataFrame:
     """Writes `df` as a Parquet table in the shared folder and reads it back: later steps start from files that survive
     the loss of any executor."""
@@ -27,18 +36,19 @@ def park(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _parked(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges as a written table; their number and checksum are observed while they are written."""
+def park_counted(df: DataFrame, *more: Column) -> tuple[DataFrame, tuple]:
+    """`park`, and what is observed while writing: the number of rows, and `more` aggregates."""
     seen = Observation()
-    table = park(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")))
-    return table, (seen.get["n"], seen.get["sum"])
+    table = park(df.observe(seen, F.count(F.lit(1)).alias("n"), *(c.alias(f"m{k}") for k, c in enumerate(more))))
+    return table, (seen.get["n"], *(seen.get[f"m{k}"] for k in range(len(more))))
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Connected components of links (a bigint, b bigint): one row (node, root) for each node in a link; root is the
+    """Connected components of links (a bigint, b bigint): a row (node, root) for each node but the roots; root is the
     smallest node of its component. Alternating large-star and small-star steps; each step's edges are written to the shared
     folder, and only their count and checksum reach the driver."""
-    edges, state = _parked(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    check = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    edges, state = park_counted(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), check)
     seen = None
     while state[0] and state != seen:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -49,17 +59,25 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         seen = state
-        edges, state = _parked(small.where("u <> v").distinct())
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
+        edges, state = park_counted(small.where("u <> v").distinct(), check)
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def followed(pointers: DataFrame) -> DataFrame:
+    """(node, root) of pointers (node, root), one a node, that lead to smaller nodes: each followed to its end, the distance doubling in
+    every step."""
+    now = pointers
+    while True:
+        beyond = now.select(F.col("node").alias("root"), F.col("root").alias("_next"))
+        now, (_, moved) = park_counted(now.join(beyond, "root", "left").select("node", F.coalesce("_next", "root").alias("root"), "_next"), F.count("_next"))
+        now = now.drop("_next")
+        if not moved:
+            return now
 
 
-def joined_components(found: DataFrame | None, links: DataFrame) -> DataFrame:
-    """`components` of links together with components (node, root) known before; only the roots that links join are worked on."""
+def joined_roots(found: DataFrame | None, more: DataFrame) -> DataFrame:
+    """Components (node, root) known before and those of their roots (node, root) as one table."""
     if found is None:
-        return components(links)
-    for end in "ab":
-        roots = found.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-        links = links.join(roots, end, "left").withColumn(end, F.coalesce(f"root_{end}", end)).drop(f"root_{end}")
-    more = park(components(links))
-    moved = found.join(more.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
-    return moved.select("node", F.coalesce("new", "root").alias("root")).union(more.join(found, "node", "left_anti").select("node", "root"))
+        return more
+    moved = found.join(more.select(F.col("node").alias("root"), F.col("root").alias("_new")), "root", "left")
+    return park(moved.select("node", F.coalesce("_new", "root").alias("root")).union(more.select("node", "root")))
