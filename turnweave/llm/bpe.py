@@ -2,34 +2,41 @@
 
 1. Each task cuts its texts into pre-tokens, block by block (about `BLOCK_BYTES` of text): a list of the block's distinct
    words, and for each pre-token in its position the word's number in that list.
-2. The blocks' distinct words are shuffled by word, so a word is encoded in one task, once (its task remembers it).
+2. The blocks' distinct words are shuffled by word, so all lists that hold a word meet in one task. There the words of all
+   lists are made distinct and encoded once, all together: a vectorised merge loop that merges in each word its leftmost pair
+   of lowest rank, round by round (`merged`).
 3. The ids meet the blocks' numbers again (a cogroup by block), are joined to them and reassembled by position.
 
-Pre-tokens themselves are never shuffled as rows: a block's numbers travel packed, once, and its list holds a word once.
-Words and numbers come from two passes over the texts, which costs less than shuffling the numbers twice. A block's name is
-a hash of its content, so both passes agree if the input cuts into the same batches again: read it from files or from a
-written table, not from a shuffle. Decoding joins ids with the token-byte table, whose size is that of the vocabulary file.
+Pre-tokens and words travel packed, a block's list or numbers as one value: as rows of their own (one for each distinct word of a
+block, about 24,000 a MB of the test texts in blocks of 8 MB) they would need more than the 1.5 x input of disk that the
+operator has. Words and numbers come from two passes over the texts, which costs less than shuffling the numbers twice. A block is
+named by its partition and its place there, so copies of a text are blocks of their own; its content's hash goes along, and
+two passes that disagree are an error. Input that is not read from files is written first (`encode`). Decoding joins ids with
+the token-byte table, whose size is that of the vocabulary file, within the task.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import heapq
 import unicodedata
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnweave.llm import ragged as R
+from turnweave.llm.lineage import park, small_batches
 
 BLOCK_BYTES = 2 << 20
-REMEMBERED = 150_000  # words a task remembers; beyond that it starts afresh and encodes a returning word again
+LIST_BYTES = 24 << 20  # of words that are made distinct at once; a part with more, for want of partitions, is worked off in several goes
+LONG = 64  # bytes; longer words are merged one by one
 
 # White space of the pre-token pattern.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -135,16 +142,17 @@ def _dictionary(data: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return s[at], size, h[at], inverse
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Blocks: rows, name, bytes, starts of pre-tokens, pre-tokens before each text."""
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks: rows, name, hash of the content, bytes, starts of pre-tokens, pre-tokens before each text."""
+    name = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
 
-    def block(held: list[pa.RecordBatch]) -> tuple[pa.Table, int, np.ndarray, np.ndarray, np.ndarray]:
+    def block(held: list[pa.RecordBatch]) -> tuple[pa.Table, int, int, np.ndarray, np.ndarray, np.ndarray]:
         table = pa.Table.from_batches(held)
         data, offs = R.buffer(table.column("text"))
         s, before = pre_tokens(data, offs)
         whole = R.span_hash(data, np.zeros(1, np.int64), np.full(1, len(data)))
-        name = R.mix(whole + R.mix(offs.astype(R.U64) + np.arange(len(offs), dtype=R.U64) * R.U64(31)).sum())
-        return table, int(name.view(np.int64)[0]), data, s, before
+        content = R.mix(whole + R.mix(offs.astype(R.U64) + np.arange(len(offs), dtype=R.U64) * R.U64(31)).sum())
+        return table, name, int(content.view(np.int64)[0]), data, s, before
 
     held: list[pa.RecordBatch] = []
     size = 0
@@ -153,75 +161,191 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, int, np.
         if held and size + more > BLOCK_BYTES:
             yield block(held)
             held, size = [], 0
+            name += 1
         held.append(batch)
         size += more
     if held:
         yield block(held)
 
 
-def _words(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _words(parts: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Each block's distinct words, a row for each of the parts that its words fall into by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, name, data, s, _ in _cut(batches):
+        names = np.array(parts, np.int64)
+        for _, name, content, data, s, _ in _cut(batches):
             if len(s) == 0:
                 continue
             at, length, h, _ = _dictionary(data, s)
-            to = (h % R.U64(parts)).astype(np.int64)
+            to = (h % R.U64(len(parts))).astype(np.int64)
             order = np.argsort(to, kind="stable")
-            edges = np.searchsorted(to[order], np.arange(parts + 1))
+            edges = np.searchsorted(to[order], np.arange(len(parts) + 1))
             full = np.flatnonzero(np.diff(edges))
             payloads = []
             for p in full:
                 mine = order[edges[p] : edges[p + 1]]
                 payloads.append(_pack(_planes(np.diff(mine, prepend=0)), _planes(length[mine]), data[_gather(at[mine], length[mine])]))
-            yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(np.full(len(full), name)), pa.array(payloads, pa.binary())], names=["part", "block", "payload"])
+            yield pa.RecordBatch.from_arrays([pa.array(names[full]), pa.array(np.full(len(full), name)), pa.array(np.full(len(full), content)), pa.array(payloads, pa.binary())], names=["part", "block", "content", "payload"])
 
     return run
 
 
 def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each block's word numbers and the ids of its rows."""
-    for table, name, data, s, before in _cut(batches):
+    for table, name, content, data, s, before in _cut(batches):
         number = _dictionary(data, s)[3] if len(s) else np.zeros(0, np.int64)
         ids = pa.concat_arrays(table.column("doc_id").chunks)
         lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
         payload = _pack(before.astype(np.int64), _planes(number))
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([payload], pa.binary()), lists], names=["block", "payload", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([content]), pa.array([payload], pa.binary()), lists], names=["block", "content", "payload", "ids"])
 
 
-def _encoder(path: str) -> Callable[[bytes], list[int]]:
-    import tiktoken
+@functools.cache
+def _merges(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The id of each byte; and all pairs of tokens that make a token: keys left << 32 | right, ascending, and its id."""
+    table = ranks(path)
+    single = np.array([table[bytes([b])] for b in range(256)], np.int64)
+    pairs = [(table[t[:k]] << 32 | table[t[k:]], rank) for t, rank in table.items() for k in range(1, len(t)) if t[:k] in table and t[k:] in table]
+    keys, made = (np.array(x, np.int64) for x in zip(*sorted(pairs), strict=True)) if pairs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return single, keys, made
+
+
+NONE = np.int64(1 << 40)  # no pair
+
+
+def _paired(left: np.ndarray, right: np.ndarray, keys: np.ndarray, made: np.ndarray) -> np.ndarray:
+    """The id of each pair's token, or NONE."""
+    if len(keys) == 0:
+        return np.full(len(left), NONE)
+    want = left << 32 | right
+    at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+    return np.where(keys[at] == want, made[at], NONE)
+
+
+def merged(data: np.ndarray, size: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words that lie one after another in `data`, and each word's number of ids.
+
+    In every round each word that still has a mergeable pair merges one, the leftmost of its lowest rank."""
+    single, keys, made = _merges(path)
+    n = len(size)
+    ids = single[data]
+    word = np.repeat(np.arange(n), size)
+    long = size > LONG
+    done_word, done_ids = [word[:0]], [ids[:0]]
+    if long.any():
+        start = np.cumsum(size) - size
+        for k in np.flatnonzero(long):
+            found = _merged_alone(ids[start[k] : start[k] + size[k]].tolist(), path)
+            done_word.append(np.full(len(found), k))
+            done_ids.append(np.array(found, np.int64))
+        short = ~long[word]
+        word, ids = word[short], ids[short]
+    pair = np.full(len(ids), NONE)  # of a token and the one after it
+    inner = np.flatnonzero(word[1:] == word[:-1])
+    pair[inner] = _paired(ids[inner], ids[inner + 1], keys, made)
+    while len(ids):
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        count = np.diff(np.append(first, len(word)))
+        least = np.minimum.reduceat(pair, first)
+        busy = least < NONE
+        if not busy.all():
+            stay = np.repeat(busy, count)
+            done_word.append(word[~stay])
+            done_ids.append(ids[~stay])
+            word, ids, pair = word[stay], ids[stay], pair[stay]
+            least, count = least[busy], count[busy]
+            if len(ids) == 0:
+                break
+        hit = np.flatnonzero(pair == np.repeat(least, count))
+        hit = hit[np.append(True, word[hit[1:]] != word[hit[:-1]])]  # the leftmost of each word
+        ids[hit] = pair[hit]
+        keep = np.ones(len(ids), bool)
+        keep[hit + 1] = False
+        moved = np.cumsum(keep) - 1
+        word, ids, pair = word[keep], ids[keep], pair[keep]
+        hit = moved[hit]
+        for at in (hit, hit - 1):  # pairs that begin with, or end in, the new token
+            at = at[at >= 0]
+            nxt = np.minimum(at + 1, len(ids) - 1)
+            inside = (at + 1 < len(ids)) & (word[nxt] == word[at])
+            fresh = np.full(len(at), NONE)
+            fresh[inside] = _paired(ids[at[inside]], ids[nxt[inside]], keys, made)
+            pair[at] = fresh
+    word, ids = np.concatenate(done_word), np.concatenate(done_ids)
+    order = np.argsort(word, kind="stable")
+    return ids[order], np.bincount(word, minlength=n)
+
+
+def _merged_alone(ids: list[int], path: str) -> list[int]:
+    """One long word, by a heap of its pairs and a linked list of its tokens."""
+    _, keys, made = _merges(path)
+    pairs = _pair_table(path)
+    n = len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(pairs[key], k, ids[k], ids[k + 1]) for k in range(n - 1) if (key := ids[k] << 32 | ids[k + 1]) in pairs]
+    heapq.heapify(heap)
+    while heap:
+        made_id, k, left, right = heapq.heappop(heap)
+        nxt = after[k]
+        if ids[k] != left or nxt >= n or ids[nxt] != right:
+            continue
+        ids[k], ids[nxt] = made_id, -1
+        after[k] = after[nxt]
+        if after[k] < n:
+            before[after[k]] = k
+        for a, b in ((before[k], k), (k, after[k])):
+            if a >= 0 and b < n and (key := ids[a] << 32 | ids[b]) in pairs:
+                heapq.heappush(heap, (pairs[key], a, ids[a], ids[b]))
+    return [x for x in ids if x >= 0]
 
-    return tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks(path), special_tokens={})._encode_single_piece
+
+@functools.cache
+def _pair_table(path: str) -> dict[int, int]:
+    _, keys, made = _merges(path)
+    return dict(zip(keys.tolist(), made.tolist(), strict=True))
 
 
 def _encode_words(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Encodes the distinct words of a part's lists, each once, and hands every list its ids."""
+
+    def coded(held: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        sizes = [_from_planes(length).astype(np.int64) for _, _, _, length, _ in held]
+        size, data = np.concatenate(sizes), np.concatenate([words for *_, words in held])
+        end = np.cumsum(size)
+        h = R.span_hash(data, end - size, end)
+        _, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+        if not np.array_equal(size[at][inverse], size) or not np.array_equal(data[_gather((end - size)[at][inverse], size)], data):
+            raise ValueError("two words share a 64-bit hash")
+        ids, count = merged(data[_gather((end - size)[at], size[at])], size[at], path)
+        start = np.cumsum(count) - count
+        out, base = [], 0
+        for (_, _, step, _, _), length in zip(held, sizes, strict=True):
+            mine = inverse[base : base + len(length)]
+            base += len(length)
+            out.append(_pack(step, _planes(count[mine]), _planes(ids[_gather(start[mine], count[mine])])))
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held]), pa.array([x[1] for x in held]), pa.array(out, pa.binary())], names=["block", "content", "payload"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, known = _encoder(path), {}
+        held, size = [], 0
         for batch in batches:
-            out = []
-            for payload in batch.column("payload"):
-                step, length, words = _unpack(payload.as_buffer(), np.uint8, np.uint8, np.uint8)
-                raw, ids, start = words.tobytes(), [], 0
-                for end in np.cumsum(_from_planes(length).astype(np.int64)).tolist():
-                    word = raw[start:end]
-                    start = end
-                    found = known.get(word)
-                    if found is None:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        found = known[word] = array("I", one(word)).tobytes()
-                    ids.append(found)
-                flat = np.frombuffer(b"".join(ids), np.uint32)
-                out.append(_pack(step, _planes(np.array([len(x) // 4 for x in ids])), _planes(flat)))
-            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(out, pa.binary())], names=["block", "payload"])
+            for block, content, payload in zip(*(batch.column(c) for c in ("block", "content", "payload")), strict=True):
+                parts = _unpack(payload.as_buffer(), np.uint8, np.uint8, np.uint8)
+                held.append((block.as_py(), content.as_py(), *parts))
+                size += len(parts[2])
+                if size >= LIST_BYTES:
+                    yield coded(held)
+                    held, size = [], 0
+        if held:
+            yield coded(held)
 
     return run
 
 
 def _reassemble(numbers: pa.Table, words: pa.Table) -> pa.Table:
-    """The rows of a block: the ids of each pre-token's word, in order. Blocks of equal content share a name and words."""
+    """The rows of a block: the ids of each pre-token's word, in order."""
+    contents = pa.compute.unique(pa.concat_arrays([c for t in (numbers, words) for c in t.column("content").chunks]))
+    if numbers.num_rows != 1 or len(contents) != 1:
+        raise ValueError("two passes over the texts gave different blocks: write the input first")
     parts = [[_from_planes(x) for x in _unpack(p.as_buffer(), np.uint8, np.uint8, np.uint8)] for p in words.column("payload")]
     n_words = max((int(step.sum()) for step, _, _ in parts if len(step)), default=-1) + 1
     start, size = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64)
@@ -233,32 +357,37 @@ def _reassemble(numbers: pa.Table, words: pa.Table) -> pa.Table:
         flat.append(ids.astype(np.int32))
         base += len(ids)
     ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-    out = []
-    for k in range(numbers.num_rows):
-        before, planes = _unpack(numbers.column("payload")[k].as_buffer(), np.int64, np.uint8)
-        number = _from_planes(planes)
-        counts = size[number]
-        offs = np.append(0, np.cumsum(counts))[before]
-        found = ids[_gather(start[number], counts)] if len(number) else ids[:0]
-        lists = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(found, pa.int32()))
-        out.append(pa.table({"doc_id": numbers.column("ids")[k].values, "ids": lists}))
-    return pa.concat_tables(out)
-
-
-def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    before, planes = _unpack(numbers.column("payload")[0].as_buffer(), np.int64, np.uint8)
+    number = _from_planes(planes)
+    counts = size[number]
+    offs = np.append(0, np.cumsum(counts))[before]
+    found = ids[_gather(start[number], counts)] if len(number) else ids[:0]
+    lists = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(found, pa.int32()))
+    return pa.table({"doc_id": numbers.column("ids")[0].values, "ids": lists})
+
+
+def _parts(spark: SparkSession) -> list[int]:
+    """As many numbers as there are shuffle partitions, each of which falls into a partition of its own."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    some = spark.range(20 * n + 100).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("to")).agg(F.min("id").alias("id"))
+    return [r["id"] for r in some.collect()]  # at most n rows
+
+
+def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", from_files: bool = False) -> DataFrame:
     """One row per input row: `doc_id` and `ids` (array<int>), the text's byte-level BPE ids without special tokens.
 
     Null and empty texts give an empty array. Repeated rows and null ids are kept. Other columns are not carried. Two
     shuffles move packed blocks; a frequent word, a hot source or a copied text adds nothing to any one task, since a
-    block lists a word once and blocks are equally large. A single text longer than a block is a block of its own.
+    block lists a word once and blocks are equally large. A single text longer than a block is a block of its own. The texts
+    are read twice: unless the caller says that `docs` is a plain read of files, they are written to the shared folder first.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    words = rows.mapInArrow(_words(parts), "part bigint, block bigint, payload binary")
-    coded = words.repartition("part").mapInArrow(_encode_words(ranks_path), "block bigint, payload binary")
-    numbers = rows.mapInArrow(_numbers, f"block bigint, payload binary, ids array<{kind}>")
+    rows = small_batches(rows if from_files else park(rows))
+    parts = _parts(docs.sparkSession)
+    words = rows.mapInArrow(_words(parts), "part bigint, block bigint, content bigint, payload binary")
+    coded = words.repartition(len(parts), "part").mapInArrow(_encode_words(ranks_path), "block bigint, content bigint, payload binary")
+    numbers = rows.mapInArrow(_numbers, f"block bigint, content bigint, payload binary, ids array<{kind}>")
     return numbers.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_reassemble, f"doc_id {kind}, ids array<int>")
 
 

@@ -43,7 +43,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.decode(bpe.encode(_docs(spark, sf_dir), RANKS), RANKS))
+    return bpe.digests(bpe.decode(bpe.encode(_docs(spark, sf_dir), RANKS, from_files=True), RANKS))
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
