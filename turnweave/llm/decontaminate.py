@@ -1,11 +1,14 @@
-"""Benchmark decontamination: containment search by an exact prefix filter, verified exactly.
+"""Benchmark decontamination: size-partitioned MinHash containment search, verified exactly.
 
 Test items are sets of distinct word shingles. An item of q shingles is contained in a document at `percent` when the
-document has at least c = ceil(percent q / 100) of them. Neither items nor documents are partitioned by size, and documents have no sketches: an
-item's sketch is its q - c + 1 smallest shingle hashes, a number fixed by its size: a document that contains the item must have one of them, so
-the search loses nothing (a fixed-length MinHash of a long document would lose short items). Documents keep the
-shingles that two fixed-size filters let through, one of all sketches (is the document a candidate at all?), one of all
-item shingles; these few rows join the items, a sketch hit makes a candidate, and the shared shingles are counted.
+document has at least c = ceil(percent q / 100) of them. Items are partitioned by size, each partition twice as large as the one before.
+An item's MinHash signature is its smallest hashes, k of them, k fixed by the partition: twice as many as its largest item may miss, and
+a few more. (Hashes that many items share count as the largest, so a phrase common to all items is in few signatures.)
+At most q - c hashes are missing from a document that contains the item, so at least k - (q - c) of its signature are there: that is
+the partition's containment bound, and with it the search loses nothing. Documents are not cut down to signatures of fixed
+length, as those of long documents would lose short items. They keep the shingles that two fixed-size filters let through: one
+of all signatures (is the document a candidate at all?), one of all item shingles. The kept rows meet the signatures, the
+bound names the candidate pairs, and only these are verified, shingle by shingle.
 """
 
 from __future__ import annotations
@@ -16,13 +19,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnweave.llm import ragged as R
+from turnweave.llm.lineage import park, small_batches
 
 FILTER_WORDS = 1 << 19  # of 64 bits; the filters' size is fixed
-BROADCAST_ROWS = 200_000  # item shingles up to this number are broadcast, more are joined by a shuffle
+BROADCAST_ROWS = 200_000  # rows of signatures up to this number are broadcast, more are joined by a shuffle
+SHARED = 4  # items; hashes that more have count as the largest
 U = R.U64
 
 # Words: runs of ASCII letters and digits and of all other characters beyond ASCII, in lower case.
@@ -55,26 +60,31 @@ def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & U(FILTER_WORDS - 1)).astype(np.int64), mask
 
 
-def _items(width: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _items(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in R.chunks(batches, "text"):
             d, g = shingle_sets(batch.column("text"), [width], width)
             n = np.bincount(d, minlength=batch.num_rows)
-            rank = np.arange(len(d)) - (np.cumsum(n) - n)[d]
-            q = n[d]
-            sketch = rank < q - -(-q * percent // 100) + 1
             key = np.zeros(batch.num_rows, U)
             np.add.at(key, d, R.mix(g))
             place, mask = _bits(g)
             words = _word_counts(batch.column("text"))[d]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id").take(pa.array(d)), pa.array(key[d].view(np.int64)), pa.array(g.view(np.int64)), pa.array(q.astype(np.int64)), pa.array(sketch), pa.array(np.minimum(words, width).astype(np.int64)), pa.array(place), pa.array(mask.view(np.int64))],
-                names=["item_id", "item_key", "hash", "n_item", "in_sketch", "width", "place", "mask"],
+                [batch.column("item_id").take(pa.array(d)), pa.array(key[d].view(np.int64)), pa.array(g.view(np.int64)), pa.array(n[d].astype(np.int64)), pa.array(np.minimum(words, width).astype(np.int64)), pa.array(place), pa.array(mask.view(np.int64))],
+                names=["item_id", "item_key", "hash", "n_item", "width", "place", "mask"],
             )
 
     return run
 
 
+def signature(n_item: Column, percent: int) -> tuple[Column, Column]:
+    """Of an item of so many shingles: the length of its signature, by its size partition, and how many of it a document must have."""
+    least = lambda q: F.ceil(q * percent / F.lit(100.0))
+    largest = F.pow(F.lit(2.0), F.floor(F.log2(n_item.cast("double"))) + 1) - 1
+    length = F.least(n_item, (2 * (largest - least(largest)) + 4).cast("long"))
+    return length, F.greatest(F.lit(1).cast("long"), length - (n_item - least(n_item)))
+
+
 def _word_counts(texts: pa.Array) -> np.ndarray:
     data, offs = R.buffer(texts)
     return np.bincount(R.word_spans(data, offs, BREAK)[2], minlength=len(texts))
@@ -111,21 +121,29 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, percent:
     An item of fewer than `width` words is one shingle, its whole sequence; one without words is found nowhere. Null and
     empty texts contain nothing. Rows with one doc_id give one row for an item, with the largest share. Repeated rows of an item
     count once; different texts under one item_id are searched apart and give one row, that of the largest share. Other columns are not read.
+    The doc_id may be of any type, a struct included.
     """
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_id_col].dataType.simpleString()
     rows = items.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    index = rows.mapInArrow(_items(width, percent), f"item_id {item_kind}, item_key bigint, hash bigint, n_item bigint, in_sketch boolean, width bigint, place bigint, mask bigint")
-    index = index.dropDuplicates(["item_id", "item_key", "hash"])
+    grams = rows.mapInArrow(_items(width), f"item_id {item_kind}, item_key bigint, hash bigint, n_item bigint, width bigint, place bigint, mask bigint")
+    grams = grams.dropDuplicates(["item_id", "item_key", "hash"])
+    common = grams.groupBy("hash").agg((F.count("*") > SHARED).alias("common"))
+    order = Window.partitionBy("item_id", "item_key").orderBy("common", "hash")
+    length, need = signature(F.col("n_item"), percent)
+    index = grams.join(common, "hash").withColumn("in_sketch", F.row_number().over(order) <= length).withColumn("need", need)
+    index = park(index.select(F.struct("item_id", "item_key").alias("item"), "hash", "n_item", "width", "place", "mask", "in_sketch", "need"))
     widths = [r[0] for r in index.select("width").distinct().collect()] or [width]  # at most `width` values
     full, sketch = _filter(index), _filter(index.where("in_sketch"))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    hits = texts.mapInArrow(_hits(widths, sketch.tobytes(), full.tobytes()), f"doc_id {kind}, row bigint, hash bigint")
-    known = index.select("hash", "item_id", "item_key", "n_item", "in_sketch")
-    if index.count() <= BROADCAST_ROWS:
-        known = F.broadcast(known)
-    found = hits.join(known, "hash").groupBy("row", "doc_id", "item_id", "item_key", "n_item").agg(F.count("*").alias("n_shared"), F.max("in_sketch").alias("candidate"))
-    found = found.where(F.col("candidate") & (F.col("n_shared") * 100 >= F.col("n_item") * percent))
-    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("n_shared") / F.col("n_item"), "n_item", "n_shared")).alias("m"))
+    texts = small_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    hits = park(texts.mapInArrow(_hits(widths, sketch.tobytes(), full.tobytes()), f"doc_id {kind}, row bigint, hash bigint"))
+    signed = index.where("in_sketch").select("hash", "item", "need")
+    if signed.count() <= BROADCAST_ROWS:
+        signed = F.broadcast(signed)
+    pairs = hits.join(signed, "hash").groupBy("row", "item", "need").agg(F.count("*").alias("n")).where("n >= need")
+    wanted = pairs.select("row", "item").join(index.select("item", "hash", "n_item"), "item")
+    found = hits.join(wanted, ["row", "hash"]).groupBy("row", "doc_id", "item", "n_item").agg(F.count("*").alias("n_shared"))
+    found = found.where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
+    best = found.groupBy("doc_id", F.col("item.item_id").alias("item_id")).agg(F.max(F.struct(F.col("n_shared") / F.col("n_item"), "n_item", "n_shared")).alias("m"))
     return best.select("doc_id", "item_id", "m.n_item", "m.n_shared", F.round(F.col("m.n_shared") / F.col("m.n_item"), 6).alias("containment"))
 
 
