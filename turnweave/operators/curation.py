@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnweave.operators.intervals import Span
+from turnweave.operators.intervals import Span, beside
 
 
 def effective_status(regions: DataFrame, turns: DataFrame, region_id: str, status: str, members: str) -> DataFrame:
@@ -41,13 +41,14 @@ def word_side(span: Span, cut: Column) -> Column:
     return F.when((F.col(span[0]) + F.col(span[1])) / 2 < cut, "left").otherwise("right")
 
 
-def trim_allowed(turns: DataFrame, by: list[str], span: Span, new: Span, tie: str, slack: int = 0) -> DataFrame:
+def trim_allowed(turns: DataFrame, by: list[str], span: Span, new: Span, tie: str, width: int, slack: float = 0) -> DataFrame:
     """Adds allowed: the new range is not empty or negative, and overlaps neither neighbour more than the old one did."""
-    w = Window.partitionBy(*by).orderBy(*span, tie)
-    before, after = F.lag(span[1]).over(w), F.lead(span[0]).over(w)
+    order = [*span, tie]
+    turns = beside(beside(turns, by, order, [span[1]], width, name="_before"), by, order, [span[0]], width, after=True, name="_after")
+    before, after = F.col(f"_before.{span[1]}"), F.col(f"_after.{span[0]}")
     grew = lambda old, now: F.coalesce(F.greatest(now, F.lit(0)) > F.greatest(old, F.lit(0)) + slack, F.lit(False))
     worse = grew(before - F.col(span[0]), before - F.col(new[0])) | grew(F.col(span[1]) - after, F.col(new[1]) - after)
-    return turns.withColumn("allowed", (F.col(new[0]) >= 0) & (F.col(new[1]) > F.col(new[0])) & ~worse)
+    return turns.withColumn("allowed", (F.col(new[0]) >= 0) & (F.col(new[1]) > F.col(new[0])) & ~worse).drop("_before", "_after")
 
 
 def update_where(df: DataFrame, condition: Column, **values: Column) -> DataFrame:

@@ -1,7 +1,9 @@
 """Joins and sequences of intervals.
 
 Interval joins cut time into cells and join on (keys, cell), so a source with very many intervals is spread over as many
-tasks as it has cells; each pair is kept in one cell only, the first that both reach, so nothing is de-duplicated.
+tasks as it has cells; each pair is kept in one cell only, the first that both reach, so nothing is de-duplicated. An
+interval of more than LONG cells is cut into cells COARSE times as long instead, which the other side's rows visit as well: one
+absurd end makes LAST rows at most, not billions.
 """
 
 from __future__ import annotations
@@ -12,9 +14,27 @@ from pyspark.sql import functions as F
 Span = tuple[str, str]
 
 
-def _cells(df: DataFrame, span: Span, width: int, name: str) -> DataFrame:
-    lo, hi = F.floor(F.col(span[0]) / width), F.floor(F.greatest(F.col(span[0]), F.col(span[1])) / width)
-    return df.withColumn(name, F.explode(F.sequence(lo.cast("long"), hi.cast("long"))))
+LONG, COARSE, LAST = 256, 1 << 14, 1 << 16
+
+
+
+def _coarse(x: F.Column, width: int) -> F.Column:
+    """The coarse cell of a time; times beyond LAST cells share the last one."""
+    return F.least(F.greatest(F.floor(x / (width * COARSE)), F.lit(-LAST)), F.lit(LAST))
+
+
+def _cells(df: DataFrame, span: Span, width: int, short: list[str], long: list[str], both: list[str], meets: str | None = None) -> DataFrame:
+    """A row for each (`_kind`, `_cell`): cells of the kinds `short` for short intervals, coarse ones of the kinds `long` for long
+    intervals, coarse ones of the kinds `both` for all, and of the kind `meets` for short ones."""
+    start, end = F.col(span[0]), F.greatest(F.col(span[0]), F.col(span[1]))
+    is_long = (end - start) / width > LONG
+    fine = F.sequence(F.floor(start / width).cast("long"), F.floor(end / width).cast("long"))
+    coarse = F.sequence(_coarse(start, width).cast("long"), _coarse(end, width).cast("long"))
+    named = lambda kind: lambda cell: F.struct(F.lit(kind).alias("_kind"), cell.alias("_cell"))
+    cells = lambda kinds, at: F.flatten(F.array(*(F.transform(at, named(kind)) for kind in kinds)))
+    own = F.when(is_long, cells(long, coarse)).otherwise(F.concat(cells(short, fine), cells([meets], coarse)) if meets else cells(short, fine))
+    at = F.concat(own, cells(both, coarse)) if both else own
+    return df.withColumn("_at", F.explode(at)).select("*", "_at._kind", "_at._cell").drop("_at")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, on: list[str], left_span: Span, right_span: Span, width: int, touching: bool = False) -> DataFrame:
@@ -23,37 +43,77 @@ def overlap_join(left: DataFrame, right: DataFrame, on: list[str], left_span: Sp
     `width` is the cells' length, best about the length of a long interval. Null keys or ends join nothing. Columns other
     than `on` must differ between the sides.
     """
-    a, b = _cells(left, left_span, width, "_cell"), _cells(right, right_span, width, "_cell")
     lo, hi = F.greatest(left_span[0], right_span[0]), F.least(left_span[1], right_span[1])
-    first = F.floor(lo / width).cast("long")
-    return a.join(b, [*on, "_cell"]).where((hi >= lo if touching else hi > lo) & (F.col("_cell") == first)).drop("_cell")
+    a = _cells(left, left_span, width, ["short"], ["left long"], [], meets="right long")
+    b = _cells(right, right_span, width, ["short"], ["right long"], ["left long"])
+    first = F.when(F.col("_kind") == "short", F.floor(lo / width)).otherwise(_coarse(lo, width)).cast("long")
+    return a.join(b, [*on, "_kind", "_cell"]).where((hi >= lo if touching else hi > lo) & (F.col("_cell") == first)).drop("_kind", "_cell")
 
 
 def point_join(points: DataFrame, intervals: DataFrame, on: list[str], point: str, span: Span, width: int) -> DataFrame:
     """Pairs where the point lies in the interval, both ends included."""
-    a = points.withColumn("_cell", F.floor(F.col(point) / width).cast("long"))
-    b = _cells(intervals, span, width, "_cell")
-    return a.join(b, [*on, "_cell"]).where((F.col(span[0]) <= F.col(point)) & (F.col(point) <= F.col(span[1]))).drop("_cell")
+    kinds = F.explode(F.array(F.lit("short"), F.lit("long")))
+    a = points.withColumn("_kind", kinds).withColumn("_cell", F.when(F.col("_kind") == "short", F.floor(F.col(point) / width)).otherwise(_coarse(F.col(point), width)).cast("long"))
+    b = _cells(intervals, span, width, ["short"], ["long"], [])
+    return a.join(b, [*on, "_kind", "_cell"]).where((F.col(span[0]) <= F.col(point)) & (F.col(point) <= F.col(span[1]))).drop("_kind", "_cell")
 
 
 def timeline(by: list[str], span: Span, *ids: str) -> Window:
     return Window.partitionBy(*by).orderBy(*span, *ids)
 
 
-def merge_touching(df: DataFrame, by: list[str], span: Span, tie: str) -> DataFrame:
-    """Blocks of intervals that overlap or touch: by, block_start, block_end, n_intervals."""
-    w = timeline(by, span, tie)
-    reach = F.max(span[1]).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    opened = df.withColumn("_new", F.when(reach.isNull() | (F.col(span[0]) > reach), 1).otherwise(0))
-    numbered = opened.withColumn("_block", F.sum("_new").over(w))
-    return numbered.groupBy(*by, "_block").agg(F.min(span[0]).alias("block_start"), F.max(span[1]).alias("block_end"), F.count("*").alias("n_intervals")).drop("_block")
-
+def beside(df: DataFrame, by: list[str], order: list[str], columns: list[str], width: int, after: bool = False, name: str = "_before") -> DataFrame:
+    """Adds a struct `name` of `columns` of the row before (or after) in order, null at a source's edge.
 
-def gaps(blocks: DataFrame, by: list[str], least: int) -> DataFrame:
+    A source's rows are cut into cells of its first order column, each sorted in a task of its own; of every cell only the row at its
+    edge goes to its neighbour cell, so a source with very many rows is no single group. Null order values are not allowed.
+    """
+    held, place = F.struct(*columns), F.struct(*order)
+    celled = df.withColumn("_cell", F.floor(F.col(order[0]) / width))
+    within = Window.partitionBy(*by, "_cell").orderBy(*order)
+    edge = celled.groupBy(*by, "_cell").agg((F.min_by if after else F.max_by)(held, place).alias("_edge"))
+    shift = F.lead if after else F.lag
+    edge = edge.withColumn("_edge", shift("_edge").over(Window.partitionBy(*by).orderBy("_cell")))
+    out = celled.withColumn("_near", shift(held).over(within)).join(edge, [*by, "_cell"])
+    return out.withColumn(name, F.coalesce("_near", "_edge")).drop("_near", "_edge", "_cell")
+
+
+def running_max(df: DataFrame, by: list[str], order: list[str], value: F.Column, width: int, name: str, before_only: bool = False) -> DataFrame:
+    """Adds `name`: the largest value so far in order, this row's included or not; cell by cell as in `beside`."""
+    celled = df.withColumns({"_cell": F.floor(F.col(order[0]) / width), "_value": value})
+    within = Window.partitionBy(*by, "_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before_only else 0)
+    edge = celled.groupBy(*by, "_cell").agg(F.max("_value").alias("_edge"))
+    edge = edge.withColumn("_edge", F.max("_edge").over(Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)))
+    out = celled.withColumn("_near", F.max("_value").over(within)).join(edge, [*by, "_cell"])
+    return out.withColumn(name, F.greatest("_near", "_edge")).drop("_near", "_edge", "_cell", "_value")
+
+
+def running_sum(df: DataFrame, by: list[str], order: list[str], value: F.Column, width: int, name: str, before_only: bool = False) -> DataFrame:
+    """Adds `name`: the sum so far in order, this row's included or not, 0 without rows; cell by cell as in `beside`."""
+    celled = df.withColumns({"_cell": F.floor(F.col(order[0]) / width), "_value": value})
+    within = Window.partitionBy(*by, "_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before_only else 0)
+    edge = celled.groupBy(*by, "_cell").agg(F.sum("_value").alias("_edge"))
+    edge = edge.withColumn("_edge", F.sum("_edge").over(Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)))
+    out = celled.withColumn("_near", F.sum("_value").over(within)).join(edge, [*by, "_cell"])
+    return out.withColumn(name, F.coalesce("_near", F.lit(0)) + F.coalesce("_edge", F.lit(0))).drop("_near", "_edge", "_cell", "_value")
+
+
+def merge_touching(df: DataFrame, by: list[str], span: Span, tie: str, width: int, last: dict[str, F.Column] | None = None) -> DataFrame:
+    """Blocks of intervals that overlap or touch: by, block_start, block_end, n_intervals; and, as named in `last`, values of the interval
+    that ends last (of several the one that comes last). A block begins where an interval starts behind all ends so far."""
+    order = [*span, tie]
+    reached = running_max(df, by, order, F.col(span[1]), width, "_reach", before_only=True)
+    opened = F.when(F.col("_reach").isNull() | (F.col(span[0]) > F.col("_reach")), F.col(span[0]))
+    numbered = running_max(reached.withColumn("_opened", opened), by, order, F.col("_opened"), width, "_block")
+    extra = [F.max_by(v, F.struct(span[1], span[0], tie)).alias(k) for k, v in (last or {}).items()]
+    return numbered.groupBy(*by, F.col("_block").alias("block_start")).agg(F.max(span[1]).alias("block_end"), F.count("*").alias("n_intervals"), *extra)
+
+
+def gaps(blocks: DataFrame, by: list[str], least: int, width: int) -> DataFrame:
     """Silences of at least `least` between blocks, their middle (a place to cut), and the zone left after half of `least`
     at both ends."""
-    w = timeline(by, ("block_start", "block_end"))
-    out = blocks.select(*by, F.col("block_end").alias("gap_start"), F.lead("block_start").over(w).alias("gap_end"))
+    out = beside(blocks, by, ["block_start", "block_end"], ["block_start"], width, after=True, name="_next")
+    out = out.select(*by, F.col("block_end").alias("gap_start"), F.col("_next.block_start").alias("gap_end"))
     out = out.where(F.col("gap_end") - F.col("gap_start") >= least)
     half = least // 2
     return out.withColumns({"cut": F.floor((F.col("gap_start") + F.col("gap_end")) / 2), "zone_start": F.col("gap_start") + half, "zone_end": F.col("gap_end") - half})
@@ -82,14 +142,61 @@ def coverage(windows: DataFrame, words: DataFrame, on: list[str], window_id: str
     return windows.select(window_id).join(found, window_id, "left").select(window_id, F.coalesce("covered", F.lit(0)).alias("covered"))
 
 
-def bounded_padding(df: DataFrame, by: list[str], span: Span, tie: str, pad: int) -> DataFrame:
+def bounded_padding(df: DataFrame, by: list[str], span: Span, tie: str, pad: int, width: int) -> DataFrame:
     """Adds clip_start and clip_end: the interval widened by `pad`, but not into the neighbours before and after it, nor
     below 0."""
-    w = timeline(by, span, tie)
-    before, after = F.lag(span[1]).over(w), F.lead(span[0]).over(w)
+    order = [*span, tie]
+    out = beside(beside(df, by, order, [span[1]], width, name="_before"), by, order, [span[0]], width, after=True, name="_after")
+    before, after = F.col(f"_before.{span[1]}"), F.col(f"_after.{span[0]}")
     start = F.greatest(F.col(span[0]) - pad, F.when(before <= F.col(span[0]), before).otherwise(F.lit(0)), F.lit(0))
     end = F.least(F.col(span[1]) + pad, F.when(after >= F.col(span[1]), after).otherwise(F.col(span[1]) + pad))
-    return df.withColumns({"clip_start": start, "clip_end": end})
+    return out.withColumns({"clip_start": start, "clip_end": end}).drop("_before", "_after")
+
+
+def needs_padding(levels: DataFrame, least_level: float = 0.003, continuity: float = 0.25) -> F.Column:
+    """Whether a cut goes through sound: of `before` and `after`, the levels (root mean square) of the short windows at both sides, the larger
+    is at least `least_level` and the smaller at least `continuity` of it."""
+    high, low = F.greatest(levels["before"], levels["after"]), F.least(levels["before"], levels["after"])
+    return F.coalesce((high >= least_level) & (F.try_divide(low, high) >= continuity), F.lit(False))
+
+
+def edge_levels(cuts: DataFrame, samples: DataFrame, on: list[str], cut: str, at: str, value: str, window: int) -> DataFrame:
+    """on, cut, before and after: the root mean square of samples in [cut - window, cut) and [cut, cut + window); null without samples.
+    Samples are joined on cells of the window's length, of which a cut reaches three at most."""
+    cells = F.explode(F.sequence(F.floor((F.col(cut) - window) / window), F.floor((F.col(cut) + window) / window)))
+    near = cuts.select(*on, cut).distinct().withColumn("_cell", cells).join(samples.withColumn("_cell", F.floor(F.col(at) / window)), [*on, "_cell"])
+    part = lambda inside: F.sqrt(F.avg(F.when(inside, F.col(value) * F.col(value))))
+    got = near.groupBy(*on, cut).agg(
+        part((F.col(at) >= F.col(cut) - window) & (F.col(at) < F.col(cut))).alias("before"), part((F.col(at) >= F.col(cut)) & (F.col(at) < F.col(cut) + window)).alias("after")
+    )
+    return cuts.select(*on, cut).distinct().join(got, [*on, cut], "left")
+
+
+def envelope(samples: DataFrame, by: list[str], at: str, value: str, start: F.Column, end: F.Column, points: int) -> DataFrame:
+    """by, bucket, peak and level: the range [start, end) in `points` equal buckets, each one's largest absolute value, and that over
+    the largest of all (0 where all is silent). Buckets without samples give no row."""
+    inside = samples.where((F.col(at) >= start) & (F.col(at) < end))
+    bucket = F.least(F.floor((F.col(at) - start) * points / (end - start)), F.lit(points - 1)).cast("long")
+    peaks = inside.groupBy(*by, bucket.alias("bucket")).agg(F.max(F.abs(F.col(value))).alias("peak"))
+    top = peaks.groupBy(*by).agg(F.max("peak").alias("_top"))
+    joined = peaks.join(top, by) if by else peaks.crossJoin(top)  # one row
+    return joined.withColumn("level", F.coalesce(F.try_divide(F.col("peak"), F.col("_top")), F.lit(0.0))).drop("_top")
+
+
+def clip_bounds(segments: DataFrame, speech: DataFrame, by: list[str], span: Span, speech_span: Span, duration: str, padding: float, width: int) -> DataFrame:
+    """Adds clip_start and clip_end: halfway to the segments before and after; at a source's first and last segment the speech
+    that overlaps it, widened by `padding`, within [0, duration]."""
+    order = [*span]
+    out = beside(beside(segments, by, order, [span[1]], width, name="_before"), by, order, [span[0]], width, after=True, name="_after")
+    edges = out.where("_before is null or _after is null").select(*by, *span)
+    heard = overlap_join(edges, speech.select(*by, F.col(speech_span[0]).alias("_s"), F.col(speech_span[1]).alias("_e")), by, span, ("_s", "_e"), width)
+    heard = heard.groupBy(*by, *span).agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))
+    out = out.join(heard, [*by, *span], "left")
+    first = F.greatest(F.lit(0.0), F.least(F.col(span[0]), F.coalesce("_s", span[0])) - padding)
+    final = F.least(F.col(duration), F.greatest(F.col(span[1]), F.coalesce("_e", span[1])) + padding)
+    start = F.when(F.col("_before").isNull(), first).otherwise((F.col(f"_before.{span[1]}") + F.col(span[0])) / 2)
+    end = F.when(F.col("_after").isNull(), final).otherwise((F.col(span[1]) + F.col(f"_after.{span[0]}")) / 2)
+    return out.withColumns({"clip_start": start, "clip_end": end}).drop("_before", "_after", "_s", "_e")
 
 
 def grid_points(df: DataFrame, span: Span, window: int, step: int) -> DataFrame:
@@ -102,10 +209,9 @@ def grid_points(df: DataFrame, span: Span, window: int, step: int) -> DataFrame:
 def conflict_spans(df: DataFrame, words: DataFrame, by: list[str], span: Span, word_span: Span, label: str, tie: str, word_id: str, width: int) -> DataFrame:
     """Adjacent intervals of one source with different labels (null equals null), and words that strictly span the first's end:
     by, left_id, right_id, boundary, gap, word_id."""
-    w = timeline(by, span, tie)
-    pairs = df.withColumns({"right_id": F.lead(tie).over(w), "_label": F.lead(label).over(w), "_start": F.lead(span[0]).over(w)})
-    pairs = pairs.where(F.col("right_id").isNotNull() & ~F.col(label).eqNullSafe(F.col("_label")))
-    pairs = pairs.select(*by, F.col(tie).alias("left_id"), "right_id", F.col(span[1]).alias("boundary"), (F.col("_start") - F.col(span[1])).alias("gap"))
+    pairs = beside(df, by, [*span, tie], [tie, label, span[0]], width, after=True, name="_r")
+    pairs = pairs.where(F.col("_r").isNotNull() & ~F.col(label).eqNullSafe(F.col(f"_r.{label}")))
+    pairs = pairs.select(*by, F.col(tie).alias("left_id"), F.col(f"_r.{tie}").alias("right_id"), F.col(span[1]).alias("boundary"), (F.col(f"_r.{span[0]}") - F.col(span[1])).alias("gap"))
     hits = point_join(pairs, words.select(*by, F.col(word_id).alias("word_id"), F.col(word_span[0]).alias("_ws"), F.col(word_span[1]).alias("_we")), by, "boundary", ("_ws", "_we"), width)
     return hits.where((F.col("_ws") < F.col("boundary")) & (F.col("boundary") < F.col("_we"))).drop("_ws", "_we")
 

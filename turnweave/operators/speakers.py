@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnweave.operators.intervals import Span, overlap_join
+from turnweave.functions import text as T
+from turnweave.operators.intervals import Span, merge_touching, overlap_join
+
+# How a word came by its speaker.
+METHODS = ["no_overlapping_region", "no_speaker_label", "conflicting_overlapping_speakers", "single_overlapping_region", "consistent_overlapping_regions"]
 
 
 def attribute_words(words: DataFrame, regions: DataFrame, on: list[str], word_id: str, word_span: Span, region_span: Span, label: str, width: int) -> DataFrame:
@@ -20,8 +24,8 @@ def attribute_words(words: DataFrame, regions: DataFrame, on: list[str], word_id
     out = words.select(word_id).join(found, word_id, "left").withColumn("n_regions", F.coalesce("n_regions", F.lit(0)))
     one = F.col("_lo") == F.col("_hi")
     method = (
-        F.when(F.col("n_regions") == 0, "no_overlapping_region").when(F.col("_lo").isNull(), "no_speaker_label").when(~one, "conflicting_overlapping_speakers")
-        .when(F.col("n_regions") == 1, "single_overlapping_region").otherwise("consistent_overlapping_regions")
+        F.when(F.col("n_regions") == 0, METHODS[0]).when(F.col("_lo").isNull(), METHODS[1]).when(~one, METHODS[2])
+        .when(F.col("n_regions") == 1, METHODS[3]).otherwise(METHODS[4])
     )
     return out.select(word_id, "n_regions", F.when(one, F.col("_lo")).alias("speaker"), method.alias("method"))
 
@@ -43,27 +47,29 @@ def fill_consistent_context(words: DataFrame, by: list[str], order: str, speaker
 
 def resolve_fragments(words: DataFrame, by: list[str], order: str, speaker: str, candidates: str) -> DataFrame:
     """Adds resolved and step, word by word: a word in conflict takes its left neighbour's speaker as resolved so far, or its right
-    neighbour's as given, if the conflict has it and the two don't disagree. What the left gives depends on earlier decisions,
-    so each source is folded in order; a fold needs its source's words (order, speaker, candidates) in one task.
-    `candidates` is an array, empty or null for words without a conflict."""
-    schema = ", ".join(f"{n} {t}" for n, t in words.dtypes) + ", resolved string, step string"
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        given = [None if x is None or x != x else x for x in rows[speaker]]
-        now, steps = list(given), [None] * len(given)
-        for k, among in enumerate(rows[candidates]):
-            if given[k] is not None or among is None or len(among) == 0:
-                continue
-            left = now[k - 1] if k and now[k - 1] in among else None
-            right = given[k + 1] if k + 1 < len(given) and given[k + 1] in among else None
-            found = {x for x in (left, right) if x is not None}
-            if len(found) == 1:
-                now[k] = found.pop()
-                steps[k] = "consistent" if left and right else "left" if left else "right"
-        return rows.assign(resolved=now, step=steps)
-
-    return words.groupBy(*by).applyInPandas(fold, schema)
+    neighbour's as given, if the conflict has it and the two don't disagree. `candidates` is an array, empty or null for words
+    without a conflict.
+
+    What the left gives depends on earlier decisions only within a run of words without a speaker, so each run is folded by itself,
+    with its two neighbours, and nothing but order, speaker and candidates goes through the fold."""
+    w = Window.partitionBy(*by).orderBy(order)
+    known = F.col(speaker).isNotNull()
+    run = F.sum(known.cast("long")).over(w)
+    sides = words.select(*by, order, speaker, candidates, run.alias("_run"), F.lag(speaker).over(w).alias("_l"), F.lead(speaker).over(w).alias("_r"))
+    one = F.struct(F.col(order).alias("o"), F.col(candidates).alias("c"), F.col("_l").alias("l"), F.col("_r").alias("r"))
+    runs = sides.where(~known).groupBy(*by, "_run").agg(F.array_sort(F.collect_list(one)).alias("_w"))
+    name = dict(words.dtypes)[speaker]
+    start = F.struct(F.lit(None).cast(name).alias("now"), F.array().cast(f"array<struct<o:{dict(words.dtypes)[order]},s:{name},step:string>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        left, right = F.coalesce(acc["now"], x["l"]), x["r"]
+        left, right = F.when(F.array_contains(x["c"], left), left), F.when(F.array_contains(x["c"], right), right)
+        agreed = F.when(left.isNull() | right.isNull() | (left == right), F.coalesce(left, right))
+        said = F.when(agreed.isNull(), None).when(left == right, "consistent").when(left.isNotNull(), "left").otherwise("right")
+        return F.struct(agreed.alias("now"), F.concat(acc["out"], F.array(F.struct(x["o"].alias("o"), agreed.alias("s"), said.alias("step")))).alias("out"))
+
+    told = runs.select(*by, F.explode(F.aggregate("_w", start, step)["out"]).alias("_x")).select(*by, F.col("_x.o").alias(order), F.col("_x.s").alias("_s"), F.col("_x.step").alias("step"))
+    return words.join(told, [*by, order], "left").withColumn("resolved", F.coalesce(F.col(speaker), "_s")).select(*words.columns, "resolved", "step")
 
 
 def utterances(words: DataFrame, by: list[str], order: str, span: Span, speaker: str, boundary: str, text: str, long_gap: int) -> DataFrame:
@@ -109,48 +115,160 @@ def mean_activity(frames: DataFrame, by: list[str], values: str) -> DataFrame:
     return best
 
 
-def plan_chunks(blocks: DataFrame, by: str, duration: str, target: int, search: int, most: int, least_gap: int) -> DataFrame:
-    """Greedy cuts of each source at silences: by, index, start, end, boundary.
-
-    From each position the cut in [target - search, target + search] that is nearest to the target is taken; without one the
-    earliest after that, up to `most`; without one the chunk ends at `most` ('forced'). `blocks` are a source's merged speech;
-    a source's blocks are walked in one task, since a cut depends on the one before."""
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block_start", kind="stable")
-        end = int(rows[duration].iloc[0])
-        ends, starts = rows["block_end"].tolist(), rows["block_start"].tolist()
-        cuts = [(int(a) + int(b)) // 2 for a, b in zip(ends[:-1], starts[1:], strict=True) if b - a >= least_gap]
-        out, at = [], 0
-        while True:
-            if end - at <= target + search:
-                out.append((at, end, "source_end"))
-                break
-            near = cuts[bisect_left(cuts, max(at + 1, at + target - search)) : (beyond := bisect_right(cuts, at + target + search))]
-            far = cuts[beyond] if beyond < len(cuts) and cuts[beyond] <= at + most else None
-            cut = min(near, key=lambda c: (abs(c - at - target), c)) if near else far
-            if cut is None and at + most >= end:
-                out.append((at, end, "source_end"))
-            else:
-                out.append((at, cut if cut is not None else at + most, "gap" if cut is not None else "forced"))
-            at = out[-1][1]
-            if at >= end:
-                break
-        return pd.DataFrame([(rows[by].iloc[0], i, *x) for i, x in enumerate(out)], columns=[by, "index", "start", "end", "boundary"])
-
-    return blocks.groupBy(by).applyInPandas(walk, f"{by} {dict(blocks.dtypes)[by]}, index bigint, start bigint, end bigint, boundary string")
+def speech_blocks(regions: DataFrame, by: list[str], span: Span, tie: str, text: str, width: int) -> DataFrame:
+    """Merged speech: by, block_start, block_end, n_intervals, and whether the interval that ends last ends a sentence."""
+    return merge_touching(regions.where(F.col(span[1]) > F.col(span[0])), by, span, tie, width, {"ends_sentence": T.ends_sentence(F.col(text))})
+
+
+class _Walk:
+    """One source's chunks, told block by block in order; what is held reaches no further back than the current chunk."""
+
+    def __init__(self, duration: float, target: float, search: float, most: float, gap: float) -> None:
+        self.duration, self.target, self.search, self.most, self.gap = duration, target, search, most, gap
+        self.start, self.index, self.refused = 0.0, 0, False
+        self.end: float | None = None  # of the speech so far
+        self.sentence = False
+        self.cuts: deque[tuple[float, bool]] = deque()
+        self.silences: deque[tuple[float, float]] = deque()
+
+    def block(self, start: float, end: float, sentence: bool) -> list[tuple]:
+        half = self.gap / 2
+        if self.end is None:
+            if start >= self.gap:
+                self.silences.append((0.0, start - half))
+        elif start - self.end >= self.gap:
+            self.cuts.append((self.end + (start - self.end) / 2, self.sentence))
+            self.silences.append((self.end + half, start - half))
+        self.end, self.sentence = end, sentence
+        return self._chunks(start)
+
+    def finish(self) -> list[tuple]:
+        if self.end is None:
+            self.silences.append((0.0, self.duration))
+        elif self.duration - self.end >= self.gap:
+            self.silences.append((self.end + self.gap / 2, self.duration))
+        return self._chunks(float("inf"))
+
+    def _chunks(self, known: float) -> list[tuple]:
+        """The chunks that nothing behind `known` can change."""
+        out = []
+        while not self.refused and self.start < self.duration and (known == float("inf") or self.start + self.most < known):
+            end, why = self._next()
+            out.append((self.index, self.start, end, why))
+            self.refused = end is None
+            self.start, self.index = self.start if end is None else end, self.index + 1
+            while self.cuts and self.cuts[0][0] <= self.start:
+                self.cuts.popleft()
+            while self.silences and self.silences[0][1] < self.start:
+                self.silences.popleft()
+        return out
+
+    def _next(self) -> tuple[float | None, str]:
+        start, target, limit = self.start, self.start + self.target, self.start + self.most
+        if self.duration - start <= self.target + self.search:
+            return self.duration, "source_end"
+        if any(a <= start and target <= b for a, b in self.silences):
+            return min(target, self.duration), "source_gap" if target < self.duration else "source_end"
+        low, high = max(start + 1.0, target - self.search), min(self.duration, target + self.search, limit)
+        near = [(t, "sentence_gap" if s else "speech_gap") for t, s in self.cuts if low <= t <= high]
+        if low <= target <= high and any(a <= target <= b for a, b in self.silences):
+            near.append((target, "source_gap"))
+        best = [c for c in near if c[1] == "sentence_gap"] or near
+        if best:
+            return min(best, key=lambda c: abs(c[0] - target))
+        far = [(t, "sentence_gap" if s else "speech_gap") for t, s in self.cuts if high < t <= limit]
+        far = [c for c in far if c[1] == "sentence_gap"] or far or [(max(a, high), "source_gap") for a, b in self.silences if max(a, high) <= min(b, limit)]
+        if far:
+            return min(far, key=lambda c: c[0])
+        return (self.duration, "source_end") if self.duration <= limit else (None, "refused")
+
+
+def plan_chunks(sources: DataFrame, blocks: DataFrame, by: str, duration: str, target: float = 60.0, search: float = 15.0, most: float = 240.0, least_gap: float = 0.5) -> DataFrame:
+    """Cuts of each source (by, duration) at silences of its speech `blocks` (by, block_start, block_end, ends_sentence): by, index, start,
+    end, boundary.
+
+    From each position: the rest if it is at most target + search; `target` itself if all of that lies in one silence; else the cut within
+    `search` of the target that is nearest to it, behind a sentence's end if there is one ('sentence_gap'), else in another silence
+    ('speech_gap', or 'source_gap' for the target inside a long one); else the first such cut up to `most`. Continuous speech is never
+    cut: where it is longer than `most`, the plan ends with a row 'refused' whose end is null.
+
+    A cut depends on the one before. Blocks go through sorted by source and time, and a source's walk holds only what lies within `most` of
+    its position, so a source of any length is one pass in bounded memory.
+    """
+    rows = sources.select(by, F.col(duration).cast("double").alias("_d")).join(blocks.select(by, F.col("block_start").cast("double").alias("_s"), F.col("block_end").cast("double").alias("_e"), "ends_sentence"), by, "left")
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        source, at = None, None
+        for frame in frames:
+            out = []
+            for key, d, s, e, sentence in frame.itertuples(index=False, name=None):
+                if at is None or key != source:
+                    out += [(source, *x) for x in at.finish()] if at else []
+                    source, at = key, _Walk(d, target, search, most, least_gap)
+                if s == s:
+                    out += [(source, *x) for x in at.block(s, e, bool(sentence))]
+            yield pd.DataFrame(out, columns=[by, "index", "start", "end", "boundary"])
+        if at:
+            yield pd.DataFrame([(source, *x) for x in at.finish()], columns=[by, "index", "start", "end", "boundary"])
+
+    ordered = rows.repartition(by).sortWithinPartitions(by, "_s", "_e")
+    return ordered.mapInPandas(walk, f"{by} {dict(sources.dtypes)[by]}, index bigint, start double, end double, boundary string")
 
 
 def similar_texts(pairs: DataFrame, left: str, right: str) -> DataFrame:
-    """Adds ratio, the longest-matching-blocks similarity of two texts' characters (difflib's, without its junk rule), and similar
-    (ratio >= 0.95, or >= 0.82 with word ratio >= 0.65). Null counts as empty."""
+    """Adds token_ratio, char_ratio and similar. Texts are compared as their lexical tokens, and as these tokens' letters joined: twice what
+    the longest matching blocks share over the sum of lengths. Similar is a char_ratio of 0.95, or of 0.82 with a token_ratio of 0.65; texts
+    without a token have ratios of 0 and are similar to nothing. Each distinct pair is compared once."""
     from difflib import SequenceMatcher
 
+    def ratio(a: object, b: object) -> float:
+        return SequenceMatcher(None, a, b, autojunk=False).ratio() if len(a) and len(b) else 0.0
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            a, b = frame[left].fillna(""), frame[right].fillna("")
-            chars = [SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)]
-            words = [SequenceMatcher(None, x.split(), y.split(), autojunk=False).ratio() for x, y in zip(a, b, strict=True)]
-            yield frame.assign(ratio=chars, similar=[c >= 0.95 or (w >= 0.65 and c >= 0.82) for c, w in zip(chars, words, strict=True)])
+            words = [ratio(list(a), list(b)) for a, b in zip(frame["_a"], frame["_b"], strict=True)]
+            chars = [ratio("".join(a), "".join(b)) for a, b in zip(frame["_a"], frame["_b"], strict=True)]
+            yield frame.assign(token_ratio=words, char_ratio=chars)
+
+    told = pairs.withColumns({"_a": T.lexical_tokens(F.col(left)), "_b": T.lexical_tokens(F.col(right))})
+    same = F.when(F.size("_a") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    easy = told.where("_a = _b").select(*pairs.columns, same.alias("token_ratio"), same.alias("char_ratio"))
+    hard = told.where("_a <> _b")
+    found = hard.select("_a", "_b").distinct().mapInPandas(run, "_a array<string>, _b array<string>, token_ratio double, char_ratio double")
+    out = easy.unionByName(hard.join(found, ["_a", "_b"]).select(*pairs.columns, "token_ratio", "char_ratio"))
+    return out.withColumn("similar", (F.col("char_ratio") >= 0.95) | ((F.col("token_ratio") >= 0.65) & (F.col("char_ratio") >= 0.82)))
+
+
+def merged_region_runs(conflicts: DataFrame, by: list[str], order: str, regions: str) -> DataFrame:
+    """Adds run to conflicts (with an array `regions`): one joins the run before it while it shares a region with any conflict of that run so
+    far. Each row carries only the latest place of its regions: it joins if that place lies in the current run, which begins
+    where a row shared nothing with what was since the run's own beginning; a run is folded alone, between rows that share nothing with
+    any row before them."""
+    w = Window.partitionBy(*by).orderBy(order)
+    placed = conflicts.withColumn("_row", F.row_number().over(w))
+    flat = placed.select(*by, "_row", F.explode(regions).alias("_r"))
+    seen = flat.withColumn("_last", F.lag("_row").over(Window.partitionBy(*by, "_r").orderBy("_row"))).groupBy(*by, "_row").agg(F.max("_last").alias("_last"))
+    marked = placed.join(seen, [*by, "_row"], "left")
+    part = marked.withColumn("_part", F.sum(F.col("_last").isNull().cast("int")).over(Window.partitionBy(*by).orderBy("_row")))
+    parts = part.groupBy(*by, "_part").agg(F.array_sort(F.collect_list(F.struct("_row", "_last"))).alias("_w"))
+    start = F.struct(F.lit(0).alias("first"), F.array().cast("array<struct<_row:int,first:int>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        first = F.when(x["_last"] >= acc["first"], acc["first"]).otherwise(x["_row"])
+        return F.struct(first.alias("first"), F.concat(acc["out"], F.array(F.struct(x["_row"].alias("_row"), first.alias("first")))).alias("out"))
+
+    told = parts.select(*by, F.explode(F.aggregate("_w", start, step)["out"]).alias("_x")).select(*by, F.col("_x._row").alias("_row"), F.col("_x.first").alias("_first"))
+    runs = placed.join(told, [*by, "_row"])
+    return runs.withColumn("run", F.dense_rank().over(Window.partitionBy(*by).orderBy("_first"))).drop("_row", "_first")
+
 
-    return pairs.mapInPandas(run, ", ".join(f"{n} {t}" for n, t in pairs.dtypes) + ", ratio double, similar boolean")
+def activity_window(frames: DataFrame, windows: DataFrame, on: list[str], window_id: str, span: Span, frame: str, values: str, frame_duration: float) -> DataFrame:
+    """window_id, means and dominant: of each window [start, end) the mean of every speaker's activity over the frames from the one that
+    its start lies in up to the one that its end lies in, that one left out, one at least, and the first speaker with the largest mean; nulls where there is no frame."""
+    first = F.greatest(F.lit(0), F.floor(F.col(span[0]) / frame_duration)).cast("long")
+    last = F.greatest(first + 1, F.floor(F.col(span[1]) / frame_duration).cast("long"))
+    wanted = windows.select(*on, window_id, F.explode(F.sequence(first, last - 1)).alias("_f"))
+    flat = wanted.join(frames.select(*on, F.col(frame).alias("_f"), values), [*on, "_f"]).select(window_id, F.posexplode(values).alias("_s", "_v"))
+    means = flat.groupBy(window_id, "_s").agg(F.avg(F.col("_v").cast("double")).alias("_m"))
+    got = means.groupBy(window_id).agg(F.transform(F.array_sort(F.collect_list(F.struct("_s", "_m"))), lambda x: x["_m"]).alias("means"), F.max_by("_s", F.struct("_m", -F.col("_s"))).alias("dominant"))
+    return windows.select(window_id).join(got, window_id, "left")

@@ -118,9 +118,36 @@ def calibration_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _observed(spark, sf_dir).agg(F.count("*").alias("total"), F.count("top_label").alias("predicted"), right.alias("correct"), F.round(F.try_divide(right, F.count("top_label")), 6).alias("accuracy"))
 
 
-@_query(f"WITH {_SUM} SELECT query_id, CASE WHEN margin >= 0.30 AND support >= 4 THEN 'prefill' WHEN margin >= 0.15 AND support >= 2 THEN 'suggest' ELSE 'none' END AS mode FROM obs")
+SUGGEST = {"minimum_margin": 0.0, "minimum_references": 2, "minimum_eligible": 2, "minimum_precision": 0.1}
+PREFILL = {"minimum_margin": 0.05, "minimum_references": 4, "minimum_sources": 2, "minimum_eligible": 1, "minimum_precision": 0.2}
+
+
+@_query(
+    f"""WITH {_SUM}, p AS (SELECT count(*) FILTER (WHERE margin >= 0.05 AND support >= 4 AND source_support >= 2) AS n, count(*) FILTER (WHERE correct AND margin >= 0.05 AND support >= 4 AND source_support >= 2) AS c FROM obs),
+sg AS (SELECT count(*) FILTER (WHERE margin >= 0 AND support >= 2) AS n, count(*) FILTER (WHERE correct AND margin >= 0 AND support >= 2) AS c FROM obs)
+SELECT query_id, CASE WHEN margin >= 0.05 AND support >= 4 AND source_support >= 2 AND p.n >= 1 AND coalesce(p.c / nullif(p.n, 0) >= 0.2, false) THEN 'prefill' WHEN margin >= 0 AND support >= 2 AND sg.n >= 2 AND coalesce(sg.c / nullif(sg.n, 0) >= 0.1, false) THEN 'suggest' ELSE 'none' END AS mode FROM obs, p, sg"""
+)
 def review_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.review_mode(_observed(spark, sf_dir)).select("query_id", "mode")
+    seen = _observed(spark, sf_dir)
+    return vectors.classify_review(seen, seen, SUGGEST, PREFILL).select("query_id", "mode")
+
+
+_HALVES = """e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), h AS (SELECT vec_id, label, 'first' AS encoder, v[1:32] AS v FROM e UNION ALL SELECT vec_id, label, 'second', v[33:64] FROM e WHERE vec_id % 3 > 0),
+s AS (SELECT a.vec_id AS query_id, a.encoder, b.label, list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS sim FROM h a JOIN h b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND a.encoder = b.encoder),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id, encoder, label ORDER BY sim DESC) AS i FROM s), m AS (SELECT query_id, encoder, label, avg(CASE WHEN i <= 3 THEN sim END) AS score, count(*) AS support FROM k GROUP BY ALL)"""
+
+
+@_query(f"WITH {_HALVES}, c AS (SELECT query_id, label, avg(score) AS score, count(*) AS encoder_count, min(support) AS least_support FROM m GROUP BY ALL) SELECT query_id, label, round(score, 6) AS score, encoder_count, least_support, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, label) AS rank FROM c")
+def encoders_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two encoders: the halves of a vector, of which every third has but one."""
+    e = _table(spark, sf_dir, "embeddings")
+    parts = []
+    for encoder, at, rows in (("first", 1, e), ("second", 33, e.where("vec_id % 3 > 0"))):
+        v = rows.select("vec_id", F.slice("embedding", at, 32).alias("vector"), "label")
+        ranked = vectors.rank_voices(v.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id"), v.withColumnRenamed("vec_id", "ref_id"))
+        parts.append(ranked.select("query_id", "label", "score", "support", F.lit(encoder).alias("encoder")))
+    out = vectors.combine_encoders(parts[0].union(parts[1]))
+    return out.select("query_id", "label", F.round("score", 6).alias("score"), F.col("encoder_count").cast("long").alias("encoder_count"), vectors.least_support(F.col("support")).alias("least_support"), F.col("rank").cast("long").alias("rank"))
 
 
 @_query(
@@ -143,7 +170,7 @@ def overlapping_region_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intervals.merge_touching(_regions(spark, sf_dir), ["source"], R, "region_id")
+    return intervals.merge_touching(_regions(spark, sf_dir), ["source"], R, "region_id", CELL)
 
 
 @_query(f"WITH {_B} SELECT * FROM blocks")
@@ -156,7 +183,7 @@ def merge_speech_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT source, gap_start, gap_end, (gap_start + gap_end) // 2 AS cut, gap_start + 250000 AS zone_start, gap_end - 250000 AS zone_end FROM g WHERE gap_end - gap_start >= 500000"""
 )
 def speech_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intervals.gaps(_blocks(spark, sf_dir), ["source"], SECOND // 2)
+    return intervals.gaps(_blocks(spark, sf_dir), ["source"], SECOND // 2, CELL)
 
 
 @_query(
@@ -173,10 +200,12 @@ def chunks_with_speech(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query()
 def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = _blocks(spark, sf_dir)
-    length = blocks.groupBy("source").agg(F.max("block_end").alias("duration"), F.min("block_start").alias("zero"))
-    shifted = blocks.join(length, "source").select("source", *((F.col(c) - F.col("zero")).alias(c) for c in ("block_start", "block_end", "duration")))
-    return speakers.plan_chunks(shifted, "source", "duration", 3600 * SECOND, 900 * SECOND, 4 * 3600 * SECOND, SECOND // 2)
+    """Chunks of each source in seconds from its first region; a region of label 0 ends a sentence."""
+    regions = _regions(spark, sf_dir).withColumn("heard", F.when(F.col("label") == 0, "Done.").otherwise("and"))
+    length = regions.groupBy("source").agg(F.min("r_start").alias("zero"), ((F.max("r_end") - F.min("r_start")) / SECOND).alias("duration"))
+    blocks = speakers.speech_blocks(regions, ["source"], R, "region_id", "heard", CELL).join(length, "source")
+    shifted = blocks.select("source", *(((F.col(c) - F.col("zero")) / SECOND).alias(c) for c in ("block_start", "block_end")), "ends_sentence")
+    return speakers.plan_chunks(length, shifted, "source", "duration", 3600.0, 900.0, 4 * 3600.0, 0.5)
 
 
 def _talk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,9 +281,8 @@ def boundary_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 k AS (SELECT *, sum(f) OVER (PARTITION BY source ORDER BY r_start) AS run FROM n) SELECT source, CAST(run AS BIGINT) AS run, count(*) AS n_pairs, min(boundary) AS first_boundary FROM k GROUP BY source, run"""
 )
 def conflict_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = intervals.timeline(["source"], R, "region_id")
-    r = _regions(spark, sf_dir).withColumns({"right_id": F.lead("region_id").over(w), "_l": F.lead("label").over(w)})
-    pairs = r.where(F.col("right_id").isNotNull() & ~F.col("label").eqNullSafe(F.col("_l")))
+    r = intervals.beside(_regions(spark, sf_dir), ["source"], [*R, "region_id"], ["region_id", "label"], CELL, after=True, name="r")
+    pairs = r.where(F.col("r").isNotNull() & ~F.col("label").eqNullSafe(F.col("r.label"))).withColumn("right_id", F.col("r.region_id"))
     runs = speakers.chained_runs(pairs, ["source"], "r_start", "region_id", "right_id")
     return runs.groupBy("source", F.col("run").cast("long").alias("run")).agg(F.count("*").alias("n_pairs"), F.min("r_end").alias("first_boundary"))
 
@@ -293,11 +321,15 @@ def speech_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.coverage(_regions(spark, sf_dir), _words(spark, sf_dir), ["source"], "region_id", R, W, CELL)
 
 
-@_query("SELECT o_orderkey, CASE WHEN n > 6 THEN 'conflict' WHEN n IS NOT NULL AND o_orderstatus = 'F' AND n > 0 THEN 'used' ELSE coalesce(o_orderstatus, 'pending') END AS effective FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey")
+@_query(
+    "WITH s AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'rejected' END AS status FROM orders), n AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_linenumber <= 2 AND l_quantity > 25 GROUP BY 1) "
+    "SELECT s.o_orderkey, CASE WHEN n > 1 OR (n > 0 AND status = 'rejected') THEN 'conflict' WHEN n = 1 THEN 'reconciled' ELSE coalesce(status, 'pending') END AS effective FROM s LEFT JOIN n ON l_orderkey = s.o_orderkey"
+)
 def effective_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    used = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
-    state = F.when(F.col("n") > 6, "conflict").when((F.col("n") > 0) & (F.col("o_orderstatus") == "F"), "used").otherwise(F.coalesce("o_orderstatus", F.lit("pending")))
-    return _table(spark, sf_dir, "orders").join(used, "o_orderkey", "left").select("o_orderkey", state.alias("effective"))
+    """Orders stand for regions, large first lines for turns that use one."""
+    regions = _table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "rejected").alias("status"))
+    turns = _table(spark, sf_dir, "lineitem").where("l_linenumber <= 2 and l_quantity > 25").select(F.array("l_orderkey").alias("members"))
+    return curation.effective_status(regions, turns, "o_orderkey", "status", "members").select("o_orderkey", "effective")
 
 
 @_query("SELECT conv_id, turn, len(t) AS n_tokens, array_to_string(t, '|') AS tokens FROM (SELECT conv_id, turn, list_transform(regexp_extract_all(coalesce(text, ''), '[\\p{L}\\p{M}\\p{N}_]+(?:[''’][\\p{L}\\p{M}\\p{N}_]+)*'), lambda x: replace(replace(lower(x), 'ß', 'ss'), '’', '''')) AS t FROM conversations)")
@@ -306,7 +338,7 @@ def tokens_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.size(t).cast("long").alias("n_tokens"), F.array_join(t, "|").alias("tokens"))
 
 
-@_query("SELECT conv_id, turn, array_to_string(list_filter(list_transform(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: regexp_replace(x, '[^\\p{L}\\p{N}'']', '', 'g')), lambda x: x <> ''), '|') AS tokens FROM conversations")
+@_query("SELECT conv_id, turn, array_to_string(list_filter(list_transform(regexp_split_to_array(replace(lower(coalesce(text, '')), 'ß', 'ss'), '\\s+'), lambda x: regexp_replace(x, '[^\\p{L}\\p{N}'']', '', 'g')), lambda x: x <> ''), '|') AS tokens FROM conversations")
 def tokens_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(T.plain_tokens(F.col("text")), "|").alias("tokens"))
 
@@ -318,7 +350,7 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(
-    f"""WITH {_C}, t AS (SELECT conv_id, turn, role, unnest(list_distinct(list_filter(list_transform(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: regexp_replace(x, '[^\\p{{L}}\\p{{N}}'']', '', 'g')), lambda x: x <> ''))) AS tok FROM c),
+    f"""WITH {_C}, t AS (SELECT conv_id, turn, role, unnest(list_distinct(list_filter(list_transform(regexp_split_to_array(replace(lower(coalesce(text, '')), 'ß', 'ss'), '\\s+'), lambda x: regexp_replace(x, '[^\\p{{L}}\\p{{N}}'']', '', 'g')), lambda x: x <> ''))) AS tok FROM c),
 s AS (SELECT conv_id, role, count(DISTINCT tok) AS n_tokens, min(turn) AS first_turn, max(turn) AS last_turn FROM t GROUP BY conv_id, role)
 SELECT conv_id, role, n_tokens, first_turn, last_turn, row_number() OVER (PARTITION BY conv_id ORDER BY n_tokens DESC, last_turn - first_turn, role DESC) AS rank FROM s"""
 )
@@ -339,7 +371,7 @@ def change_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT *, lag(r_end) OVER p AS b, lead(r_start) OVER p AS a FROM r WINDOW p AS (PARTITION BY source ORDER BY r_start, r_end, region_id))"""
 )
 def padding_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intervals.bounded_padding(_regions(spark, sf_dir), ["source"], R, "region_id", SECOND // 4).select("region_id", "clip_start", "clip_end")
+    return intervals.bounded_padding(_regions(spark, sf_dir), ["source"], R, "region_id", SECOND // 4, CELL).select("region_id", "clip_start", "clip_end")
 
 
 @_query(f"WITH {_R}, s AS (SELECT source, min(r_start) AS z, max(r_end) AS d FROM r GROUP BY source) SELECT region_id, r_start - z <= 3600000000 AS near_start, d - r_end <= 3600000000 AS near_end FROM r JOIN s USING (source)")
@@ -374,7 +406,7 @@ SELECT region_id, ns >= 0 AND ne > ns AND NOT coalesce(greatest(b - ns, 0) > gre
 )
 def trim_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _regions(spark, sf_dir).withColumns({"ns": F.col("r_start") - 30 * SECOND, "ne": F.col("r_end") + 30 * SECOND})
-    return curation.trim_allowed(r, ["source"], R, ("ns", "ne"), "region_id").select("region_id", "allowed")
+    return curation.trim_allowed(r, ["source"], R, ("ns", "ne"), "region_id", CELL).select("region_id", "allowed")
 
 
 @_query(
@@ -387,18 +419,28 @@ def import_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return import_plan(existing, incoming, ["user_id", "event_type"], ["value"])
 
 
-@_query("WITH b AS (SELECT event_type, epoch_us(ts) // 3600000000 AS bucket, value FROM events) SELECT event_type, bucket, min(value) AS low, max(value) AS high, count(*) AS n FROM b GROUP BY ALL")
+@_query(
+    "WITH z AS (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) + 1 AS b FROM events), p AS (SELECT event_type, least((epoch_us(ts) - a) * 200 // (b - a), 199) AS bucket, max(abs(value - 200)) AS peak FROM events, z GROUP BY ALL) "
+    "SELECT event_type, CAST(bucket AS BIGINT) AS bucket, round(peak, 6) AS peak, round(peak / max(peak) OVER (PARTITION BY event_type), 6) AS level FROM p"
+)
 def waveform_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _table(spark, sf_dir, "events").select("event_type", F.floor(_micros("ts") / (3600 * SECOND)).alias("bucket"), "value")
-    return b.groupBy("event_type", "bucket").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("n"))
+    e = _table(spark, sf_dir, "events").select("event_type", _micros("ts").alias("at"), (F.col("value") - 200).alias("value"))
+    whole = e.agg(F.min("at").alias("a"), (F.max("at") + 1).alias("b"))
+    return intervals.envelope(e.join(F.broadcast(whole)), ["event_type"], "at", "value", F.col("a"), F.col("b"), 200).select("event_type", "bucket", F.round("peak", 6).alias("peak"), F.round("level", 6).alias("level"))
+
+
+_TILES = f"""{_R}, {_W}, t AS (SELECT source, region_id, r_start, coalesce(lead(r_start) OVER (PARTITION BY source ORDER BY r_start, region_id), r_end) AS r_end, nullif(label, 3) AS label FROM r)"""
 
 
 @_query(
-    f"""WITH {_R}, {_W}, p AS (SELECT w.word_id, r.* FROM w JOIN r ON r.source = w.source AND least(r.r_end, w.w_end) > greatest(r.r_start, w.w_start)), q AS (SELECT *, coalesce(lag(r_end) OVER (PARTITION BY word_id ORDER BY r_start, r_end, region_id) = r_start, true) AS j FROM p)
-SELECT word_id, string_agg(CAST(region_id AS VARCHAR), ',' ORDER BY r_start, r_end, region_id) AS region_ids FROM q GROUP BY word_id HAVING count(*) > 1 AND count(DISTINCT label) > 1 AND bool_and(j)"""
+    f"""WITH {_TILES}, p AS (SELECT w.word_id, t.* FROM w JOIN t ON t.source = w.source AND least(t.r_end, w.w_end) > greatest(t.r_start, w.w_start)), q AS (SELECT *, coalesce(lag(r_end) OVER (PARTITION BY word_id ORDER BY r_start, r_end, region_id) = r_start, true) AS j FROM p)
+SELECT word_id, string_agg(CAST(region_id AS VARCHAR), ',' ORDER BY r_start, r_end, region_id) AS region_ids FROM q GROUP BY word_id HAVING count(*) > 1 AND count(DISTINCT coalesce(label, -1)) > 1 AND bool_and(j)"""
 )
 def word_region_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return speakers.region_conflicts(_words(spark, sf_dir), _regions(spark, sf_dir), ["source"], "word_id", W, R, "region_id", "label", CELL).select("word_id", "region_ids")
+    """Regions here last until the next one starts, so that they touch exactly; those of label 3 have none."""
+    tiles = intervals.beside(_regions(spark, sf_dir), ["source"], ["r_start", "region_id"], ["r_start"], CELL, after=True, name="n")
+    tiles = tiles.withColumns({"r_end": F.coalesce("n.r_start", "r_end"), "label": F.nullif("label", F.lit(3))}).drop("n")
+    return speakers.region_conflicts(_words(spark, sf_dir), tiles, ["source"], "word_id", W, R, "region_id", "label", CELL).select("word_id", "region_ids")
 
 
 @_query()
@@ -450,3 +492,8 @@ def neighbour_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _regions(spark, sf_dir)
     other = r.select("source", (F.col("region_id") - 1).alias("region_id"), F.col("r_start").alias("s"), F.col("r_end").alias("e"))
     return r.join(other, ["source", "region_id"], "left").select("region_id", F.coalesce(overlap(F.col("r_start"), F.col("r_end"), F.col("s"), F.col("e")) * F.col("s").isNotNull().cast("long"), F.lit(0)).cast("long").alias("shared"))
+
+
+from turnweave.plans import dialogue  # noqa: E402  (it adds its queries to the ones above)
+
+__all__ = ["ORACLE_SQL", "QUERIES", "dialogue"]

@@ -1,57 +1,198 @@
-"""Record collections on disk: sources, regions, turns, voices and evidence, as Parquet or JSON lines."""
+"""Record collections on disk: sources, regions, turns, voices and evidence, as Parquet; and JSON lines."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 REGION_SCHEMA = "id string, source_id string, source_start double, source_end double, detector string, detector_label string"
 
 
 class Catalog:
-    """Tables under one root folder. Appends are plain; a snapshot goes to a new folder and becomes current by its name."""
+    """Tables under one root folder, each a row of versions.
+
+    A version is a folder version=N that Spark has finished (its _SUCCESS is there); readers take the newest and nothing else, so
+    a replacement that dies half way changes nothing. Appends go into the newest version. Ids are unique: an append whose ids
+    are there already, or twice in the batch, is refused, as are updates of ids that are missing or named twice.
+    Writers of one table must take turns.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
 
-    def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{table}")
-
-    def append(self, table: str, rows: DataFrame, by: str | None = None) -> None:
-        writer = rows.write.mode("append")
-        (writer.partitionBy(by) if by else writer).parquet(f"{self.root}/{table}")
-
-    def snapshot(self, table: str, rows: DataFrame, version: int) -> DataFrame:
-        path = f"{self.root}/{table}/version={version}"
-        rows.write.mode("errorifexists").parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+    def _list(self, path: str) -> list[tuple[str, bool]]:
+        """(name, whether it is a finished folder or a plain one) of a folder's entries; none if it isn't there."""
+        jvm = self.spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(where):
+            return []
+        return [(x.getPath().getName(), x.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(x.getPath(), "_SUCCESS"))) for x in fs.listStatus(where)]
+
+    def versions(self, table: str) -> list[int]:
+        """Finished versions, oldest first."""
+        names = [name for name, done in self._list(f"{self.root}/{table}") if done and name.startswith("version=")]
+        return sorted(int(name.removeprefix("version=")) for name in names)
+
+    def read(self, table: str, version: int | None = None, schema: str | None = None) -> DataFrame:
+        """The newest version, or the one named. A table that isn't there is empty if a schema is given, else an error."""
+        known = self.versions(table)
+        if version is None and not known and schema:
+            return self.spark.createDataFrame([], schema)
+        if not known or (version is not None and version not in known):
+            raise KeyError(f"no table {table}" if not known else f"no version {version} of {table}")
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.parquet(f"{self.root}/{table}/version={known[-1] if version is None else version}")
+
+    def append(self, table: str, rows: DataFrame, key: str | None = None) -> None:
+        """Adds rows. With `key`, refuses ids that the batch has twice or not at all, or that the table has."""
+        known = self.versions(table)
+        if key:
+            old = self.read(table).select(key) if known else None
+            bad = key_clashes(rows, key, old)
+            if not bad.isEmpty():
+                raise ValueError(f"{table}: {bad.first()['reason']}: {bad.first()[key]}")
+        rows.write.mode("append").parquet(f"{self.root}/{table}/version={known[-1] if known else 1}")
+
+    def replace(self, table: str, rows: DataFrame) -> int:
+        """Makes `rows` the table, whole, and returns the new version. `rows` may come from the table itself."""
+        version = (self.versions(table) or [0])[-1] + 1
+        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/version={version}")
+        return version
+
+    def update(self, table: str, changes: DataFrame, key: str = "id") -> int:
+        """Replaces the columns of `changes` in the rows that its keys name, nulls included."""
+        now = self.read(table)
+        bad = update_clashes(now, changes, key)
+        if not bad.isEmpty():
+            first = bad.first()
+            raise (KeyError if first["reason"] == "missing" else ValueError)(f"{table}: {first['reason']}: {first[key]}")
+        return self.replace(table, changed(now, changes, key))
+
+    def get(self, table: str, record_id: object, key: str = "id") -> Row | None:
+        """The row with this id, None if there is none; two are an error."""
+        found = self.read(table).where(F.col(key) == F.lit(record_id)).limit(2).collect()
+        if len(found) > 1:
+            raise ValueError(f"{table}: several rows with {key} {record_id}")
+        return found[0] if found else None
+
+    def datasets(self, table: str) -> DataFrame:
+        """The table in all datasets beside this one, this one included, with a column `dataset`, the folder's name."""
+        parent = self.root.rsplit("/", 1)[0]
+        parts = []
+        for name, _ in sorted(self._list(parent)):
+            one = Catalog(self.spark, f"{parent}/{name}")
+            if one.versions(table):
+                parts.append(one.read(table).withColumn("dataset", F.lit(name)))
+        if not parts:
+            raise KeyError(f"no dataset has a table {table}")
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part, allowMissingColumns=True)
+        return out
+
+
+def key_clashes(rows: DataFrame, key: str, existing: DataFrame | None = None) -> DataFrame:
+    """(key, reason) of what keeps rows from being inserted: 'no id', 'repeated', 'exists'."""
+    batch = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    bad = batch.select(key, F.when(F.col(key).isNull(), "no id").when(F.col("_n") > 1, "repeated").alias("reason")).where("reason is not null")
+    if existing is None:
+        return bad
+    return bad.union(batch.join(existing.select(key), key, "left_semi").select(key, F.lit("exists").alias("reason")))
+
+
+def update_clashes(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """(key, reason) of what keeps changes from being applied: 'missing', 'repeated', 'ambiguous' (several rows have the id)."""
+    wanted = changes.groupBy(key).agg(F.count("*").alias("_n"))
+    held = table.join(wanted.select(key), key, "left_semi").groupBy(key).agg(F.count("*").alias("_m"))
+    both = wanted.join(held, key, "left")
+    reason = F.when(F.col("_n") > 1, "repeated").when(F.col("_m").isNull(), "missing").when(F.col("_m") > 1, "ambiguous")
+    return both.select(key, reason.alias("reason")).where("reason is not null")
+
+
+def changed(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """`table` with the columns of `changes` (one row a key) in place of its own where a key is named."""
+    new = [c for c in changes.columns if c != key]
+    side = changes.select(F.col(key), F.struct(*new).alias("_new"))
+    out = table.join(side, key, "left")
+    return out.select(*(F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in table.columns))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(good, bad): records of the schema, and the lines that are none."""
-    lines = spark.read.text(path)
-    rows = lines.select("value", F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    """(good, bad): records of the schema, and the lines that are none, with their file. Blank lines are neither."""
+    text = spark.read.text(path).where("trim(value) <> ''")
+    rows = text.select("value", F.col("_metadata.file_path").alias("file"), F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
     wrong = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
-    return rows.where(~wrong).select("r.*").drop("_corrupt"), rows.where(wrong).select(F.col("value").alias("_corrupt"))
+    return rows.where(~wrong).select("r.*").drop("_corrupt"), rows.where(wrong).select("file", F.col("value").alias("_corrupt"))
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:
     rows.write.json(path)
 
 
+def canonical(value: Column) -> Column:
+    """A map<string, string> as JSON with sorted keys, so equal maps give equal texts; null stays null."""
+    return F.when(value.isNotNull(), F.to_json(F.map_from_entries(F.array_sort(F.map_entries(value)))))
+
+
 def import_plan(existing: DataFrame, incoming: DataFrame, key: list[str], payload: list[str]) -> DataFrame:
     """Incoming rows with action: 'insert' for a new key, 'skip' for an equal record, 'conflict' for another one under the same
     key. Nulls equal nulls. A key that comes twice with different records is a conflict as well."""
     mark = lambda df, name: df.select(*key, F.sha2(F.to_json(F.struct(*payload), {"ignoreNullFields": "false"}), 256).alias(name))
     old = mark(existing, "_old").groupBy(*key).agg(F.min("_old").alias("_old"), F.max("_old").alias("_old2"))
     new = mark(incoming, "_new").groupBy(*key).agg(F.min("_new").alias("_new"), F.max("_new").alias("_new2"))
-    both = new.join(old, key, "left")
+    both = new.alias("n").join(old.alias("o"), [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in key], "left")
     clash = (F.col("_new") != F.col("_new2")) | (F.col("_old") != F.col("_new")) | (F.col("_old2") != F.col("_new"))
     action = F.when(F.coalesce(clash, F.col("_new") != F.col("_new2")), "conflict").when(F.col("_old").isNull(), "insert").otherwise("skip")
-    return both.select(*key, action.alias("action"))
+    return both.select(*(F.col(f"n.{c}") for c in key), action.alias("action"))
+
+
+REGION_IDENTITY = ["source_id", "detector", "detector_model", "detector_revision", "detector_parameters", "source_start", "source_end", "detector_label"]
+
+
+def new_regions(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Incoming regions whose identity (source, detector with model, revision and canonical parameters, range, label; nulls equal nulls)
+    neither the table nor an earlier row of the batch has, one row each."""
+    ident = lambda df: df.withColumn("detector_parameters", canonical(F.col("detector_parameters")))
+    new, old = ident(incoming).dropDuplicates(REGION_IDENTITY), ident(existing).select(*REGION_IDENTITY).distinct()
+    return new.alias("n").join(old.alias("o"), [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in REGION_IDENTITY], "left_anti")
+
+
+def attach_by_name(existing: DataFrame, incoming: DataFrame, record: str, name: str) -> DataFrame:
+    """Incoming hypotheses with action: 'insert', or 'skip' where the record has one of this name already, whatever it says."""
+    have = existing.select(record, name).distinct().withColumn("_have", F.lit(True))
+    return incoming.join(have, [record, name], "left").withColumn("action", F.when(F.col("_have"), "skip").otherwise("insert")).drop("_have")
+
+
+def unknown_references(rows: DataFrame, column: str, table: DataFrame, key: str = "id") -> DataFrame:
+    """The values of `column` that no row of `table` has as its key, each once; a null is unknown as well."""
+    return rows.select(F.col(column)).distinct().join(table.select(F.col(key).alias(column)).distinct(), column, "left_anti")
+
+
+def largest_number(rows: DataFrame, column: str, prefix: str) -> Column:
+    return F.coalesce(F.max(F.expr(f"try_cast(regexp_extract({column}, '^{prefix}-([0-9]+)$', 1) as bigint)")), F.lit(0))
 
 
 def next_ids(rows: DataFrame, column: str, prefix: str) -> DataFrame:
-    """One row: the largest number after `prefix` in ids like prefix-000123, and the id that follows."""
-    top = F.coalesce(F.max(F.regexp_extract(column, f"^{prefix}-([0-9]+)$", 1).try_cast("long") if hasattr(F.col("x"), "try_cast") else F.expr(f"try_cast(regexp_extract({column}, '^{prefix}-([0-9]+)$', 1) as long)")), F.lit(0))
-    return rows.agg(top.alias("largest")).withColumn("next_id", F.concat(F.lit(f"{prefix}-"), F.lpad((F.col("largest") + 1).cast("string"), 6, "0")))
+    """One row: the largest number after `prefix` in ids like prefix-000123, and the id that follows; ids of another shape say nothing."""
+    top = rows.agg(largest_number(rows, column, prefix).alias("largest"))
+    return top.withColumn("next_id", padded(prefix, F.col("largest") + 1))
+
+
+def padded(prefix: str, number: Column, width: int = 6) -> Column:
+    """prefix-000123; a longer number is not cut."""
+    text = number.cast("string")
+    return F.concat(F.lit(f"{prefix}-"), F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")))
+
+
+def with_new_ids(rows: DataFrame, existing: DataFrame, prefix: str, order: list[str], column: str = "id") -> DataFrame:
+    """`rows` with ids that follow the largest of `existing`, in the order given, without gaps. Rows are ranged by `order` over the
+    partitions and numbered within them; what is carried from partition to partition is one count each."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    ranged = ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    top = existing.agg(largest_number(existing, column, prefix).alias("_top"))
+    numbered = ranged.join(F.broadcast(before), "_part").join(F.broadcast(top))  # a row for each partition, and one row
+    return numbered.withColumn(column, padded(prefix, F.col("_top") + F.col("_before") + F.col("_in"))).drop("_part", "_in", "_before", "_top")
