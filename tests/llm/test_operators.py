@@ -147,6 +147,23 @@ def test_jaccard_join_tries_few_pairs_of_a_large_group(spark, monkeypatch):
     assert sum(tried) < 2 * len(rows)
 
 
+def test_jaccard_join_finds_the_text_that_copies_were_made_from(spark, monkeypatch):
+    """400 copies that are linked with one text, and hardly any with another copy: about one attempt a copy joins them."""
+    rng = random.Random(13)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = [" ".join(words)]
+    for k in range(400):
+        mine = list(words)
+        for at in rng.sample(range(10, 290), 4):
+            mine[at] = f"x{k}-{at}"
+        rows.append(" ".join(mine))
+    tried = []
+    verify = jaccard.JaccardJoin.verify
+    monkeypatch.setattr(jaccard.JaccardJoin, "verify", lambda self, pairs, texts: tried.append(pairs.count()) or verify(self, pairs, texts))
+    got = jaccard.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), 5, 80).collect()
+    assert {r.component_id for r in got} == {0} and sum(tried) < 1.2 * len(rows)
+
+
 @pytest.mark.parametrize("block", [3, 512])
 def test_jaccard_join_compares_across_components(spark, monkeypatch, block):
     """Without any round of attempts all links come from the comparison of whole buckets, whatever its blocks."""

@@ -10,7 +10,7 @@ in at most (|A|+|B|)(1-t)/(1+t) n-grams, and their sizes in a ratio of at least
    (band, segment, bits) is one join key. An empty segment says little. Where few are empty, they are cut again under another
    hash, which loses no pair for the same reason. Where many are, the sketch has D + 1 + m segments: a linkable pair agrees on
    m + 1, so a document with at most m empty ones needs no key for these; one with more keeps them.
-3. In rounds, each class, and later each component, is tried against one leader of its buckets. That is linear in the classes,
+3. In rounds, each class, and later each component, is tried against one leader of its buckets; the class that meets most others leads. That is linear in the classes,
    and the components of the links found close most buckets. In those that still hold several components all pairs that
    cross components are compared. Pairs whose 512-bit sketches differ in too many bits are dropped before that (Hamming distance
    bounds the difference from below), the others are verified on their whole texts. No linked pair of different components is
@@ -39,7 +39,7 @@ SKETCH_WORDS = 8  # of 64 bits, for the Hamming test of a pair
 BLOOM_BITS = 1 << 26  # of the filter that spares texts in no candidate pair; its size is fixed
 BLOCK = 64  # classes; a task holds the texts of two blocks
 PAIR_BLOCK = 512  # classes; a task holds the sketches of two blocks
-ROUNDS = 2  # of attempts at most, before all that is left is compared
+ROUNDS = 4  # of attempts at most, before all that is left is compared
 PAIR = "a bigint, b bigint, ra bigint, rb bigint"  # two classes and their components' roots
 U = R.U64
 
@@ -205,7 +205,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, root, cls) sorted in; of each root in a key but the first its first cls (b, rb) and that of the key (a, ra) out."""
+    """Rows (key, root, cls) in, a key's rows and a root's rows in it one after another, the best ones first; of each root in a key but the first its
+    first cls (b, rb) and that of the key (a, ra) out."""
     last = None  # (key, root) of the row before, and cls and root of its key's first row
     for batch in batches:
         if batch.num_rows == 0:
@@ -424,19 +425,30 @@ class JaccardJoin:
 
     def _attempt(self, rooted: DataFrame, tried: DataFrame | None) -> DataFrame:
         """For each component but the first of its buckets one pair that was not tried yet: with the bucket leader with which it shares
-        most buckets. The leader's root is the smaller one."""
-        stars = rooted.repartition("key").sortWithinPartitions("key", "root", "cls").mapInArrow(_stars, PAIR)
+        most buckets. Components and classes come in the order of their weights, so pairs lead to heavier roots and never in a circle."""
+        order = ["key", F.desc("root_weight"), "root", F.desc("weight"), "cls"]
+        stars = rooted.repartition("key").sortWithinPartitions(*order).select("key", "root", "cls").mapInArrow(_stars, PAIR)
         shared = stars.groupBy("rb", "ra", "a", "b").agg(F.count("*").alias("n"))
         if tried is not None:
             shared = shared.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         best = shared.groupBy("rb").agg(F.max_by(F.struct("a", "b", "ra"), F.struct("n", -F.col("a"), -F.col("b"))).alias("m"))
         return best.select("m.a", "m.b", "m.ra", "rb")
 
+    def _weighed(self, members: DataFrame) -> DataFrame:
+        """Members with the weight of their class: how many others it meets in all its buckets. A text that many copies were made from meets each
+        of them in most buckets, its copies meet one another in fewer: so it leads its buckets, and one attempt joins each copy to it."""
+        sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+        weights = members.join(sizes, "key").groupBy("cls").agg(F.sum("size").alias("weight"))
+        self.weights = park(weights)
+        return members.join(self.weights, "cls")
+
     def _open(self, members: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
-        """(key, cls, root) of the buckets that still hold several components, and their number."""
-        rooted = members.select("key", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        """(key, cls, weight, root, root_weight) of the buckets that still hold several components, and their number."""
+        heavy = self.weights.select(F.col("cls").alias("root"), F.col("weight").alias("root_weight"))
+        roots = found.join(heavy, "root").withColumnRenamed("node", "cls")
+        rooted = members.select("key", "cls", "weight").join(roots, "cls", "left").withColumns({"root": F.coalesce("root", "cls"), "root_weight": F.coalesce("root_weight", "weight")})
         keys = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-        opened, seen = park_counted(rooted.join(keys, "key", "left_semi"))
+        opened, seen = park_counted(rooted.join(keys, "key", "left_semi").select("key", "cls", "weight", "root", "root_weight"))
         return opened, seen[0]
 
     def _crossing(self, rooted: DataFrame) -> DataFrame:
@@ -454,14 +466,15 @@ class JaccardJoin:
         """The components (node, root) of all links between classes, without the roots themselves; None if no bucket is shared.
 
         Each round tries one pair for each component of the buckets that are still open, so what is tried is linear in the
-        classes. Its links are pointers to smaller roots, one a root, and followed to their ends. Rounds end when few attempts succeed;
+        classes. Its links are pointers to heavier roots, one a root, and followed to their ends. Rounds end when few attempts succeed;
         then the pairs that cross components in a bucket are compared, all of them, so no link between two components is left.
         """
         members, seen = park_counted(self.members())
         if not seen[0]:
             return None
         self.texts = self._texts(members.select("cls").distinct())
-        rooted = members.withColumn("root", F.col("cls"))
+        members = park(self._weighed(members))
+        rooted = members.withColumns({"root": F.col("cls"), "root_weight": F.col("weight")})
         found = tried = None
         for _ in range(ROUNDS):
             pairs, (n_pairs,) = park_counted(self._attempt(rooted, tried))

@@ -64,8 +64,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def followed(pointers: DataFrame) -> DataFrame:
-    """(node, root) of pointers (node, root), one a node, that lead to smaller nodes: each followed to its end, the distance doubling in
-    every step."""
+    """(node, root) of pointers (node, root), one a node and without circles: each followed to its end, the distance doubling in every
+    step."""
     now = pointers
     while True:
         beyond = now.select(F.col("node").alias("root"), F.col("root").alias("_next"))

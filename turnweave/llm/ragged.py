@@ -71,6 +71,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
     for batch in batches:
         at = batch.schema.get_field_index(column)
         yield from slices(batch, pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), limit)
+    pa.default_memory_pool().release_unused()  # a worker outlives its task
 
 
 def slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
