@@ -26,7 +26,7 @@ def op2_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    return cotrain.quality(_docs(spark, sf_dir, "doc_id", "text", "lang", "source"), labels)
+    return cotrain.quality(_docs(spark, sf_dir, "doc_id", "text", "lang", "source", "n_chars"), labels)
 
 
 def op4_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
