@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from turnweave.llm import ragged as R
 from turnweave.llm.bpe import _gather
+from turnweave.llm.lineage import small_batches
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2500, 5000
 ROWS = 1 << 17  # of the embedding table
@@ -30,7 +31,7 @@ WIDTH = 8
 SIZES = (3, 4, 5)
 EPOCHS = 40
 RATE = 0.3
-APART = 0.25  # of the sample: not for the embeddings, but for the final logistic function
+APART, APART_LEAST = 0.25, 200  # of the sample: not for the embeddings, but for the final logistic function; of fewer labelled rows none
 TEXT_BYTES = 1 << 20
 LEAST = -12.0  # a word's logit where a document has none
 U = R.U64
@@ -133,14 +134,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float | n
 
 def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
     """Embeddings and softmax by full-batch Adam on the noisy-or likelihood, both classes weighted alike; then the final
-    logistic function, on rows set apart. One class alone, or no row, gives a model that scores all texts by the share of toxic labels."""
+    logistic function, on rows set apart. Where fewer than APART_LEAST rows are labelled, or one of the two parts would have one class alone,
+    nothing is set apart, and the function is fitted on the rows that the embeddings saw: its scores are then surer than they should be. One class alone, or no row, gives a model that scores all texts by the share of toxic labels."""
     y = np.asarray(labels, np.float64)
     share = (y.sum() + 0.5) / (len(y) + 1)
     if len(y) == 0 or y.min() == y.max():
         return Model(np.zeros(ROWS, np.float32), 0.0, (0.0, 0.0, float(np.log(share / (1 - share)))))
     rng = np.random.default_rng(seed)
-    apart = np.flatnonzero(rng.random(len(y)) < APART) if len(y) >= 200 else np.arange(len(y))
-    fit = np.setdiff1d(np.arange(len(y)), apart) if len(y) >= 200 else apart
+    apart = np.flatnonzero(rng.random(len(y)) < APART) if len(y) >= APART_LEAST else np.arange(len(y))
+    fit = np.setdiff1d(np.arange(len(y)), apart) if len(y) >= APART_LEAST else apart
     if y[fit].min() == y[fit].max() or y[apart].min() == y[apart].max():
         fit = apart = np.arange(len(y))
     model = _embed(texts.take(pa.array(fit)), y[fit], rng)
@@ -190,12 +192,31 @@ def _adam(grad: np.ndarray, m: np.ndarray, v: np.ndarray, step: int) -> np.ndarr
     return RATE / step**0.25 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.98**step)) + 1e-8)
 
 
+def agreed(labels: DataFrame) -> DataFrame:
+    """(doc_id, label): the labels of documents whose labels, 0 or 1, are all the same; a document with both has none."""
+    told = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_most"))
+    return told.where("label = _most").drop("_most")
+
+
+def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's distinct words, in place of the text."""
+    for batch in R.chunks(batches, "text", TEXT_BYTES):
+        doc, word, words = words_of(batch.column("text"))
+        ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.take(pa.array(word)))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pc.binary_join(lists, " ")], names=["doc_id", "label", "words"])
+
+
 def sample(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> pa.Table:
-    """(text, label) of at most `toxic` and `clean` labelled rows, those with the smallest hash of their id."""
-    known = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    """(text, label) of at most `toxic` and `clean` labelled documents, those with the smallest hash of their id: their distinct words, which
+    are all that training looks at. A document with several rows gives one of them, the first by its words."""
+    known = agreed(labels)
     pick = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for k, most in ((1, toxic), (0, clean))]
     chosen = F.broadcast(pick[0].union(pick[1]))  # at most toxic + clean rows of two numbers
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "label").toArrow()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = small_batches(docs.select("doc_id", "text").join(chosen, "doc_id")).select("doc_id", "label", "text")
+    worded = rows.mapInArrow(_worded, f"doc_id {kind}, label int, words string")
+    return worded.groupBy("doc_id", "label").agg(F.min("words").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "label").toArrow()
 
 
 def _scored(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -215,8 +236,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """One row per input row: doc_id, held_out, score (0 to 1), predicted (1 if score >= 0.5).
 
     Null and empty texts, and texts without a word, get the score of a text whose words say nothing. Labels of held-out
-    rows are never read, null labels and ids aside; labels that name no document do nothing; of a document's repeated labels
-    one counts. Without labels of both classes every text gets the share of toxic labels. Repeated rows are scored alike.
+    rows are never read, null labels and ids aside; labels that name no document do nothing; repeated labels
+    of a document count once, contradicting ones not at all. Without labels of both classes every text gets the share of toxic labels. Repeated rows are scored alike.
     Other columns are not carried. The text alone decides a score.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -224,5 +245,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(~held_out(F.col("doc_id")))
     table = sample(rows, known)
     model = train(table.column("text").combine_chunks(), table.column("label").to_numpy())
-    scored = rows.mapInArrow(_scored(model), f"doc_id {kind}, held_out boolean, score double")
+    scored = small_batches(rows).mapInArrow(_scored(model), f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
