@@ -5,7 +5,8 @@ number right behind it is one long run of digits) or the writing is unusual, the
 candidates are collected as well, and labelers vote on each: a strict pattern, a check of digits or ranges, gazetteers (top
 domains, issuer prefixes, calling codes, reserved nets), words before it that speak for or against its kind, and its edges. Expectation
 maximisation over all documents' votes estimates how reliable each labeler is for each kind, without any true label; its posteriors
-train a logistic span classifier, which decides on the candidates that no base span covers. Base spans always stay.
+train a logistic span classifier, which decides on the candidates that no base span covers. Base spans always stay. Secrets (passwords,
+tokens, keys) have no base: all their spans are candidates, from what they are assigned to, from their known beginnings, and from their length.
 
 What is gathered from the corpus is a count for each distinct pattern of votes and features: their number is bounded by
 the product of a few small value sets, not by the corpus, and partial counts are summed before and after one small shuffle.
@@ -24,9 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnweave.llm import ragged as R
+from turnweave.llm.lineage import small_batches
 from turnweave.llm.toxicity import _logistic, _sigmoid
 
-KINDS = ("email", "ip", "card", "phone")
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
 THRESHOLD = 0.9
 EM_STEPS = 60
 TEXT_BYTES = 2 << 20
@@ -51,6 +54,14 @@ ZONE_EDGE = 45
 _SPELT = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[({<](?:at|@)[\])}>]\x20?[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?[\[({<](?:dot|\.)[\])}>]\x20?)[A-Za-z0-9-]{1,63})+")
 _SPELT_SIGNS = tuple(bracket + at for bracket in "[({<" for at in ("at", "@"))  # _SPELT needs one, in any case
 
+# A secret: what a name of one is set to, a run with a known beginning, a long run of hexadecimal digits, a private key.
+_SECRET_NAMES = ("token", "secret", "passw", "pwd", "api_key", "api-key", "apikey", "access_key", "access-key", "credential")
+_ASSIGNED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|(?:api|access)[_-]?key|credential)s?[\"']?\x20{0,3}[:=]\x20{0,3}[\"']?(?P<secret>[A-Za-z0-9+/_.=~-]{8,512})")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[0-9A-Fa-f]{32,128}|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,255}|sk-[A-Za-z0-9_-]{20,255}|xox[abprs]-[A-Za-z0-9-]{10,255}|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{10,2000}\.[A-Za-z0-9_-]{10,2000}\.[A-Za-z0-9_-]{5,2000})(?![A-Za-z0-9+/_-])")
+_PRIVATE = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]{1,20000}-----END [A-Z ]{0,30}PRIVATE KEY-----")
+_BEGINNINGS = re.compile(r"AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-|AIza|eyJ|-----BEGIN")
+RUN = 20  # characters of the shortest run that can be a secret by itself
+
 # Gazetteers.
 TOP_DOMAINS = frozenset("com org net edu gov mil info biz io de fr es uk eu us ca ch at it nl be pt pl se no dk fi ie in jp cn br mx ar cl co au nz ru za".split())
 CALLING_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
@@ -60,11 +71,14 @@ FOR = {
     "ip": re.compile(r"(?i)\b(?:ip|ipv[46]|address|adresse|host|server|client|login|dirección)\b"),
     "card": re.compile(r"(?i)\b(?:card|visa|mastercard|amex|credit|debit|karte|kreditkarte|carte|tarjeta|payment|pan)\b"),
     "phone": re.compile(r"(?i)\b(?:phone|tel|telephone|call|mobile|cell|fax|telefon|téléphone|teléfono|handy|móvil|whatsapp|sms)\b"),
+    "secret": re.compile(r"(?i)(?:token|secret|passw|pwd|key|credential|auth|login|geheim|passwort|contraseña|mot de passe)"),
 }
-AGAINST = re.compile(r"(?i)\b(?:order|invoice|isbn|issn|version|release|build|serial|item|article|page|chapter|section|ticket|tracking|bestellung|rechnung|facture|pedido|factura|doi|number of|nr)\b")
+AGAINST = re.compile(r"(?i)\b(?:order|invoice|isbn|issn|version|release|build|serial|item|article|page|chapter|section|ticket|tracking|bestellung|rechnung|facture|pedido|factura|doi|number of|nr|sha(?:1|256|512)?|md5|checksum|digest|commit|hash|etag)\b")
 
 _SIGN = np.zeros(256, bool)
-_SIGN[[*range(48, 58), *b"@[({<"]] = True
+_SIGN[[*range(48, 58), *b"@[({<=:"]] = True
+_RUNS = np.zeros(256, bool)
+_RUNS[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_-"]] = True
 N_VOTES = 6
 _SHAPES = 6
 _EDGES = 4
@@ -113,8 +127,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def candidates(text: str) -> list[tuple[int, int, int]]:
-    """(kind, start, end) beyond the base's patterns: leftmost, a card before a phone before an address."""
+def candidates(text: str, long_run: bool = True) -> list[tuple[int, int, int]]:
+    """(kind, start, end) beyond the base's patterns: leftmost, a card before a phone before an address; secrets first. `long_run`: whether the text
+    has a run of RUN characters that secrets are made of, if that is known."""
     out = []
     for zone in _ZONE.finditer(text):
         for m in _WIDER.finditer(text, max(0, zone.start() - ZONE_EDGE), zone.end() + ZONE_EDGE):
@@ -122,7 +137,18 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     low = text.lower()
     if any(sign in low for sign in _SPELT_SIGNS):
         out += [(0, m.start(), m.end()) for m in _SPELT.finditer(text)]
-    return out
+    secrets = []
+    if any(name in low for name in _SECRET_NAMES):
+        secrets += [(m.start("secret"), m.end("secret")) for m in _ASSIGNED.finditer(text)]
+    if long_run:
+        secrets += [(m.start(), m.end()) for m in _RUN.finditer(text)]
+        secrets += [(m.start(), m.end()) for m in _PRIVATE.finditer(text)] if "PRIVATE KEY" in text else []
+    end, kept = -1, []
+    for s, e in sorted(secrets, key=lambda x: (x[0], -x[1])):
+        if s >= end:
+            kept.append((4, s, e))
+            end = e
+    return kept + out
 
 
 def _edge(c: str) -> int:
@@ -162,6 +188,13 @@ def code(text: str, kind: int, start: int, end: int) -> int:
         check = 1 if _luhn(digits) else -1
         known = 1 if ISSUERS.match(digits) else -1
         shape = 0 if grouped else min(5, max(1, len(digits) - 12)) if len(digits) <= 16 else 5
+    elif name == "secret":
+        hexadecimal = re.fullmatch(r"[0-9A-Fa-f]+", span) is not None
+        strict = 1 if hexadecimal and len(span) in (32, 40, 48, 56, 64, 96, 128) or not hexadecimal and len(span) >= 20 else 0 if len(span) >= 12 else -1
+        mixed = sum((any(c.isdigit() for c in span), any(c.islower() for c in span), any(c.isupper() for c in span)))
+        check = 1 if mixed > 1 and len(set(span)) >= 8 else -1
+        known = 1 if _BEGINNINGS.match(span) else 0 if digits else -1
+        shape = 0 if hexadecimal else min(5, 1 + len(span) // 12)
     else:
         plus = span[0] == "+"
         strict = 1 if plus and 10 <= len(digits) <= 13 else 0 if 9 <= len(digits) <= 11 and re.search(r"[\x20().-]", span) else -1
@@ -186,9 +219,10 @@ def unpack(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         x, votes[:, j] = np.divmod(x, 3)
     kind = x
     one = lambda v, n: np.eye(n)[v]
-    parts = [one(kind, 4), one(kind * _SHAPES + shape, 4 * _SHAPES), one(left, _EDGES), one(right, _EDGES)]
-    parts += [one(kind * 3 + votes[:, j], 12) for j in range(N_VOTES)]
-    return kind, votes, np.concatenate(parts, axis=1) if len(codes) else np.zeros((0, 4 + 4 * _SHAPES + 2 * _EDGES + 12 * N_VOTES))
+    k = len(KINDS)
+    parts = [one(kind, k), one(kind * _SHAPES + shape, k * _SHAPES), one(left, _EDGES), one(right, _EDGES)]
+    parts += [one(kind * 3 + votes[:, j], 3 * k) for j in range(N_VOTES)]
+    return kind, votes, np.concatenate(parts, axis=1) if len(codes) else np.zeros((0, k + k * _SHAPES + 2 * _EDGES + 3 * k * N_VOTES))
 
 
 def reliabilities(votes: np.ndarray, counts: np.ndarray, steps: int = EM_STEPS) -> tuple[np.ndarray, np.ndarray, float]:
@@ -216,35 +250,43 @@ def train(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     if len(codes) == 0:
         return np.append(np.zeros(x.shape[1]), -10.0)
     post = np.zeros(len(codes))
-    for k in range(4):
+    for k in range(len(KINDS)):
         mine = kind == k
         if mine.any():
             post[mine], _, _ = reliabilities(votes[mine], counts[mine].astype(np.float64))
     return _logistic(x, post, np.sqrt(counts.astype(np.float64)), ridge=0.3)
 
 
-def _worth(texts: pa.Array) -> list[bool]:
-    """Which texts have a digit, an @ or a word in brackets, without which there is no span."""
+def _worth(texts: pa.Array) -> tuple[list[bool], list[bool]]:
+    """Which texts have a digit, an @, a sign that sets a value or a word in brackets, without which there is no span, or a run of RUN characters
+    that secrets are made of; and which have such a run."""
     data, offs = R.buffer(texts)
     hit = np.append(0, np.cumsum(_SIGN[data]))[offs]
-    return (hit[1:] > hit[:-1]).tolist()
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = _RUNS[data]
+    begins, ends = np.flatnonzero(np.diff(inside) == 1), np.flatnonzero(np.diff(inside) == -1)  # runs, over the borders of texts too
+    cuts = np.unique(np.concatenate([offs, begins, ends]))
+    size = np.diff(cuts)
+    long_at = cuts[:-1][(size >= RUN) & (inside[1:-1][np.minimum(cuts[:-1], len(data) - 1)] == 1)] if len(data) else cuts[:0]
+    long = np.searchsorted(long_at, offs[1:]) > np.searchsorted(long_at, offs[:-1])
+    return ((hit[1:] > hit[:-1]) | long).tolist(), long.tolist()
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter[int] = Counter()
     for batch in R.chunks(batches, "text", TEXT_BYTES):
-        for text, worth in zip(batch.column("text").to_pylist(), _worth(batch.column("text")), strict=True):
+        for text, worth, run in zip(batch.column("text").to_pylist(), *_worth(batch.column("text")), strict=True):
             if worth:
-                seen.update(code(text, *span) for span in {*base_spans(text), *candidates(text)})
+                seen.update(code(text, *span) for span in {*base_spans(text), *candidates(text, run)})
     yield pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["code", "n"])
 
 
-def all_spans(text: str, weights: np.ndarray, known: dict[int, float], threshold: float = THRESHOLD) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def all_spans(text: str, weights: np.ndarray, known: dict[int, float], threshold: float = THRESHOLD, long_run: bool = True) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """The base spans, and all spans by kind, then start: the base's and the candidates that the classifier takes."""
     base = base_spans(text)
     more = []
     taken = sorted((s, e) for _, s, e in base)
-    for kind, s, e in candidates(text):
+    for kind, s, e in candidates(text, long_run):
         if any(a < e and s < b for a, b in taken):
             continue
         c = code(text, kind, s, e)
@@ -262,9 +304,9 @@ def _found(weights: np.ndarray, threshold: float, mask: bool) -> Callable[[Itera
         for batch in R.chunks(batches, "text", TEXT_BYTES):
             at = batch.schema.get_field_index("text")
             texts, spans, bases = batch.column(at).to_pylist(), [], []
-            for k, worth in enumerate(_worth(batch.column(at))):
+            for k, (worth, run) in enumerate(zip(*_worth(batch.column(at)), strict=True)):
                 text = texts[k]
-                base, found = all_spans(text, weights, known, threshold) if worth else ([], [])
+                base, found = all_spans(text, weights, known, threshold, run) if worth else ([], [])
                 bases.append([{"kind": KINDS[x], "start": s, "end": e} for x, s, e in base])
                 spans.append([{"kind": KINDS[x], "start": s, "end": e} for x, s, e in found])
                 if mask and found:
@@ -289,7 +331,7 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def fit(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """The span classifier's weights, from the votes on all candidates of all documents."""
-    counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_counted, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toArrow()
+    counts = small_batches(docs).select(F.col(text_col).cast("string").alias("text")).mapInArrow(_counted, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toArrow()
     return train(counts.column("code").to_numpy(), counts.column("n").to_numpy())
 
 
@@ -304,7 +346,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_found(fit(rows), threshold, False), f"doc_id {kind}, base_spans {_LIST}, spans {_LIST}")
+    return small_batches(rows).mapInArrow(_found(fit(rows), threshold, False), f"doc_id {kind}, base_spans {_LIST}, spans {_LIST}")
 
 
 def mask(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -321,12 +363,13 @@ def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     say = lambda spans: ",".join(f"{x['kind']}:{x['start']}:{x['end']}" for x in spans)
     for batch in batches:
         base, spans = batch.column("base_spans").to_pylist(), batch.column("spans").to_pylist()
-        counts = [pa.array([sum(x["kind"] == kind for x in row) for row in base], pa.int64()) for kind in KINDS]
+        counts = [pa.array([sum(x["kind"] == kind for x in row) for row in base], pa.int64()) for kind in BASE_KINDS]
         shas = pa.array([hashlib.sha256(say(row).encode()).hexdigest() for row in base], pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, shas, pa.array([say(row) for row in spans], pa.string())], names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, shas, pa.array([say(row) for row in spans], pa.string()), pa.array([len(row) for row in spans], pa.int64()), pa.array([sum(x["kind"] == "secret" for x in row) for row in spans], pa.int64())], names=["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "n_spans", "n_secret"])
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """doc_id, the base's counts n_email, n_ip, n_card, n_phone, base_sha256 and all spans as kind:start:end, comma-joined."""
+    """doc_id, the base's counts n_email, n_ip, n_card, n_phone, base_sha256, all spans as kind:start:end, comma-joined, and their number
+    and that of the secrets among them."""
     kind = found.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(_told, f"doc_id {kind}, " + ", ".join(f"n_{k} bigint" for k in KINDS) + ", base_sha256 string, spans string")
+    return found.mapInArrow(_told, f"doc_id {kind}, " + ", ".join(f"n_{k} bigint" for k in BASE_KINDS) + ", base_sha256 string, spans string, n_spans bigint, n_secret bigint")
