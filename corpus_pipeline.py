@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnweave.llm import bpe, cotrain, decontaminate, jaccard, personal
@@ -18,9 +18,11 @@ from turnweave.llm.lineage import park
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BROADCAST_ROWS = 200_000  # dropped rows up to this number are broadcast, three small values each; more are joined by a shuffle
 
-# What tells one row of documents from another: its doc_id, those without one last, and a hash of its text. Rows equal in both are one
-# document and share its fate.
-ROW = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text"))
+
+def _row() -> Column:
+    """What tells one row of documents from another: its doc_id, those without one last, and a hash of its text. Rows equal in both are one
+    document and share its fate."""
+    return F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text"))
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -28,7 +30,7 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     gone = park(gone.distinct())
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    return docs.join(gone, ROW == gone["row"], "left_anti")
+    return docs.join(gone, _row() == gone["row"], "left_anti")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Keeps of each group of near duplicates (five words, similarity 0.8) the document with the smallest doc_id, one without a
     doc_id only where all are. Rows with one doc_id but different texts are different documents; repeated rows of a kept
     document stay; documents without words have no group and stay."""
-    near = jaccard.near_duplicates(docs.select(ROW.alias("row"), "text"), id_col="row")
+    near = jaccard.near_duplicates(docs.select(_row().alias("row"), "text"), id_col="row")
     return _without(docs, near.where("component_id <> doc_id").select(F.col("doc_id").alias("row")))
 
 
@@ -50,7 +52,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Drops documents that contain a benchmark item (five words, four fifths of its shingles). Of rows with one doc_id only those
     whose own text does go; rows without a doc_id are judged alike; null and empty texts contain nothing."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    found = decontaminate.contained_items(docs.select(ROW.alias("row"), "text"), items, id_col="row")
+    found = decontaminate.contained_items(docs.select(_row().alias("row"), "text"), items, id_col="row")
     return _without(docs, found.select(F.col("doc_id").alias("row")))
 
 
