@@ -443,6 +443,17 @@ def test_extraction(spark, sf_dir):
     assert extract.main_text(pages.limit(0)).count() == 0
 
 
+def test_large_broken_pages_take_linear_time():
+    import time
+
+    for make in (lambda n: "<b><p></p>" * n, lambda n: "<a " * n, lambda n: "<div>" * n + "<li></li>" * n, lambda n: "<i>" * n + "<b>" * n + "</i>" * n, lambda n: "<div>" * n + "</section>" * n, lambda n: "<!-- <" * n):
+        began = time.process_time()
+        dom.parse(make(40_000))
+        assert time.process_time() - began < 5
+    page = dom.parse("<p>one <b>two<p>three</b> four <!-- gone")
+    assert page.block == ["one two", "three four"]
+
+
 def test_extraction_on_unseen_made_pages():
     trees, hit, wrong, missed = extract.learned(), 0, 0, 0
     for source in pages_made.made(40, seed=77):

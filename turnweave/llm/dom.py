@@ -40,13 +40,20 @@ class Page:
 
 
 def parse(source: str) -> Page:
-    """Element 0 is the document itself. Never fails: what is no tag is text, what is never closed ends with its parent."""
+    """Element 0 is the document itself. Never fails: what is no tag is text, what is never closed ends with its parent.
+
+    Every tag costs a fixed number of steps, whatever is open: the open elements are a stack, with the places of each name, of
+    those that shape the page and of those that end a search in stacks of their own; an inline element that ends stays in its place without a name.
+    """
     page = Page()
     tag, attrs, parent, end, links, n_links = page.tag, page.attrs, page.parent, page.end, page.links, page.n_links
     names, nodes = [""], [0]  # open elements, inline ones included: name, and element they belong to
+    places: dict[str, list[int]] = {}  # of open elements, by name
+    shaping, strong = [0], [0]  # places of open elements that aren't inline; and of those that are neither p nor div
     pieces: list[str] = []
     in_link = 0
     at = 0
+    tags_end = source.rfind(">") + 1
 
     def flush() -> None:
         if pieces:
@@ -67,35 +74,38 @@ def parse(source: str) -> Page:
         nonlocal in_link
         flush()
         for k in range(len(names) - 1, to - 1, -1):
-            if names[k] == "a":
+            name = names[k]
+            if name == "a":
                 in_link -= 1
-            elif names[k] not in INLINE:
+            elif name not in INLINE and name is not None:
                 end[nodes[k]] = len(tag)
+            if name and name in places:
+                places[name].pop()
         del names[to:], nodes[to:]
+        for stack in (shaping, strong):
+            while stack and stack[-1] >= to:
+                stack.pop()
 
-    while m := _TOKEN.search(source, at):
+    while at < tags_end and (m := _TOKEN.search(source, at, tags_end)):
         if m.start() > at:
             say(source[at : m.start()])
         at = m.end()
+        if at == tags_end and source.startswith("<!--", m.start()) and not m[0].endswith("-->"):
+            at = len(source)  # a comment that never ends
         name = m[2]
         if name is None:
             continue
         name = name.lower()
         if m[1]:
+            held = places.get(name)
             if name in INLINE:
-                for k in range(len(names) - 1, 0, -1):
-                    if names[k] == name:
-                        if name == "a":
-                            in_link -= 1
-                        del names[k], nodes[k]
-                        break
-                    if names[k] not in INLINE:
-                        break
+                if held and held[-1] > shaping[-1]:
+                    names[held.pop()] = None
+                    if name == "a":
+                        in_link -= 1
             elif name not in ("body", "html"):
-                for k in range(len(names) - 1, 0, -1):
-                    if names[k] == name:
-                        pop(k)
-                        break
+                if held:
+                    pop(held[-1])
                 else:
                     flush()
             continue
@@ -114,30 +124,27 @@ def parse(source: str) -> Page:
             if name == "a":
                 in_link += 1
                 n_links[nodes[-1]] += 1
+            places.setdefault(name, []).append(len(names))
             names.append(name)
             nodes.append(nodes[-1])
             continue
-        if name in CLOSES_P:
-            for k in range(len(names) - 1, 0, -1):
-                if names[k] == "p":
-                    pop(k)
-                    break
-                if names[k] not in INLINE:
-                    break
+        if name in CLOSES_P and names[shaping[-1]] == "p":
+            pop(shaping[-1])
         if name in IMPLIED:
             closes, fence = IMPLIED[name]
             last = 0
-            for k in range(len(names) - 1, 0, -1):
-                if names[k] in fence:
-                    break
-                if names[k] in closes:
-                    last = k
-                elif names[k] not in INLINE and names[k] not in ("p", "div"):
+            for k in reversed(strong):
+                if k == 0 or names[k] in fence or names[k] not in closes:
                     break
+                last = k
             if last:
                 pop(last)
         flush()
         parent.append(nodes[-1])
+        places.setdefault(name, []).append(len(names))
+        shaping.append(len(names))
+        if name not in ("p", "div"):
+            strong.append(len(names))
         names.append(name)
         nodes.append(len(tag))
         tag.append(name)
@@ -145,8 +152,8 @@ def parse(source: str) -> Page:
         end.append(0)
         links.append(0)
         n_links.append(0)
-    if at < len(source):
-        say(source[at:])
+    if at < len(source):  # no tag ends here any more; a comment or a declaration that begins takes all the rest
+        say(re.split(r"<[!?]", source[at:], maxsplit=1)[0])
     pop(0)
     end[0] = len(tag)
     return page
