@@ -12,8 +12,8 @@ in at most (|A|+|B|)(1-t)/(1+t) n-grams, and their sizes in a ratio of at least
    m + 1, so a document with at most m empty ones needs no key for these; one with more keeps them.
 3. In rounds, each class, and later each component, is tried against one leader of its buckets; the class that meets most others leads. That is linear in the classes,
    and the components of the links found close most buckets. In those that still hold several components all pairs that
-   cross components are compared. Pairs whose 512-bit sketches differ in too many bits are dropped before that (Hamming distance
-   bounds the difference from below), the others are verified on their whole texts. No linked pair of different components is
+   cross components are compared. Pairs whose sketches, of a bit an n-gram and 512 at least, differ in too many bits are dropped before that
+   (Hamming distance bounds the difference from below), the others are verified on their whole texts. No linked pair of different components is
    left, so components are exact.
 4. Numbers of links are counted only when asked for: links lie within components, so in each component of more than two classes
    all pairs are compared, in squares of two blocks of at most BLOCK classes.
@@ -35,10 +35,11 @@ from turnweave.llm.bpe import _gather
 from turnweave.llm.lineage import components, followed, joined_roots, park, park_counted, small_batches
 
 SEGMENT_BITS = 1 << 20
-SKETCH_WORDS = 8  # of 64 bits, for the Hamming test of a pair
+SKETCH_BITS = 512  # of the smallest sketch for the Hamming test of a pair; a larger set has a bit for each n-gram at least
 BLOOM_BITS = 1 << 26  # of the filter that spares texts in no candidate pair; its size is fixed
 BLOCK = 64  # classes; a task holds the texts of two blocks
 PAIR_BLOCK = 512  # classes; a task holds the sketches of two blocks
+PAIRS = 1 << 17  # of a square that are tested at once
 ROUNDS = 4  # of attempts at most, before all that is left is compared
 PAIR = "a bigint, b bigint, ra bigint, rb bigint"  # two classes and their components' roots
 U = R.U64
@@ -109,7 +110,7 @@ def _segment_keys(g: np.ndarray, prefix: np.ndarray, start: np.ndarray, size: np
     return rows, keys
 
 
-def signatures(texts: pa.Array, n_gram: int, percent: int, with_keys: bool) -> dict[str, np.ndarray]:
+def signatures(texts: pa.Array, n_gram: int, percent: int, with_keys: bool) -> dict[str, np.ndarray | pa.Array]:
     """For each text: set size, class hash, sketch; and the join keys with their texts' indices."""
     d, g, _ = R.shingles(texts, n_gram)
     n_docs = len(texts)
@@ -121,8 +122,11 @@ def signatures(texts: pa.Array, n_gram: int, percent: int, with_keys: bool) -> d
         both = np.add.reduceat(R.mix(g), start[real]) ^ R.mix(np.bitwise_xor.reduceat(R.mix(g * U(0x9FB21C651E98DF25)), start[real]))
         cls[real] = R.mix(both + n[real].astype(U))
     out = {"n": n, "cls": cls.view(np.int64)}
-    bits = np.bincount(d * 512 + (R.mix(g + U(3)) >> U(55)).astype(np.int64), minlength=n_docs * 512) & 1
-    out["sketch"] = np.packbits(bits.astype(np.uint8).reshape(n_docs, 512), axis=1, bitorder="little").view(np.int64)
+    bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    place = np.cumsum(bits) - bits
+    flips = np.bincount(place[d] + (R.mix(g + U(3)) & (bits[d] - 1).astype(U)).astype(np.int64), minlength=int(bits.sum())) & 1
+    packed = np.packbits(flips.astype(np.uint8), bitorder="little")
+    out["sketch"] = pa.Array.from_buffers(pa.large_binary(), n_docs, [None, pa.py_buffer(np.append(place, bits.sum()) // 8), pa.py_buffer(packed)]).cast(pa.binary())
     if with_keys:
         bands = Bands(percent, int(n.max(initial=1)))
         doc, band = bands.of(n)
@@ -154,12 +158,66 @@ def _keyed(n_gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], It
 
 
 def _sketched(n_gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    names = ["doc_id", "n_shingles", "cls", *(f"s{k}" for k in range(SKETCH_WORDS))]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in R.chunks(batches, "text"):
             sig = signatures(batch.column("text"), n_gram, percent, False)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sig["n"]), pa.array(sig["cls"]), *(pa.array(np.ascontiguousarray(sig["sketch"][:, k])) for k in range(SKETCH_WORDS))], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sig["n"]), pa.array(sig["cls"]), sig["sketch"]], names=["doc_id", "n_shingles", "cls", "sketch"])
+
+    return run
+
+
+class Sketches:
+    """Parity sketches of several lengths, all powers of two. A longer one folds to a shorter: its parts flip each other's bits, as its n-grams would
+    have done in the shorter one. Two sketches are compared at the length of the shorter."""
+
+    def __init__(self, cells: pa.Array) -> None:
+        raw = [np.frombuffer(x.as_buffer(), np.uint8) for x in cells]
+        self.size = np.array([len(x) for x in raw], np.int64)
+        self.at: dict[int, np.ndarray] = {}
+        self.bits: dict[int, np.ndarray] = {}
+        for size in np.unique(self.size):
+            rows = np.flatnonzero(self.size >= size)
+            self.at[size] = np.full(len(raw), -1)
+            self.at[size][rows] = np.arange(len(rows))
+            self.bits[size] = np.stack([np.bitwise_xor.reduce(raw[k].reshape(-1, size), axis=0) for k in rows]).view(np.uint64)
+
+    def apart(self, i: np.ndarray | int, to: np.ndarray) -> np.ndarray:
+        """In how many bits sketch i, or each of several, differs from each of `to`: never more than the sets differ."""
+        i = np.broadcast_to(i, to.shape)
+        common = np.minimum(self.size[i], self.size[to])
+        out = np.zeros(len(to), np.int64)
+        for size in np.unique(common):
+            mine = common == size
+            at, bits = self.at[size], self.bits[size]
+            mine = np.flatnonzero(mine)
+            for k in range(0, len(mine), step := max(1, (4 << 20) // int(size))):
+                part = mine[k : k + step]
+                out[part] = np.bitwise_count(bits[at[to[part]]] ^ bits[at[i[part]]]).sum(1, dtype=np.int64)
+        return out
+
+
+def _may_link(n: np.ndarray, sketches: Sketches, i: np.ndarray | int, to: np.ndarray, percent: int) -> np.ndarray:
+    """Which of `to` may be linked with i, by their sizes and sketches."""
+    fits = 100 * np.minimum(n[i], n[to]) >= percent * np.maximum(n[i], n[to])
+    left = to[fits]
+    j = np.broadcast_to(i, to.shape)[fits]
+    fits[fits] = (100 + percent) * sketches.apart(j, left) <= (100 - percent) * (n[j] + n[left])
+    return fits
+
+
+def _passing(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of pairs with both sizes and sketches those that may be linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "ra", "rb"]
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2048):
+                batch = whole.slice(start, 2048)
+                k = batch.num_rows
+                n = np.concatenate([batch.column("na").to_numpy(), batch.column("nb").to_numpy()])
+                sketches = Sketches(pa.concat_arrays([batch.column("ka"), batch.column("kb")]))
+                ok = pa.array(_may_link(n, sketches, np.arange(k), np.arange(k) + k, percent))
+                yield pa.RecordBatch.from_arrays([batch.column(x).filter(ok) for x in names], names=names)
 
     return run
 
@@ -230,30 +288,25 @@ def _crossed(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         for table in _runs(batches, ("key", "lo", "hi")):
             column = lambda c, t=table: t.column(c).to_numpy()
             cls, root, n = column("cls"), column("root"), column("n")
-            sketch = np.column_stack([column(f"s{k}") for k in range(SKETCH_WORDS)]).view(U)
+            sketches = Sketches(table.column("sketch").combine_chunks())
             key, lo, hi, block = column("key"), column("lo"), column("hi"), column("block")
             new = np.append(True, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))
             start = np.flatnonzero(new)
-            stop = np.append(start[1:], len(key))
-            square = np.cumsum(new) - 1
-            out_i, out_j = [], []
-            for i in range(len(key)):
-                first = i + 1 if lo[i] == hi[i] else start[square[i]]
-                if lo[i] != hi[i] and block[i] != lo[i]:
-                    continue
-                to = np.arange(first, stop[square[i]])
-                if lo[i] != hi[i]:
-                    to = to[block[to] != lo[i]]
-                small, large = np.minimum(n[i], n[to]), np.maximum(n[i], n[to])
-                to = to[(root[to] != root[i]) & (100 * small >= percent * large)]
-                apart = np.bitwise_count(sketch[to] ^ sketch[i]).sum(1, dtype=np.int64)
-                to = to[(100 + percent) * apart <= (100 - percent) * (n[i] + n[to])]
-                swap = root[to] < root[i]  # a is of the smaller root, as in `_stars`
-                out_i.append(np.where(swap, to, i))
-                out_j.append(np.where(swap, i, to))
-            if out_i:
-                i, j = np.concatenate(out_i), np.concatenate(out_j)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cls[i], cls[j], root[i], root[j])], names=["a", "b", "ra", "rb"])
+            behind = np.append(start[1:], len(key))[np.cumsum(new) - 1] - np.arange(len(key)) - 1  # rows of a square behind each row
+            ends = np.cumsum(behind)
+            at = 0
+            while at < len(key):
+                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
+                i = np.repeat(np.arange(at, stop), behind[at:stop])
+                j = _gather(np.arange(at, stop) + 1, behind[at:stop])
+                at = stop
+                fits = (root[i] != root[j]) & ((lo[i] == hi[i]) | (block[i] != block[j]))
+                i, j = i[fits], j[fits]
+                fits = _may_link(n, sketches, i, j, percent)
+                i, j = i[fits], j[fits]
+                if len(i):
+                    i, j = np.where(root[j] < root[i], j, i), np.where(root[j] < root[i], i, j)  # a is of the smaller root
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cls[i], cls[j], root[i], root[j])], names=["a", "b", "ra", "rb"])
 
     return run
 
@@ -301,15 +354,14 @@ def _verified(n_gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
-def _square(cls: np.ndarray, second: np.ndarray, n: np.ndarray, sketch: np.ndarray, z: pa.Array, n_gram: int, percent: int, alone: bool) -> tuple[np.ndarray, np.ndarray]:
+def _square(cls: np.ndarray, second: np.ndarray, n: np.ndarray, sketches: Sketches, z: pa.Array, n_gram: int, percent: int, alone: bool) -> tuple[np.ndarray, np.ndarray]:
     """Each class's links to others in a square of two blocks, or of one block with itself."""
     rows = np.arange(len(cls))
     left = rows if alone else rows[~second]
     near = []
     for i in left:
         to = rows[i + 1 :] if alone else rows[second]
-        apart = np.bitwise_count(sketch[to] ^ sketch[i]).sum(1, dtype=np.int64)
-        to = to[(100 * np.minimum(n[i], n[to]) >= percent * np.maximum(n[i], n[to])) & ((100 + percent) * apart <= (100 - percent) * (n[i] + n[to]))]
+        to = to[_may_link(n, sketches, i, to, percent)]
         near.append((i, to))
     used = np.unique(np.concatenate([[i, *to] for i, to in near if len(to)] or [np.zeros(0, np.int64)])).astype(np.int64)
     links = np.zeros(len(cls), np.int64)
@@ -343,9 +395,9 @@ def _squares(n_gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]],
     def counted(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts).combine_chunks()
         column = lambda c: table.column(c).to_numpy()
-        sketch = np.column_stack([column(f"s{k}") for k in range(SKETCH_WORDS)]).view(U)
+        sketches = Sketches(table.column("sketch"))
         lo, hi = column("lo")[0], column("hi")[0]
-        cls, links = _square(column("cls"), column("block") != lo, column("n"), sketch, table.column("z"), n_gram, percent, lo == hi)
+        cls, links = _square(column("cls"), column("block") != lo, column("n"), sketches, table.column("z"), n_gram, percent, lo == hi)
         return pa.RecordBatch.from_arrays([pa.array(cls), pa.array(links)], names=["cls", "n_links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,10 +433,9 @@ class JaccardJoin:
         self.n_gram, self.percent = n_gram, percent
         self.kind = docs.schema[id_col].dataType.simpleString()
         self.docs = small_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
-        sketch = ", ".join(f"s{k} bigint" for k in range(SKETCH_WORDS))
-        rows = self.docs.mapInArrow(_sketched(n_gram, percent), f"doc_id {self.kind}, n_shingles bigint, cls bigint, {sketch}")
+        rows = self.docs.mapInArrow(_sketched(n_gram, percent), f"doc_id {self.kind}, n_shingles bigint, cls bigint, sketch binary")
         self.rows = park(rows)
-        self.classes = park(self.rows.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), *(F.max(f"s{k}").alias(f"s{k}") for k in range(SKETCH_WORDS))))
+        self.classes = park(self.rows.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("sketch").alias("sketch")))
 
     def members(self) -> DataFrame:
         """(key, cls): the buckets that several classes share."""
@@ -405,15 +456,10 @@ class JaccardJoin:
         packed = self.docs.withColumn("at", place("doc_id")).mapInArrow(_packed_texts(self.n_gram, self.percent, bloom.tobytes()), "cls bigint, z binary, size bigint")
         return park(packed.dropDuplicates(["cls"]))
 
-    def _may_link(self) -> F.Column:
-        apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
-        p = self.percent
-        return (100 * F.least("na", "nb") >= p * F.greatest("na", "nb")) & ((100 + p) * apart <= (100 - p) * (F.col("na") + F.col("nb")))
-
     def _near(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and sketches allow a link."""
-        left, right = (self.classes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), *(F.col(f"s{k}").alias(f"{x}{k}") for k in range(SKETCH_WORDS))) for x in "ab")
-        return pairs.join(left, "a").join(right, "b").where(self._may_link()).select("a", "b", "ra", "rb")
+        left, right = (self.classes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}")) for x in "ab")
+        return small_batches(pairs.join(left, "a").join(right, "b")).mapInArrow(_passing(self.percent), PAIR)
 
     def verify(self, pairs: DataFrame, texts: DataFrame) -> tuple[DataFrame, int]:
         """The pairs (a, b, with their roots ra, rb) of classes that do link, by their whole texts, and their number. The side that many
@@ -458,7 +504,7 @@ class JaccardJoin:
         placed = rooted.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("cls", "key"), "blocks"))
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
         squares = placed.withColumn("other", other).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-        squares = squares.join(self.classes.drop("rep"), "cls").select("key", "lo", "hi", "block", "cls", "root", "n", *(f"s{k}" for k in range(SKETCH_WORDS)))
+        squares = squares.join(self.classes.drop("rep"), "cls").select("key", "lo", "hi", "block", "cls", "root", "n", "sketch")
         sorted_ = squares.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
         return sorted_.mapInArrow(_crossed(self.percent), PAIR).distinct()
 
@@ -507,7 +553,7 @@ class JaccardJoin:
         many = many.withColumn("block", F.floor(place / BLOCK).cast("long")).join(self.texts, "cls")
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("members") - 1) / BLOCK).cast("long")))
         squares = many.withColumn("other", other).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-        squares = squares.select("root", "lo", "hi", "block", "cls", "n", *(f"s{k}" for k in range(SKETCH_WORDS)), "z")
+        squares = squares.select("root", "lo", "hi", "block", "cls", "n", "sketch", "z")
         counted = squares.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(_squares(self.n_gram, self.percent), "cls bigint, n_links bigint")
         return pairs.union(counted.groupBy("cls").agg(F.sum("n_links").alias("n_links")))
 
