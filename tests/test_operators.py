@@ -275,3 +275,29 @@ def test_sessions_stream(spark, tmp_path):
     assert sorted((r.k, int(r.t.timestamp())) for r in spark.table("once").collect()) == sorted(rows)
     sessions.run_to_table(sessions.sliding_counts(stream, "k", "t", "60 seconds", "30 seconds", "1 second"), "slid", str(tmp_path / "cp3"), "complete")
     assert spark.table("slid").where("k = 'b'").agg(F.sum("n")).first()[0] == 2
+
+
+def test_speaker_context_stream(spark, tmp_path):
+    told = [("a", 0, "x"), ("a", 1, None), ("a", 2, None), ("b", 0, None), ("b", 1, "y"), ("a", 3, "x"), ("a", 4, None), ("a", 5, "y"), ("b", 2, None), ("b", 3, "y"), ("b", 4, None)]
+    for part, rows in enumerate((told[:5], told[5:])):
+        frame(spark, rows, "source string, word long, speaker string").coalesce(1).write.parquet(str(tmp_path / "in" / f"{part}.parquet"))
+    stream = spark.readStream.schema("source string, word long, speaker string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+    sessions.run_to_table(sessions.speaker_context(stream), "context", str(tmp_path / "cp"))
+    got = {(r.source, r.word): r.filled for r in spark.table("context").collect()}
+    assert got == {("a", 0): "x", ("a", 1): "x", ("a", 2): "x", ("a", 3): "x", ("a", 4): None, ("a", 5): "y", ("b", 0): None, ("b", 1): "y", ("b", 2): "y", ("b", 3): "y"}
+
+
+def test_stream_that_reuses_what_is_done(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path / "cat"))
+    catalog.append("done", frame(spark, [(1, "old")], "id int, text string"))
+    frame(spark, [(1, 0), (2, 0), (2, 1), (3, 0)], "id int, copy int").coalesce(1).write.parquet(str(tmp_path / "in"))
+    worked = []
+
+    def compute(rows):
+        worked.append(sorted(r.id for r in rows.collect()))
+        return rows.select("id", F.lit("new").alias("text"))
+
+    for k in range(2):  # the second time from the beginning, as after a lost checkpoint
+        stream = spark.readStream.schema("id int, copy int").parquet(str(tmp_path / "in"))
+        sessions.merge_batches(stream, str(tmp_path / f"cp{k}"), ["id"], lambda: catalog.read("done"), lambda rows: catalog.append("done", rows), compute)
+    assert worked == [[2, 3], []] and {(r.id, r.text) for r in catalog.read("done").collect()} == {(1, "old"), (2, "new"), (3, "new")}

@@ -8,7 +8,7 @@ issues). Times are seconds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnweave.functions import text as T
@@ -195,3 +195,35 @@ def split_candidates(regions: DataFrame, turns: DataFrame, width: int, least: fl
     stable = placed.where((F.col("r_end") - F.col("r_start") >= least - EDGE) & F.col("label").isNotNull())
     pairs = beside(stable, ["turn_id"], order, ["label"], width, name="_left").where(F.col("_left.label") != F.col("label"))
     return pairs.select("turn_id", F.col("_prior.region_id").alias("after_region_id"), F.col("_prior.r_end").alias("time"))
+
+
+def midpoint_states(words: DataFrame, regions: DataFrame, on: list[str], word_id: str, point: Column, span: tuple[str, str], label: str, width: int) -> DataFrame:
+    """word_id, n_regions and status of words by the regions that contain `point`, their middle, ends included: 'no_matching_region', 'multiple_speakers'
+    (labels differ), else 'candidate'."""
+    placed = words.select(*on, word_id, point.alias("_at"))
+    hits = point_join(placed, regions.select(*on, *span, label), on, "_at", span, width).groupBy(word_id).agg(F.count("*").alias("_n"), (F.min(label) != F.max(label)).alias("_many"))
+    status = F.when(F.col("_n").isNull(), "no_matching_region").when(F.col("_many"), "multiple_speakers").otherwise("candidate")
+    return words.select(word_id).join(hits, word_id, "left").select(word_id, F.coalesce("_n", F.lit(0)).alias("n_regions"), status.alias("status"))
+
+
+def utterance_states(words: DataFrame, regions: DataFrame, width: int) -> DataFrame:
+    """Utterances (source, utterance, of words with w_start, w_end) by the regions around their words' middles: n_regions, gap (the largest between
+    words of regions that follow one another) and status: 'candidate' without a region, 'conflict' with several labels, 'reconciled' with one region,
+    'merge_candidate' with several of one label."""
+    at = words.withColumn("_at", (F.col("w_start") + F.col("w_end")) / 2)
+    hits = point_join(at, regions.select("source", "region_id", "r_start", "r_end", "label"), ["source"], "_at", R, width)
+    met = hits.groupBy("source", "utterance", "region_id", "label").agg(F.min("w_start").alias("_a"), F.max("w_end").alias("_b"))
+    w = Window.partitionBy("source", "utterance").orderBy("_a", "_b", "region_id")
+    met = met.withColumn("_gap", F.col("_a") - F.lag("_b").over(w))
+    told = met.groupBy("source", "utterance").agg(F.count("*").alias("n_regions"), F.count_distinct("label").alias("_labels"), F.max("_gap").alias("gap"))
+    out = words.select("source", "utterance").distinct().join(told, ["source", "utterance"], "left")
+    status = F.when(F.col("n_regions").isNull(), "candidate").when(F.col("_labels") > 1, "conflict").when(F.col("n_regions") == 1, "reconciled").otherwise("merge_candidate")
+    return out.select("source", "utterance", F.coalesce("n_regions", F.lit(0)).alias("n_regions"), "gap", status.alias("status"))
+
+
+def lexical_evidence(texts: DataFrame, by: list[str], speaker: str, text: str, span: tuple[str, str]) -> DataFrame:
+    """by, speaker, n_tokens (distinct ones that the speaker's texts have), start, end (their hull) and rank: most tokens first, of equal ones the
+    shorter hull, then the later name."""
+    flat = texts.select(*by, speaker, *dict.fromkeys(span), F.explode(T.token_set(F.col(text))).alias("_t"))
+    told = flat.groupBy(*by, speaker).agg(F.count_distinct("_t").alias("n_tokens"), F.min(span[0]).alias("start"), F.max(span[1]).alias("end"))
+    return told.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n_tokens"), F.col("end") - F.col("start"), F.desc(speaker))))

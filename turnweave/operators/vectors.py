@@ -181,6 +181,12 @@ def classify_review(candidates: DataFrame, observed: DataFrame, suggest: dict[st
     return both.withColumn("mode", mode).drop("_prefill", "_suggest")
 
 
+def summarise_observations(observed: DataFrame) -> DataFrame:
+    """One row: total, predicted (with a top_label), correct, and accuracy among the predicted, null if there are none."""
+    right = F.count_if("correct")
+    return observed.agg(F.count("*").alias("total"), F.count("top_label").alias("predicted"), right.alias("correct"), F.try_divide(right, F.count("top_label")).alias("accuracy"))
+
+
 OBSERVATION = "schema_version int, turn_id string, source_id string, confirmed_voice_id string, predicted_voice_id string, correct boolean, top_score double, runner_up_score double, margin double, encoder_count int, embedding_scores map<string,double>, support map<string,bigint>, source_support map<string,bigint>, total_source_support bigint"
 VERSION = 1
 

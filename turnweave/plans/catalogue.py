@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from turnweave.functions import text as T
 from turnweave.functions.intervals import midpoint, near_source_edge, overlap
-from turnweave.operators import alignment, curation, intervals, speakers, vectors
+from turnweave.operators import alignment, curation, evidence, intervals, speakers, vectors
 from turnweave.sources.catalog import import_plan
 
 SECOND = 1_000_000
@@ -114,8 +114,7 @@ def calibration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"WITH {_SUM} SELECT count(*) AS total, count(top_label) AS predicted, count(*) FILTER (WHERE correct) AS correct, round(count(*) FILTER (WHERE correct) / nullif(count(top_label), 0), 6) AS accuracy FROM obs")
 def calibration_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    right = F.count_if("correct")
-    return _observed(spark, sf_dir).agg(F.count("*").alias("total"), F.count("top_label").alias("predicted"), right.alias("correct"), F.round(F.try_divide(right, F.count("top_label")), 6).alias("accuracy"))
+    return vectors.summarise_observations(_observed(spark, sf_dir)).withColumn("accuracy", F.round("accuracy", 6))
 
 
 SUGGEST = {"minimum_margin": 0.0, "minimum_references": 2, "minimum_eligible": 2, "minimum_precision": 0.1}
@@ -301,10 +300,7 @@ g AS (SELECT word_id, count(*) AS n, count(DISTINCT label) AS labels FROM p GROU
 SELECT word_id, coalesce(n, 0) AS n_regions, CASE WHEN n IS NULL THEN 'no_matching_region' WHEN labels > 1 THEN 'multiple_speakers' ELSE 'candidate' END AS status FROM w LEFT JOIN g USING (word_id)"""
 )
 def midpoint_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = _words(spark, sf_dir).select("source", "word_id", midpoint(F.col("w_start"), F.col("w_end")).alias("mid"))
-    hits = intervals.point_join(words, _regions(spark, sf_dir), ["source"], "mid", R, CELL).groupBy("word_id").agg(F.count("*").alias("n"), (F.min("label") != F.max("label")).alias("many"))
-    status = F.when(F.col("n").isNull(), "no_matching_region").when(F.col("many"), "multiple_speakers").otherwise("candidate")
-    return words.select("word_id").join(hits, "word_id", "left").select("word_id", F.coalesce("n", F.lit(0)).alias("n_regions"), status.alias("status"))
+    return evidence.midpoint_states(_words(spark, sf_dir), _regions(spark, sf_dir), ["source"], "word_id", midpoint(F.col("w_start"), F.col("w_end")), R, "label", CELL)
 
 
 @_query(
@@ -355,10 +351,8 @@ s AS (SELECT conv_id, role, count(DISTINCT tok) AS n_tokens, min(turn) AS first_
 SELECT conv_id, role, n_tokens, first_turn, last_turn, row_number() OVER (PARTITION BY conv_id ORDER BY n_tokens DESC, last_turn - first_turn, role DESC) AS rank FROM s"""
 )
 def speaker_lexical_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _talk(spark, sf_dir).select("conv_id", "turn", "role", F.explode(T.token_set(F.col("text"))).alias("tok"))
-    s = t.groupBy("conv_id", "role").agg(F.count_distinct("tok").alias("n_tokens"), F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"))
-    w = Window.partitionBy("conv_id").orderBy(F.desc("n_tokens"), F.col("last_turn") - F.col("first_turn"), F.desc("role"))
-    return s.withColumn("rank", F.row_number().over(w).cast("long"))
+    out = evidence.lexical_evidence(_talk(spark, sf_dir), ["conv_id"], "role", "text", ("turn", "turn"))
+    return out.select("conv_id", "role", "n_tokens", F.col("start").alias("first_turn"), F.col("end").alias("last_turn"), F.col("rank").cast("long").alias("rank"))
 
 
 @_query(f"WITH {_R} SELECT region_id, unnest(range(r_start + 60000000, r_end - 60000000 + 1, 30000000)) AS boundary FROM r WHERE r_start + 60000000 <= r_end - 60000000")

@@ -334,3 +334,16 @@ def derived_utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT doc_id, CASE WHEN trim(coalesce(text, '')) <> '' THEN trim(text) END IS NOT NULL AS has_text FROM documents")
 def said_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", T.said(F.col("text")).isNotNull().alias("has_text"))
+
+
+@_query(
+    f"""WITH {_CW}, g AS (SELECT source, region_id, r_start + 0.25 AS r_start, r_end - CASE WHEN region_id % 4 = 1 THEN 30 ELSE 0.25 END AS r_end, coalesce(label, 'none') AS label FROM regions WHERE region_id % 5 <> 4), u AS (SELECT source, word // 40 AS utterance, w_start, w_end FROM words),
+m AS (SELECT u.source, utterance, region_id, any_value(label) AS label, min(w_start) AS a, max(w_end) AS b FROM u JOIN g ON g.source = u.source AND r_start <= (w_start + w_end) / 2 AND (w_start + w_end) / 2 <= r_end GROUP BY ALL),
+x AS (SELECT *, a - lag(b) OVER (PARTITION BY source, utterance ORDER BY a, b, region_id) AS gap FROM m), t AS (SELECT source, utterance, count(*) AS n, count(DISTINCT label) AS l, max(gap) AS gap FROM x GROUP BY ALL)
+SELECT source, utterance, coalesce(n, 0) AS n_regions, gap, CASE WHEN n IS NULL THEN 'candidate' WHEN l > 1 THEN 'conflict' WHEN n = 1 THEN 'reconciled' ELSE 'merge_candidate' END AS status FROM (SELECT DISTINCT source, utterance FROM u) LEFT JOIN t USING (source, utterance)"""
+)
+def utterance_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 40 words are an utterance; regions are cut short or missing."""
+    words = _words(spark, sf_dir)
+    regions = _regions(words).where("region_id % 5 <> 4").withColumns({"r_start": F.col("r_start") + 0.25, "r_end": F.col("r_end") - F.when(F.col("region_id") % 4 == 1, 30.0).otherwise(0.25), "label": F.coalesce("label", F.lit("none"))})
+    return evidence.utterance_states(words.select("source", F.floor(F.col("word") / 40).alias("utterance"), "w_start", "w_end"), regions, CELL)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def sessions(events: DataFrame, by: str, time: str, gap: str, late: str) -> DataFrame:
@@ -31,3 +35,43 @@ def import_once(rows: DataFrame, key: list[str], time: str, late: str) -> DataFr
 def run_to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> None:
     """Runs a stream over what there is, into an in-memory table (for tests and small reports)."""
     stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+CONTEXT = "source string, word bigint, speaker string, filled string"
+
+
+def speaker_context(words: DataFrame) -> DataFrame:
+    """A stream of words (source, word, speaker; in order within a source) with `filled`: the speaker, or where it is missing the one that speaks
+    both before and after. A run of words without a speaker waits in its source's state until the next speaker is heard; what is kept is
+    that run and the last speaker, nothing that was told before."""
+
+    def step(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, waiting = state.get if state.exists else (None, [])
+        waiting, out = list(waiting), []
+        rows = pd.concat(list(frames)).sort_values("word", kind="stable")
+        for word, speaker in zip(rows["word"].tolist(), rows["speaker"].tolist(), strict=True):
+            if not isinstance(speaker, str):
+                waiting.append(int(word))
+                continue
+            filled = speaker if speaker == last else None
+            out += [(key[0], w, None, filled) for w in waiting] + [(key[0], int(word), speaker, speaker)]
+            last, waiting = speaker, []
+        state.update((last, waiting))
+        yield pd.DataFrame(out, columns=["source", "word", "speaker", "filled"])
+
+    return words.groupBy("source").applyInPandasWithState(step, CONTEXT, "last string, waiting array<bigint>", "append", GroupStateTimeout.NoTimeout)
+
+
+def merge_batches(stream: DataFrame, checkpoint: str, key: list[str], read: Callable[[], DataFrame | None], write: Callable[[DataFrame], None], compute: Callable[[DataFrame], DataFrame]) -> None:
+    """Runs a stream over what there is, batch by batch: rows whose key the table (`read`, None at first) has already are left out, of equal keys in a
+    batch one stays, and only for the others `compute` (a recogniser, say) runs and `write` adds its rows. A batch that is told again after
+    a failure finds its rows in the table and adds nothing."""
+
+    def batch(rows: DataFrame, _: int) -> None:
+        fresh = rows.dropDuplicates(key)
+        table = read()
+        if table is not None:
+            fresh = fresh.join(table.select(*key).distinct(), key, "left_anti")
+        write(compute(fresh))
+
+    stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
