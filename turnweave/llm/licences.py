@@ -2,8 +2,8 @@
 
 A text is cut into pieces after marks and at line ends, pieces are normalised, and a run of pieces whose words are those of a
 known sentence gets its licence-sentence identifier: known sentences hold such cuts themselves, and wrapped ones have more. Runs are
-taken from the left, the longest first. A sentence's numbers are those of its first and last piece. The sequence of a document's identifiers is then matched against ordered rules: a rule is a run of identifiers, in order,
-with nothing but unknown sentences between. At each place the longest rule counts; a match inside a longer one does not.
+taken from the left, the longest first. A sentence's numbers are those of its first and last piece. The sequence of a document's
+identifiers is then matched against ordered rules: a rule is a run of identifiers, in order, with nothing but unknown sentences between. At each place the longest rule counts; a match inside a longer one does not.
 All of it is built-in array work within a row: no shuffle, no Python.
 """
 
@@ -36,7 +36,38 @@ SENTENCES = {
     "ccby4.short": "Licensed under CC BY 4.0.",
     "bsd.grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "mpl2.form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl2.copy": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "mit.liable": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "bsd.source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "bsd.binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd.endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd.asis": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.',
+    "isc.grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc.asis": 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
+    "gpl2.free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl2.only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "gpl.copy": "You should have received a copy of the GNU General Public License along with this program.",
+    "gpl.where": "If not, see <https://www.gnu.org/licenses/>.",
+    "lgpl3.free": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl21.free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl.hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "lgpl.see": "See the GNU Lesser General Public License for more details.",
+    "agpl3.free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl.see": "See the GNU Affero General Public License for more details.",
+    "agpl.copy": "You should have received a copy of the GNU Affero General Public License along with this program.",
+    "unlicense.free": "This is free and unencumbered software released into the public domain.",
+    "unlicense.anyone": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "zlib.asis": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib.grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "bsl.grant": 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:',
+    "cc0.waived": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "ccby4.long": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "ccbysa4.long": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "ccbync4.long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
 }
+# Identifiers that a line names by itself.
+NAMED = ["Apache-2.0", "MIT", "BSD-3-Clause", "GPL-2.0-or-later", "GPL-3.0-or-later", "MPL-2.0"]
+SENTENCES |= {f"spdx.{name}": f"SPDX-License-Identifier: {name}" for name in NAMED}
 # Ordered rules, name, licence and identifiers.
 RULES = [
     ("apache-2.0-notice", "Apache-2.0", ["apache2.use", "apache2.copy", "apache2.asis", "apache2.see"]),
@@ -55,9 +86,35 @@ RULES = [
     ("cc-by-4.0-short", "CC-BY-4.0", ["ccby4.short"]),
     ("bsd-grant", "BSD", ["bsd.grant"]),
     ("mpl-2.0-form", "MPL-2.0", ["mpl2.form"]),
+    ("mpl-2.0-notice", "MPL-2.0", ["mpl2.form", "mpl2.copy"]),
+    ("mit-full", "MIT", ["mit.grant", "mit.notice", "mit.asis", "mit.liable"]),
+    ("bsd-2-clause", "BSD-2-Clause", ["bsd.grant", "bsd.source", "bsd.binary", "bsd.asis"]),
+    ("bsd-3-clause", "BSD-3-Clause", ["bsd.grant", "bsd.source", "bsd.binary", "bsd.endorse", "bsd.asis"]),
+    ("isc-text", "ISC", ["isc.grant", "isc.asis"]),
+    ("isc-grant", "ISC", ["isc.grant"]),
+    ("gpl-2.0-notice", "GPL-2.0-or-later", ["gpl2.free", "gpl3.hope", "gpl3.see"]),
+    ("gpl-2.0-free", "GPL-2.0-or-later", ["gpl2.free"]),
+    ("gpl-2.0-only", "GPL-2.0-only", ["gpl2.only"]),
+    ("gpl-2.0-full-notice", "GPL-2.0-or-later", ["gpl2.free", "gpl3.hope", "gpl3.see", "gpl.copy", "gpl.where"]),
+    ("gpl-3.0-full-notice", "GPL-3.0-or-later", ["gpl3.free", "gpl3.hope", "gpl3.see", "gpl.copy", "gpl.where"]),
+    ("lgpl-3.0-free", "LGPL-3.0-or-later", ["lgpl3.free"]),
+    ("lgpl-3.0-notice", "LGPL-3.0-or-later", ["lgpl3.free", "lgpl.hope", "lgpl.see"]),
+    ("lgpl-2.1-free", "LGPL-2.1-or-later", ["lgpl21.free"]),
+    ("lgpl-2.1-notice", "LGPL-2.1-or-later", ["lgpl21.free", "lgpl.hope", "lgpl.see"]),
+    ("agpl-3.0-free", "AGPL-3.0-or-later", ["agpl3.free"]),
+    ("agpl-3.0-notice", "AGPL-3.0-or-later", ["agpl3.free", "gpl3.hope", "agpl.see", "agpl.copy", "gpl.where"]),
+    ("unlicense", "Unlicense", ["unlicense.free", "unlicense.anyone"]),
+    ("unlicense-short", "Unlicense", ["unlicense.free"]),
+    ("zlib-text", "Zlib", ["zlib.asis", "zlib.grant"]),
+    ("bsl-1.0-grant", "BSL-1.0", ["bsl.grant"]),
+    ("cc0-1.0-waiver", "CC0-1.0", ["cc0.waived"]),
+    ("cc-by-4.0", "CC-BY-4.0", ["ccby4.long"]),
+    ("cc-by-sa-4.0", "CC-BY-SA-4.0", ["ccbysa4.long"]),
+    ("cc-by-nc-4.0", "CC-BY-NC-4.0", ["ccbync4.long"]),
+    *((f"spdx-{name.lower()}", name, [f"spdx.{name}"]) for name in NAMED),
 ]
 # A text without any of these holds no known sentence.
-TRIGGER = "licen|permi|redistrib|copyright|warrant"
+TRIGGER = "licen|permi|redistrib|copyright|warrant|mozilla|unencumbered|compile"
 
 
 def normalised(text: str) -> str:
