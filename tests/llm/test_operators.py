@@ -61,6 +61,38 @@ def test_repetition(spark, docs, texts):
     assert repetition.repetition_quality(docs.limit(0)).count() == 0
 
 
+def test_repetition_coverage(spark, texts):
+    """The rules' counts, and which rules fail, against plain counting."""
+    from collections import Counter
+
+    def brute(text):
+        words = WORD.findall(text or "")
+        size = [len(w) for w in words]
+        out = {}
+        for n in range(2, 11):
+            grams = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+            often = Counter(grams)
+            if n in repetition.TOP_PERCENT:
+                out[f"top{n}_chars"] = max((k * sum(map(len, g)) for g, k in often.items() if k > 1), default=0)
+            elif n in repetition.COVER_PERCENT:
+                out[f"dup{n}_chars"] = sum(size[k] for k in {k for i, g in enumerate(grams) if often[g] > 1 for k in range(i, i + n)})
+        lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+        again = [x for k, x in enumerate(lines) if x in lines[:k]]
+        out |= {"n_lines": len(lines), "dup_line_chars": sum(len(w) for x in again for w in WORD.findall(x))}
+        chars, symbols = sum(size), sum(c in "#*$%&|<>" for c in text or "")
+        failed = [f"top{n}" for n, p in repetition.TOP_PERCENT.items() if out[f"top{n}_chars"] * 100 > chars * p] + [f"dup{n}" for n, p in repetition.COVER_PERCENT.items() if out[f"dup{n}_chars"] * 100 > chars * p]
+        failed += ["dup_lines"] * (len(again) * 100 > len(lines) * 30) + ["dup_line_chars"] * (out["dup_line_chars"] * 100 > chars * 20) + ["symbols"] * (symbols * 100 > len(words) * 25)
+        return out, ",".join(failed)
+
+    rng = random.Random(7)
+    made = ["\n".join(" ".join(rng.choices("ab cd é efg # h".split(), k=rng.randrange(1, 9))) for _ in range(rng.randrange(1, 30))) for _ in range(40)]
+    rows = [t for t in [*ODD, *made, *list(texts.values())[:60]] if len(t or "") < 20_000] + ["again and again " * 3000]
+    for r in repetition.repetition_quality(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect():
+        counts, failed = brute(rows[r.doc_id])
+        assert {c: r[c] for c in counts} == counts and r.failed_rules == failed, rows[r.doc_id]
+        assert r.kept == (not r.base_failed and not failed)
+
+
 def sets(text, n):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} or ({tuple(words)} if words else set())
