@@ -35,6 +35,7 @@ from turnweave.llm import ragged as R
 from turnweave.llm.lineage import park, small_batches
 
 BLOCK_BYTES = 2 << 20
+PIECE_BYTES = 1 << 18  # of a block that are cut into words at once
 LIST_BYTES = 24 << 20  # of words that are made distinct at once; a part with more, for want of partitions, is worked off in several goes
 LONG = 64  # bytes; longer words are merged one by one
 
@@ -149,7 +150,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, int, int
     def block(held: list[pa.RecordBatch]) -> tuple[pa.Table, int, int, np.ndarray, np.ndarray, np.ndarray]:
         table = pa.Table.from_batches(held)
         data, offs = R.buffer(table.column("text"))
-        s, before = pre_tokens(data, offs)
+        starts, counts = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+        first = 0
+        while first < len(offs) - 1:  # text by text, some at a time: the cutting needs many times a piece's size
+            last = max(first + 1, int(np.searchsorted(offs, offs[first] + PIECE_BYTES, "right")) - 1)
+            s, before = pre_tokens(data[offs[first] : offs[last]], offs[first : last + 1] - offs[first])
+            starts.append(s + offs[first])
+            counts.append(before[1:] + counts[-1][-1])
+            first = last
+        s, before = np.concatenate(starts), np.concatenate(counts)
         whole = R.span_hash(data, np.zeros(1, np.int64), np.full(1, len(data)))
         content = R.mix(whole + R.mix(offs.astype(R.U64) + np.arange(len(offs), dtype=R.U64) * R.U64(31)).sum())
         return table, name, int(content.view(np.int64)[0]), data, s, before

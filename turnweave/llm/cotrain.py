@@ -36,7 +36,7 @@ SHRINK = 400  # bytes; frequencies of shorter texts are drawn to 0
 RIDGE = (150.0, 2.0)  # of hashed frequencies and places, and of shares and measures
 HASHED = 32  # places for languages, and as many for sources
 FOLD = 0.3  # of the labelled sample, for calibration
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 18
 THRESHOLD = 0.5
 U = R.U64
 

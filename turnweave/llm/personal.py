@@ -32,7 +32,7 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
 THRESHOLD = 0.9
 EM_STEPS = 60
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 19
 CONTEXT = 40  # characters before a candidate in which words count
 
 # Patterns of the base, written so that no start is tried twice.

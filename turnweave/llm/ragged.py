@@ -7,6 +7,8 @@ arithmetic) with a final mix; they depend on the bytes alone, so executors agree
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,10 +16,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 SEGMENT = 1 << 18
 _MASK = (1 << 64) - 1
 
+# The C library's names for the size from which memory is mapped by itself, and for how much may lie free at the heap's end.
+_MAP_FROM, _TRIM_FROM = -3, -1
+with contextlib.suppress(OSError, AttributeError):  # arrays go back to the system when they are freed: workers are many and outlive their tasks
+    ctypes.CDLL(None).mallopt(_MAP_FROM, 1 << 22)
+    ctypes.CDLL(None).mallopt(_TRIM_FROM, 1 << 23)
+
 
 def _splitmix(n: int, seed: int) -> np.ndarray:
     x = (np.arange(1, n + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) + U64(seed)
