@@ -19,7 +19,7 @@ def test_query_matches_its_sql(spark, sf_dir, con, name):
     if name in ORACLE_SQL:
         assert_same(df, con, ORACLE_SQL[name])
     else:
-        assert df.count() >= 0 and df.columns
+        assert df.count() > 0  # held against plain versions elsewhere
 
 
 def test_entry_runs(spark):
