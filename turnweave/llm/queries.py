@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnweave.llm import bpe, chat, cotrain, decontaminate, extract, jaccard, licences, personal, repetition, toxicity
+from turnweave.llm import align, bpe, chat, cotrain, decontaminate, extract, jaccard, licences, personal, repetition, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_VOCABULARY, PIECE_MODEL = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -62,6 +63,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(_docs(spark, sf_dir), items)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(_docs(spark, sf_dir), BYTE_VOCABULARY, PIECE_MODEL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_parity_join": op2_parity_join,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_extract": op9_extract,
     "op10_decontaminate": op10_decontaminate,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
