@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnweave.llm import align, bpe, chat, cotrain, decontaminate, extract, jaccard, licences, personal, repetition, toxicity
+from turnweave.llm import align, bpe, chat, cotrain, decontaminate, divergence, extract, jaccard, licences, personal, repetition, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_VOCABULARY, PIECE_MODEL = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -63,6 +63,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(_docs(spark, sf_dir), items)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_docs(spark, sf_dir, "lang", "source", "text"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.alignment(_docs(spark, sf_dir), BYTE_VOCABULARY, PIECE_MODEL)
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_extract": op9_extract,
     "op10_decontaminate": op10_decontaminate,
+    "op11_divergence": op11_divergence,
     "op13_alignment": op13_alignment,
 }
 
@@ -85,4 +90,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_licences": licences.oracle(),
     "op8_chat": chat.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_divergence": divergence.ORACLE,
 }
