@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnweave.llm import align, bpe, chat, cotrain, decontaminate, divergence, extract, jaccard, licences, personal, repetition, toxicity
+from turnweave.llm import align, bpe, chat, cotrain, decontaminate, divergence, extract, jaccard, licences, merkle, personal, repetition, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_VOCABULARY, PIECE_MODEL = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -67,6 +67,10 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(_docs(spark, sf_dir, "lang", "source", "text"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(_docs(spark, sf_dir))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.alignment(_docs(spark, sf_dir), BYTE_VOCABULARY, PIECE_MODEL)
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_extract": op9_extract,
     "op10_decontaminate": op10_decontaminate,
     "op11_divergence": op11_divergence,
+    "op12_merkle": op12_merkle,
     "op13_alignment": op13_alignment,
 }
 
