@@ -8,8 +8,7 @@ worked on by Spark's higher-order functions.
 - All ends go into one sorted array of numbers, end << 32 | side << 31 | place, A's before B's. The element at place r of
   it that is A's token i has r - i ends of B before it, so it is linked with B's token r - i; likewise the other way round, where B's
   end is no cut. Each end is thus exactly one link: A tokens + B tokens - cuts.
-- A text's distinct links and how often each occurs go into a written table, all in sorted order; links of the same pair of ids are counted over
-  texts. Counts meet the links again by a broadcast of the HOT most frequent pairs, at most that many, and a shuffle join for the rest.
+- A text's links go into a written table in sorted order; links of the same pair of ids are counted over texts. Counts meet the links again by a broadcast of the HOT most frequent pairs, at most that many, and a shuffle join for the rest.
 
 A's ids are those of the vocabulary in JSON; its merges are carried out by tiktoken, which cuts texts in the same way (held against the
 `tokenizers` library over all code points) in a quarter of the time. Where white space runs on for WIDE characters, which tiktoken can't
@@ -191,31 +190,18 @@ def _groups(line: Column, a_ids: Column, b_ids: Column) -> Column:
     return F.when(F.size(line) > 0, both).otherwise(F.array().cast("array<string>"))
 
 
-def _runs_of(links: Column) -> Column:
-    """Where each distinct value of a sorted array begins."""
-    return F.array_compact(F.transform(links, lambda v, r: F.when(F.coalesce(F.get(links, r - 1) != v, F.lit(True)), r)))
-
-
 def aligned(tokens: DataFrame) -> DataFrame:
     """Adds to tokens cuts, groups (`a1,a2|b1`), links (A's id << 32 | B's id, in order of bytes), n_a, n_b, n_groups and n_links."""
     out = tokens.withColumn("cuts", F.array_intersect("a_ends", "b_ends")).withColumn("_line", _line(F.col("a_ends"), F.col("b_ends")))
-    line = F.col("_line")
-    out = out.withColumns({"links": _links(line, F.col("a_ids"), F.col("b_ids")), "groups": _groups(line, F.col("a_ids"), F.col("b_ids"))})
+    whole = lambda made: _let(F.col("_line"), lambda line: _let(F.col("a_ids"), lambda a: _let(F.col("b_ids"), lambda b: made(line, a, b))))
+    out = out.withColumns({"links": whole(_links), "groups": whole(_groups)})
     sizes = {f"n_{k}": F.size(c).cast("long") for k, c in (("a", "a_ids"), ("b", "b_ids"), ("groups", "cuts"), ("links", "links"))}
     return out.withColumns(sizes).drop("_line")
 
 
-def _with_pairs(lined: DataFrame) -> DataFrame:
-    """Adds pairs, the distinct links in order, and reps, how often each occurs."""
-    out = lined.withColumn("_sorted", F.sort_array("links")).withColumn("_at", _runs_of(F.col("_sorted")))
-    at, links = F.col("_at"), F.col("_sorted")
-    reps = F.transform(at, lambda r, k: F.coalesce(F.get(at, k + 1), F.size(links)) - r)
-    return out.withColumns({"pairs": F.transform(at, lambda r: F.get(links, r)), "reps": reps}).drop("_sorted", "_at")
-
-
 def pair_counts(lined: DataFrame) -> DataFrame:
-    """pair, n_docs, best: in how many documents a pair of ids is linked, and whether that is its A id's highest. `lined` has pairs."""
-    counts = lined.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n_docs"))
+    """pair, n_docs, best: in how many documents a pair of ids is linked, and whether that is its A id's highest. `lined` has links."""
+    counts = lined.select(F.explode(F.array_distinct("links")).alias("pair")).groupBy("pair").agg(F.count("*").alias("n_docs"))
     counts = park(counts)
     top = counts.groupBy(F.shiftright("pair", 32).alias("_a")).agg(F.max("n_docs").alias("_top"))
     return counts.join(top, F.shiftright("pair", 32) == F.col("_a")).select("pair", "n_docs", (F.col("n_docs") == F.col("_top")).alias("best"))
@@ -235,28 +221,26 @@ def _hot_from(counts: DataFrame, most: int) -> int:
 
 
 def scored(lined: DataFrame, counts: DataFrame, hot: int = HOT) -> DataFrame:
-    """row, n_best and count_sum of the rows of `lined` (row, pairs, reps) that have links."""
+    """row, n_best and count_sum of the rows of `lined` (row, links) that have links."""
     least = _hot_from(counts, hot)
-    flat = lined.select("row", F.explode(F.arrays_zip("pairs", "reps")).alias("_x")).select("row", F.col("_x.pairs").alias("pair"), F.col("_x.reps").cast("long").alias("reps"))
-    often = counts.where(F.col("n_docs") >= least).withColumn("_hot", F.lit(True))
-    met = flat.join(F.broadcast(often), "pair", "left")  # at most `hot` rows
-    best = F.when(F.col("best"), F.col("reps")).otherwise(0)
-    told = met.groupBy("row").agg(F.sum(best).alias("n_best"), F.sum(F.col("n_docs") * F.col("reps")).alias("count_sum"))
+    flat = lined.select("row", F.explode("links").alias("pair"))
+    often = counts.where(F.col("n_docs") >= least)
+    best = F.count_if("best").alias("n_best"), F.sum("n_docs").alias("count_sum")
+    told = flat.join(F.broadcast(often), "pair").groupBy("row").agg(*best)  # at most `hot` rows
     if least > 1:
         rest = flat.join(F.broadcast(often.select("pair")), "pair", "left_anti").join(counts.where(F.col("n_docs") < least), "pair")
-        told = told.unionByName(rest.groupBy("row").agg(F.sum(best).alias("n_best"), F.sum(F.col("n_docs") * F.col("reps")).alias("count_sum")))
-        told = told.groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+        told = told.unionByName(rest.groupBy("row").agg(*best)).groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
     return told
 
 
 def alignment(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best (links whose count is their A id's highest), count_sum (over links), groups_sha256 (of
     `a1,a2|b1;a3|b2,b3`; '' without tokens): one row a row. A pair's count is the number of documents that have it linked."""
-    lined = _with_pairs(aligned(tokenised(docs, a_path, b_path, id_col, text_col)))
+    lined = aligned(tokenised(docs, a_path, b_path, id_col, text_col))
     digest = F.when(F.size("groups") > 0, F.sha2(F.array_join("groups", ";"), 256)).otherwise("")
     told = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
-    lined = park(lined.withColumns({"row": F.monotonically_increasing_id(), "groups_sha256": digest}).select("row", *told, "pairs", "reps"))
+    lined = park(lined.withColumns({"row": F.monotonically_increasing_id(), "groups_sha256": digest, "links": F.sort_array("links")}).select("row", *told, "links"))
     counts, _ = park_counted(pair_counts(lined))
-    found = scored(lined.select("row", "pairs", "reps"), counts, hot)
+    found = scored(lined.select("row", "links"), counts, hot)
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     return lined.select("row", *told).join(found, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256")
