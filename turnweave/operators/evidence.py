@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnweave.functions import text as T
-from turnweave.operators.intervals import beside, overlap_join, point_join, running_sum
+from turnweave.operators.intervals import beside, overlap_join, point_join, running_sum, with_sides
+from turnweave.operators.speakers import WORDS_CELL
 
 EDGE = 1e-6
 LONG_WORD = 2.0  # seconds; longer words are suspicious, as those without length are
-WORDS_CELL = 4096
 W, R = ("w_start", "w_end"), ("r_start", "r_end")
 
 
@@ -26,29 +26,29 @@ def suspicious() -> Column:
 
 
 def words_of_ranges(ranges: DataFrame, words: DataFrame, range_id: str, span: tuple[str, str], width: int, zero_length: bool = True) -> DataFrame:
-    """(range_id, word, suspicious): words that share time with a range; and, if asked for, words without length in it or at its edges."""
+    """(source, range_id, word, suspicious): words that share time with a range; and, if asked for, words without length in it or at its edges."""
     a = ranges.select("source", range_id, F.col(span[0]).alias("_s"), F.col(span[1]).alias("_e"))
-    over = overlap_join(a, words, ["source"], ("_s", "_e"), W, width).select(range_id, "word", suspicious().alias("suspicious"))
+    over = overlap_join(a, words, ["source"], ("_s", "_e"), W, width).select("source", range_id, "word", suspicious().alias("suspicious"))
     if not zero_length:
         return over
     wider = a.withColumns({"_s": F.col("_s") - EDGE, "_e": F.col("_e") + EDGE})
     dots = point_join(words.where("w_end = w_start"), wider, ["source"], "w_start", ("_s", "_e"), width)
-    return over.union(dots.select(range_id, "word", F.lit(True)))
+    return over.union(dots.select("source", range_id, "word", F.lit(True)))
 
 
 def project_ranges(ranges: DataFrame, words: DataFrame, utterances: DataFrame, range_id: str, span: tuple[str, str], width: int) -> DataFrame:
-    """range_id, words, suspicious, complete and touched: the numbers, in order, of the words of each range, of the suspicious ones among them, of
-    the utterances that lie in it with all their words, and of those that have some."""
-    mine = words_of_ranges(ranges, words, range_id, span, width).join(ranges.select("source", range_id), range_id)
-    numbers = mine.groupBy(range_id).agg(F.array_sort(F.collect_set("word")).alias("words"), F.array_sort(F.collect_set(F.when(F.col("suspicious"), F.col("word")))).alias("suspicious"))
+    """source, range_id, words, suspicious, complete and touched: the numbers, in order, of the words of each range, of the suspicious ones among them, of
+    the utterances that lie in it with all their words, and of those that have some. `spans.projected` says the same as ranges of numbers, for long ranges."""
+    mine = words_of_ranges(ranges, words, range_id, span, width)
+    numbers = mine.groupBy("source", range_id).agg(F.array_sort(F.collect_set("word")).alias("words"), F.array_sort(F.collect_set(F.when(F.col("suspicious"), F.col("word")))).alias("suspicious"))
     held = utterance_of_words(mine.select("source", range_id, "word").distinct(), utterances)
-    met = held.groupBy(range_id, "utterance", "word_start", "word_end").agg(F.count("*").alias("_n"))
-    told = met.groupBy(range_id).agg(
+    met = held.groupBy("source", range_id, "utterance", "word_start", "word_end").agg(F.count("*").alias("_n"))
+    told = met.groupBy("source", range_id).agg(
         F.array_sort(F.collect_list(F.when(F.col("_n") == F.col("word_end") - F.col("word_start"), F.col("utterance")))).alias("complete"), F.array_sort(F.collect_list("utterance")).alias("touched")
     )
-    out = ranges.select(range_id).join(numbers, range_id, "left").join(told, range_id, "left")
+    out = with_sides(ranges, numbers.join(told, ["source", range_id], "left"), ["source", range_id])
     empty = F.array().cast("array<bigint>")
-    return out.select(range_id, *(F.coalesce(F.col(c).cast("array<bigint>"), empty).alias(c) for c in ("words", "suspicious", "complete", "touched")))
+    return out.select("source", range_id, *(F.coalesce(F.col(c).cast("array<bigint>"), empty).alias(c) for c in ("words", "suspicious", "complete", "touched")))
 
 
 def utterance_of_words(rows: DataFrame, utterances: DataFrame) -> DataFrame:
@@ -64,19 +64,19 @@ def projection_problems(projected: DataFrame) -> DataFrame:
 
 
 def projected_text(projected: DataFrame, words: DataFrame, range_id: str) -> DataFrame:
-    """range_id, first, last, transcript of projections (source, range_id, words)."""
+    """source, range_id, first, last, transcript of projections (source, range_id, words)."""
     flat = projected.select("source", range_id, F.explode("words").alias("word")).join(words.select("source", "word", "text"), ["source", "word"])
-    told = flat.groupBy(range_id).agg(F.min("word").alias("first"), F.max("word").alias("last"), F.array_sort(F.collect_list(F.struct("word", "text"))).alias("_w"))
-    return told.select(range_id, "first", "last", F.array_join(F.transform("_w", lambda x: F.trim(x["text"])), " ").alias("transcript"))
+    told = flat.groupBy("source", range_id).agg(F.min("word").alias("first"), F.max("word").alias("last"), F.array_sort(F.collect_list(F.struct("word", "text"))).alias("_w"))
+    return told.select("source", range_id, "first", "last", F.array_join(F.transform("_w", lambda x: F.trim(x["text"])), " ").alias("transcript"))
 
 
 def split_words(halves: DataFrame, words: DataFrame, turn: str, width: int) -> DataFrame:
-    """(turn, side, word) of a turn's halves (source, turn, side, start, end, cut): a word that both have goes where its middle is."""
-    ranges = halves.withColumn("_half", F.concat_ws("|", F.col(turn).cast("string"), "side"))
-    held = words_of_ranges(ranges, words, "_half", ("start", "end"), width).distinct().join(ranges.select("source", turn, "side", "cut", "_half"), "_half").join(words.select("source", "word", *W), ["source", "word"])
-    middle = F.when((F.col("w_start") + F.col("w_end")) / 2 < F.col("cut"), "left").otherwise("right")
-    twice = held.groupBy(turn, "word").agg(F.count("*").alias("_n"), F.first("side").alias("_side"), F.first(middle).alias("_middle"))
-    return twice.select(turn, F.when(F.col("_n") > 1, F.col("_middle")).otherwise(F.col("_side")).alias("side"), "word")
+    """(source, turn, side, word) of a turn's halves (source, turn, side, start, end, cut): a word that both have goes where its middle is."""
+    ranges = halves.withColumn("_half", F.struct(turn, "side", "cut"))
+    held = words_of_ranges(ranges, words, "_half", ("start", "end"), width).select("source", "_half", "word").distinct().join(words.select("source", "word", *W), ["source", "word"])
+    middle = F.when((F.col("w_start") + F.col("w_end")) / 2 < F.col("_half.cut"), "left").otherwise("right")
+    twice = held.groupBy("source", F.col(f"_half.{turn}").alias(turn), "word").agg(F.count("*").alias("_n"), F.first("_half.side").alias("_side"), F.first(middle).alias("_middle"))
+    return twice.select("source", turn, F.when(F.col("_n") > 1, F.col("_middle")).otherwise(F.col("_side")).alias("side"), "word")
 
 
 def timeline_problems(words: DataFrame) -> DataFrame:
@@ -99,11 +99,11 @@ def boundary_evidence(regions: DataFrame, words: DataFrame, utterances: DataFram
         F.col("_r.label").alias("right_label"), F.col("heard").alias("left_heard"), F.col("_r.heard").alias("right_heard"),
     )
     of = words_of_ranges(regions, words, "region_id", R, width, zero_length=False)
-    sets = of.groupBy("region_id").agg(F.array_sort(F.collect_set("word")).alias("_w"), F.array_sort(F.collect_set(F.when(F.col("suspicious"), F.col("word")))).alias("_x"))
-    left, right = (sets.select(F.col("region_id").alias(f"{x}_id"), F.col("_w").alias(f"_{x}"), F.col("_x").alias(f"_{x}_odd")) for x in ("left", "right"))
+    sets = of.groupBy("source", "region_id").agg(F.array_sort(F.collect_set("word")).alias("_w"), F.array_sort(F.collect_set(F.when(F.col("suspicious"), F.col("word")))).alias("_x"))
+    left, right = (sets.select("source", F.col("region_id").alias(f"{x}_id"), F.col("_w").alias(f"_{x}"), F.col("_x").alias(f"_{x}_odd")) for x in ("left", "right"))
     over = point_join(pairs.select("source", "left_id", "boundary"), words, ["source"], "boundary", W, width).where("w_start < boundary and boundary < w_end")
-    crossing = over.groupBy("left_id").agg(F.array_sort(F.collect_set("word")).alias("_c"), F.array_sort(F.collect_set(F.when(suspicious(), F.col("word")))).alias("_c_odd"))
-    out = pairs.join(left, "left_id", "left").join(right, "right_id", "left").join(crossing, "left_id", "left")
+    crossing = over.groupBy("source", "left_id").agg(F.array_sort(F.collect_set("word")).alias("_c"), F.array_sort(F.collect_set(F.when(suspicious(), F.col("word")))).alias("_c_odd"))
+    out = pairs.join(left, ["source", "left_id"], "left").join(right, ["source", "right_id"], "left").join(crossing, ["source", "left_id"], "left")
     none = F.array().cast("array<bigint>")
     arrays = {c: F.coalesce(F.col(c).cast("array<bigint>"), none) for c in ("_left", "_right", "_c", "_left_odd", "_right_odd", "_c_odd")}
     out = out.withColumns(arrays).withColumns({"left_word": F.try_element_at("_left", F.lit(-1)), "right_word": F.try_element_at("_right", F.lit(1))})
@@ -198,12 +198,12 @@ def split_candidates(regions: DataFrame, turns: DataFrame, width: int, least: fl
 
 
 def midpoint_states(words: DataFrame, regions: DataFrame, on: list[str], word_id: str, point: Column, span: tuple[str, str], label: str, width: int) -> DataFrame:
-    """word_id, n_regions and status of words by the regions that contain `point`, their middle, ends included: 'no_matching_region', 'multiple_speakers'
+    """on, word_id, n_regions and status of words by the regions that contain `point`, their middle, ends included: 'no_matching_region', 'multiple_speakers'
     (labels differ), else 'candidate'."""
     placed = words.select(*on, word_id, point.alias("_at"))
-    hits = point_join(placed, regions.select(*on, *span, label), on, "_at", span, width).groupBy(word_id).agg(F.count("*").alias("_n"), (F.min(label) != F.max(label)).alias("_many"))
+    hits = point_join(placed, regions.select(*on, *span, label), on, "_at", span, width).groupBy(*on, word_id).agg(F.count("*").alias("_n"), (F.min(label) != F.max(label)).alias("_many"))
     status = F.when(F.col("_n").isNull(), "no_matching_region").when(F.col("_many"), "multiple_speakers").otherwise("candidate")
-    return words.select(word_id).join(hits, word_id, "left").select(word_id, F.coalesce("_n", F.lit(0)).alias("n_regions"), status.alias("status"))
+    return with_sides(words, hits, [*on, word_id]).select(*on, word_id, F.coalesce("_n", F.lit(0)).alias("n_regions"), status.alias("status"))
 
 
 def utterance_states(words: DataFrame, regions: DataFrame, width: int) -> DataFrame:

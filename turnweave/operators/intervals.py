@@ -8,17 +8,17 @@ absurd end makes LAST rows at most, not billions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Span = tuple[str, str]
 
-
 LONG, COARSE, LAST = 256, 1 << 14, 1 << 16
 
 
-
-def _coarse(x: F.Column, width: int) -> F.Column:
+def _coarse(x: Column, width: int) -> Column:
     """The coarse cell of a time; times beyond LAST cells share the last one."""
     return F.least(F.greatest(F.floor(x / (width * COARSE)), F.lit(-LAST)), F.lit(LAST))
 
@@ -62,43 +62,68 @@ def timeline(by: list[str], span: Span, *ids: str) -> Window:
     return Window.partitionBy(*by).orderBy(*span, *ids)
 
 
+def _celled(df: DataFrame, by: list[str], first: str, width: int) -> DataFrame:
+    """Adds _key, a struct of `by` and the cell of the first order column: structs are equal where their fields are, nulls included, so rows with null keys
+    or a null place find one another as a window would have them, null places first."""
+    return df.withColumn("_key", F.struct(*(F.col(c).alias(f"_{k}") for k, c in enumerate(by)), F.floor(F.col(first) / width).alias("_cell")))
+
+
+def _over_cells(by: list[str]) -> Window:
+    return Window.partitionBy(*(f"_key._{k}" for k in range(len(by)))).orderBy("_key._cell")
+
+
 def beside(df: DataFrame, by: list[str], order: list[str], columns: list[str], width: int, after: bool = False, name: str = "_before") -> DataFrame:
     """Adds a struct `name` of `columns` of the row before (or after) in order, null at a source's edge.
 
     A source's rows are cut into cells of its first order column, each sorted in a task of its own; of every cell only the row at its
-    edge goes to its neighbour cell, so a source with very many rows is no single group. Null order values are not allowed.
+    edge goes to its neighbour cell, so a source with very many rows is no single group. Rows with null keys are a source of their own; null places
+    come first.
     """
     held, place = F.struct(*columns), F.struct(*order)
-    celled = df.withColumn("_cell", F.floor(F.col(order[0]) / width))
-    within = Window.partitionBy(*by, "_cell").orderBy(*order)
-    edge = celled.groupBy(*by, "_cell").agg((F.min_by if after else F.max_by)(held, place).alias("_edge"))
+    celled = _celled(df, by, order[0], width)
+    within = Window.partitionBy("_key").orderBy(*order)
+    edge = celled.groupBy("_key").agg((F.min_by if after else F.max_by)(held, place).alias("_edge"))
     shift = F.lead if after else F.lag
-    edge = edge.withColumn("_edge", shift("_edge").over(Window.partitionBy(*by).orderBy("_cell")))
-    out = celled.withColumn("_near", shift(held).over(within)).join(edge, [*by, "_cell"])
-    return out.withColumn(name, F.coalesce("_near", "_edge")).drop("_near", "_edge", "_cell")
+    edge = edge.withColumn("_edge", shift("_edge").over(_over_cells(by)))
+    out = celled.withColumn("_near", shift(held).over(within)).join(edge, "_key")
+    return out.withColumn(name, F.coalesce("_near", "_edge")).drop("_near", "_edge", "_key")
 
 
-def running_max(df: DataFrame, by: list[str], order: list[str], value: F.Column, width: int, name: str, before_only: bool = False) -> DataFrame:
-    """Adds `name`: the largest value so far in order, this row's included or not; cell by cell as in `beside`."""
-    celled = df.withColumns({"_cell": F.floor(F.col(order[0]) / width), "_value": value})
-    within = Window.partitionBy(*by, "_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before_only else 0)
-    edge = celled.groupBy(*by, "_cell").agg(F.max("_value").alias("_edge"))
-    edge = edge.withColumn("_edge", F.max("_edge").over(Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)))
-    out = celled.withColumn("_near", F.max("_value").over(within)).join(edge, [*by, "_cell"])
-    return out.withColumn(name, F.greatest("_near", "_edge")).drop("_near", "_edge", "_cell", "_value")
+def _running(df: DataFrame, by: list[str], order: list[str], value: Column, width: int, before_only: bool, of: Callable[[str], Column]) -> DataFrame:
+    """Adds _near, the aggregate `of` the values so far within a row's cell, and _edge, that of all cells before."""
+    celled = _celled(df, by, order[0], width).withColumn("_value", value)
+    within = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before_only else 0)
+    edge = celled.groupBy("_key").agg(of("_value").alias("_edge"))
+    edge = edge.withColumn("_edge", of("_edge").over(_over_cells(by).rowsBetween(Window.unboundedPreceding, -1)))
+    return celled.withColumn("_near", of("_value").over(within)).join(edge, "_key").drop("_key", "_value")
 
 
-def running_sum(df: DataFrame, by: list[str], order: list[str], value: F.Column, width: int, name: str, before_only: bool = False) -> DataFrame:
-    """Adds `name`: the sum so far in order, this row's included or not, 0 without rows; cell by cell as in `beside`."""
-    celled = df.withColumns({"_cell": F.floor(F.col(order[0]) / width), "_value": value})
-    within = Window.partitionBy(*by, "_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before_only else 0)
-    edge = celled.groupBy(*by, "_cell").agg(F.sum("_value").alias("_edge"))
-    edge = edge.withColumn("_edge", F.sum("_edge").over(Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)))
-    out = celled.withColumn("_near", F.sum("_value").over(within)).join(edge, [*by, "_cell"])
-    return out.withColumn(name, F.coalesce("_near", F.lit(0)) + F.coalesce("_edge", F.lit(0))).drop("_near", "_edge", "_cell", "_value")
+def running_max(df: DataFrame, by: list[str], order: list[str], value: Column, width: int, name: str, before_only: bool = False) -> DataFrame:
+    """Adds `name`: the largest value so far in order, this row's included or not; cell by cell as in `beside`, rows with null keys and places too."""
+    return _running(df, by, order, value, width, before_only, F.max).withColumn(name, F.greatest("_near", "_edge")).drop("_near", "_edge")
 
 
-def merge_touching(df: DataFrame, by: list[str], span: Span, tie: str, width: int, last: dict[str, F.Column] | None = None) -> DataFrame:
+def running_sum(df: DataFrame, by: list[str], order: list[str], value: Column, width: int, name: str, before_only: bool = False) -> DataFrame:
+    """Adds `name`: the sum so far in order, this row's included or not, 0 without rows; cell by cell as in `beside`, rows with null keys and places too."""
+    out = _running(df, by, order, value, width, before_only, F.sum)
+    return out.withColumn(name, F.coalesce("_near", F.lit(0)) + F.coalesce("_edge", F.lit(0))).drop("_near", "_edge")
+
+
+def known_beside(df: DataFrame, by: list[str], order: list[str], value: Column, width: int, name: str, after: bool = False, inclusive: bool = False) -> DataFrame:
+    """Adds `name`: the last value that isn't null before a row in order (or the next one after it); `inclusive`: the row's own counts. What goes from cell to
+    cell is the last known value of each, carried over cells without any."""
+    place = F.struct(*order)
+    celled = _celled(df, by, order[0], width).withColumn("_value", value)
+    pick, choose = (F.first, F.min_by) if after else (F.last, F.max_by)
+    reach = (0 if inclusive else 1, Window.unboundedFollowing) if after else (Window.unboundedPreceding, 0 if inclusive else -1)
+    beyond = (1, Window.unboundedFollowing) if after else (Window.unboundedPreceding, -1)
+    edge = celled.groupBy("_key").agg(choose("_value", F.when(F.col("_value").isNotNull(), place)).alias("_edge"))
+    edge = edge.withColumn("_edge", pick("_edge", True).over(_over_cells(by).rowsBetween(*beyond)))
+    out = celled.withColumn("_near", pick("_value", True).over(Window.partitionBy("_key").orderBy(*order).rowsBetween(*reach))).join(edge, "_key")
+    return out.withColumn(name, F.coalesce("_near", "_edge")).drop("_near", "_edge", "_key", "_value")
+
+
+def merge_touching(df: DataFrame, by: list[str], span: Span, tie: str, width: int, last: dict[str, Column] | None = None) -> DataFrame:
     """Blocks of intervals that overlap or touch: by, block_start, block_end, n_intervals; and, as named in `last`, values of the interval
     that ends last (of several the one that comes last). A block begins where an interval starts behind all ends so far."""
     order = [*span, tie]
@@ -126,20 +151,26 @@ def keep_overlapping(chunks: DataFrame, speech: DataFrame, on: list[str], chunk_
     return kept.withColumn("index", F.row_number().over(Window.partitionBy(*on).orderBy(order)) - 1)
 
 
+def with_sides(left: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Left's keys with what was found for them; keys that are null, which joins nothing, are kept."""
+    told = found.select(*(F.col(k).alias(f"_k_{k}") for k in keys), *(c for c in found.columns if c not in keys))
+    return left.select(*keys).join(told, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left").drop(*(f"_k_{k}" for k in keys))
+
+
 def overlapping_ids(left: DataFrame, right: DataFrame, on: list[str], left_id: str, right_id: str, left_span: Span, right_span: Span, width: int) -> DataFrame:
-    """left_id, n and ids: ids of the right rows that overlap it, in order of start, end and id, comma-joined."""
+    """on, left_id, n and ids: ids of the right rows that overlap it, in order of start, end and id, comma-joined."""
     pairs = overlap_join(left, right, on, left_span, right_span, width)
-    some = pairs.groupBy(left_id).agg(F.array_sort(F.collect_list(F.struct(right_span[0], right_span[1], right_id))).alias("_r"))
-    said = some.select(left_id, F.size("_r").cast("long").alias("n"), F.array_join(F.transform("_r", lambda r: r[right_id].cast("string")), ",").alias("ids"))
-    return left.select(left_id).join(said, left_id, "left").select(left_id, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("ids", F.lit("")).alias("ids"))
+    some = pairs.groupBy(*on, left_id).agg(F.array_sort(F.collect_list(F.struct(right_span[0], right_span[1], right_id))).alias("_r"))
+    said = some.select(*on, left_id, F.size("_r").cast("long").alias("n"), F.array_join(F.transform("_r", lambda r: r[right_id].cast("string")), ",").alias("ids"))
+    return with_sides(left, said, [*on, left_id]).withColumns({"n": F.coalesce("n", F.lit(0)), "ids": F.coalesce("ids", F.lit(""))})
 
 
 def coverage(windows: DataFrame, words: DataFrame, on: list[str], window_id: str, window_span: Span, word_span: Span, width: int) -> DataFrame:
-    """window_id and covered: the summed overlap of words with each window (words that overlap count twice)."""
+    """on, window_id and covered: the summed overlap of words with each window (words that overlap count twice)."""
     pairs = overlap_join(windows, words, on, window_span, word_span, width)
     part = F.least(window_span[1], word_span[1]) - F.greatest(window_span[0], word_span[0])
-    found = pairs.groupBy(window_id).agg(F.sum(part).alias("covered"))
-    return windows.select(window_id).join(found, window_id, "left").select(window_id, F.coalesce("covered", F.lit(0)).alias("covered"))
+    found = pairs.groupBy(*on, window_id).agg(F.sum(part).alias("covered"))
+    return with_sides(windows, found, [*on, window_id]).withColumn("covered", F.coalesce("covered", F.lit(0)))
 
 
 def bounded_padding(df: DataFrame, by: list[str], span: Span, tie: str, pad: int, width: int) -> DataFrame:
@@ -153,7 +184,7 @@ def bounded_padding(df: DataFrame, by: list[str], span: Span, tie: str, pad: int
     return out.withColumns({"clip_start": start, "clip_end": end}).drop("_before", "_after")
 
 
-def needs_padding(levels: DataFrame, least_level: float = 0.003, continuity: float = 0.25) -> F.Column:
+def needs_padding(levels: DataFrame, least_level: float = 0.003, continuity: float = 0.25) -> Column:
     """Whether a cut goes through sound: of `before` and `after`, the levels (root mean square) of the short windows at both sides, the larger
     is at least `least_level` and the smaller at least `continuity` of it."""
     high, low = F.greatest(levels["before"], levels["after"]), F.least(levels["before"], levels["after"])
@@ -172,7 +203,7 @@ def edge_levels(cuts: DataFrame, samples: DataFrame, on: list[str], cut: str, at
     return cuts.select(*on, cut).distinct().join(got, [*on, cut], "left")
 
 
-def envelope(samples: DataFrame, by: list[str], at: str, value: str, start: F.Column, end: F.Column, points: int) -> DataFrame:
+def envelope(samples: DataFrame, by: list[str], at: str, value: str, start: Column, end: Column, points: int) -> DataFrame:
     """by, bucket, peak and level: the range [start, end) in `points` equal buckets, each one's largest absolute value, and that over
     the largest of all (0 where all is silent). Buckets without samples give no row."""
     inside = samples.where((F.col(at) >= start) & (F.col(at) < end))

@@ -10,77 +10,76 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnweave.functions import text as T
-from turnweave.operators.intervals import Span, merge_touching, overlap_join
+from turnweave.operators.intervals import Span, beside, known_beside, merge_touching, overlap_join, running_max, running_sum, with_sides
+
+WORDS_CELL = 4096  # words of a source in a cell, where order is their number
 
 # How a word came by its speaker.
 METHODS = ["no_overlapping_region", "no_speaker_label", "conflicting_overlapping_speakers", "single_overlapping_region", "consistent_overlapping_regions"]
 
 
 def attribute_words(words: DataFrame, regions: DataFrame, on: list[str], word_id: str, word_span: Span, region_span: Span, label: str, width: int) -> DataFrame:
-    """word_id, n_regions, speaker and method. A word gets a speaker if the regions that overlap it have one label between
-    them; unlabelled regions don't count as a label, but a second region makes the finding 'consistent'."""
-    pairs = overlap_join(words.select(*on, word_id, *word_span), regions.select(*on, *region_span, label), on, word_span, region_span, width)
-    found = pairs.groupBy(word_id).agg(F.count("*").alias("n_regions"), F.min(label).alias("_lo"), F.max(label).alias("_hi"))
-    out = words.select(word_id).join(found, word_id, "left").withColumn("n_regions", F.coalesce("n_regions", F.lit(0)))
+    """on, word_id, n_regions, speaker and method. A word gets a speaker if the regions that overlap it have one label between
+    them; unlabelled regions don't count as a label, but a second region makes the finding 'consistent'. Words are numbered within `on`."""
+    keys = [*on, word_id]
+    pairs = overlap_join(words.select(*keys, *word_span), regions.select(*on, *region_span, label), on, word_span, region_span, width)
+    found = pairs.groupBy(*keys).agg(F.count("*").alias("n_regions"), F.min(label).alias("_lo"), F.max(label).alias("_hi"))
+    out = with_sides(words, found, keys).withColumn("n_regions", F.coalesce("n_regions", F.lit(0)))
     one = F.col("_lo") == F.col("_hi")
     method = (
         F.when(F.col("n_regions") == 0, METHODS[0]).when(F.col("_lo").isNull(), METHODS[1]).when(~one, METHODS[2])
         .when(F.col("n_regions") == 1, METHODS[3]).otherwise(METHODS[4])
     )
-    return out.select(word_id, "n_regions", F.when(one, F.col("_lo")).alias("speaker"), method.alias("method"))
+    return out.select(*keys, "n_regions", F.when(one, F.col("_lo")).alias("speaker"), method.alias("method"))
 
 
-def unresolved_runs(words: DataFrame, by: list[str], order: str, speaker: str) -> DataFrame:
-    """Longest runs of words without a speaker: by, first, last, n, left_speaker, right_speaker."""
-    w = Window.partitionBy(*by).orderBy(order)
+def unresolved_runs(words: DataFrame, by: list[str], order: str, speaker: str, width: int = WORDS_CELL) -> DataFrame:
+    """Longest runs of words without a speaker: by, first, last, n, left_speaker, right_speaker. A run is named by the place of the speaker before it, carried
+    from cell to cell."""
     known = F.col(speaker).isNotNull()
-    marked = words.withColumns({"_run": F.sum(known.cast("int")).over(w), "_left": F.last(speaker, True).over(w), "_right": F.first(speaker, True).over(w.rowsBetween(0, Window.unboundedFollowing))})
-    return marked.where(~known).groupBy(*by, "_run").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"), F.first("_left").alias("left_speaker"), F.first("_right").alias("right_speaker")).drop("_run")
+    marked = known_beside(words, by, [order], F.when(known, F.struct(F.col(order).alias("at"), F.col(speaker).alias("s"))), width, "_left")
+    marked = known_beside(marked, by, [order], F.col(speaker), width, "_right", after=True).where(~known)
+    runs = marked.groupBy(*by, F.col("_left.at").alias("_run")).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"), F.first("_left.s").alias("left_speaker"), F.first("_right").alias("right_speaker"))
+    return runs.drop("_run")
 
 
-def fill_consistent_context(words: DataFrame, by: list[str], order: str, speaker: str) -> DataFrame:
+def fill_consistent_context(words: DataFrame, by: list[str], order: str, speaker: str, width: int = WORDS_CELL) -> DataFrame:
     """Adds filled: the speaker, or where it is missing the one that speaks both before and after."""
-    w = Window.partitionBy(*by).orderBy(order)
-    before, after = F.last(speaker, True).over(w), F.first(speaker, True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return words.withColumn("filled", F.coalesce(F.col(speaker), F.when(before == after, before)))
+    out = known_beside(words, by, [order], F.col(speaker), width, "_l")
+    out = known_beside(out, by, [order], F.col(speaker), width, "_r", after=True)
+    return out.withColumn("filled", F.coalesce(F.col(speaker), F.when(F.col("_l") == F.col("_r"), F.col("_l")))).drop("_l", "_r")
 
 
-def resolve_fragments(words: DataFrame, by: list[str], order: str, speaker: str, candidates: str) -> DataFrame:
+def resolve_fragments(words: DataFrame, by: list[str], order: str, speaker: str, candidates: str, width: int = WORDS_CELL) -> DataFrame:
     """Adds resolved and step, word by word: a word in conflict takes its left neighbour's speaker as resolved so far, or its right
     neighbour's as given, if the conflict has it and the two don't disagree. `candidates` is an array, empty or null for words
     without a conflict.
 
-    What the left gives depends on earlier decisions only within a run of words without a speaker, so each run is folded by itself,
-    with its two neighbours, and nothing but order, speaker and candidates goes through the fold."""
-    w = Window.partitionBy(*by).orderBy(order)
+    Only a run's last word has a right neighbour with a speaker, so what goes through a run from the left is the speaker before it or nothing: it reaches a word
+    if all words of the run before have it among their candidates. Three values are carried over cells, and nothing is folded: the last speaker with its place,
+    and the place of the last word that stopped it.
+    """
     known = F.col(speaker).isNotNull()
-    run = F.sum(known.cast("long")).over(w)
-    sides = words.select(*by, order, speaker, candidates, run.alias("_run"), F.lag(speaker).over(w).alias("_l"), F.lead(speaker).over(w).alias("_r"))
-    one = F.struct(F.col(order).alias("o"), F.col(candidates).alias("c"), F.col("_l").alias("l"), F.col("_r").alias("r"))
-    runs = sides.where(~known).groupBy(*by, "_run").agg(F.array_sort(F.collect_list(one)).alias("_w"))
-    name = dict(words.dtypes)[speaker]
-    start = F.struct(F.lit(None).cast(name).alias("now"), F.array().cast(f"array<struct<o:{dict(words.dtypes)[order]},s:{name},step:string>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        left, right = F.coalesce(acc["now"], x["l"]), x["r"]
-        left, right = F.when(F.array_contains(x["c"], left), left), F.when(F.array_contains(x["c"], right), right)
-        agreed = F.when(left.isNull() | right.isNull() | (left == right), F.coalesce(left, right))
-        said = F.when(agreed.isNull(), None).when(left == right, "consistent").when(left.isNotNull(), "left").otherwise("right")
-        return F.struct(agreed.alias("now"), F.concat(acc["out"], F.array(F.struct(x["o"].alias("o"), agreed.alias("s"), said.alias("step")))).alias("out"))
-
-    told = runs.select(*by, F.explode(F.aggregate("_w", start, step)["out"]).alias("_x")).select(*by, F.col("_x.o").alias(order), F.col("_x.s").alias("_s"), F.col("_x.step").alias("step"))
-    return words.join(told, [*by, order], "left").withColumn("resolved", F.coalesce(F.col(speaker), "_s")).select(*words.columns, "resolved", "step")
-
-
-def utterances(words: DataFrame, by: list[str], order: str, span: Span, speaker: str, boundary: str, text: str, long_gap: int) -> DataFrame:
+    out = known_beside(words, by, [order], F.when(known, F.struct(F.col(order).alias("at"), F.col(speaker).alias("s"))), width, "_l")
+    has = lambda c: F.coalesce(F.array_contains(candidates, c), F.lit(False))
+    stopped = F.when(~known & ~has(F.col("_l.s")), F.col(order))
+    out = running_max(out, by, [order], stopped, width, "_stop", before_only=True)
+    out = beside(out, by, [order], [speaker], width, after=True, name="_r")
+    left = F.when(F.coalesce(F.col("_stop") < F.col("_l.at"), F.lit(True)) & has(F.col("_l.s")), F.col("_l.s"))
+    right = F.when(has(F.col(f"_r.{speaker}")), F.col(f"_r.{speaker}"))
+    out = out.withColumns({"_a": F.when(~known, left), "_b": F.when(~known, right)})
+    agreed = F.when(F.col("_a").isNull() | F.col("_b").isNull() | (F.col("_a") == F.col("_b")), F.coalesce("_a", "_b"))
+    said = F.when(agreed.isNull(), None).when(F.col("_a") == F.col("_b"), "consistent").when(F.col("_a").isNotNull(), "left").otherwise("right")
+    return out.withColumns({"resolved": F.coalesce(F.col(speaker), agreed), "step": said}).select(*words.columns, "resolved", "step")
+
+
+def utterances(words: DataFrame, by: list[str], order: str, span: Span, speaker: str, boundary: str, text: str, long_gap: int, width: int = WORDS_CELL) -> DataFrame:
     """Runs of words, cut after a word where the speaker changes (both known), at a sentence boundary, or before a gap longer
-    than `long_gap`: by, first, last, start, end, n_words, speaker (if one), speakers, end_boundary, text."""
-    w = Window.partitionBy(*by).orderBy(order)
-    after = {"_s": F.lead(speaker).over(w), "_b": F.lead(span[0]).over(w)}
-    reasons = F.concat_ws("+", F.when(F.col(speaker) != F.col("_s"), "speaker_change"), F.when(F.col(boundary), "sat"), F.when(F.col("_b") - F.col(span[1]) > long_gap, "alignment_gap"))
-    cut = words.withColumns(after).withColumn("_why", F.when(F.col("_b").isNull(), "source_end").otherwise(reasons))
-    run = F.coalesce(F.sum((F.col("_why") != "").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    runs = cut.withColumn("_run", run).groupBy(*by, "_run").agg(
+    than `long_gap`: by, first, last, start, end, n_words, speaker (if one), speakers, end_boundary, text. `width` is the length of a cell of `order`."""
+    out = beside(words, by, [order], [speaker, span[0]], width, after=True, name="_n")
+    reasons = F.concat_ws("+", F.when(F.col(speaker) != F.col(f"_n.{speaker}"), "speaker_change"), F.when(F.col(boundary), "sat"), F.when(F.col(f"_n.{span[0]}") - F.col(span[1]) > long_gap, "alignment_gap"))
+    cut = out.withColumn("_why", F.when(F.col("_n").isNull(), "source_end").otherwise(reasons)).drop("_n")
+    runs = running_sum(cut, by, [order], (F.col("_why") != "").cast("long"), width, "_run", before_only=True).groupBy(*by, "_run").agg(
         F.min(order).alias("first"), F.max(order).alias("last"), F.min(span[0]).alias("start"), F.max(span[1]).alias("end"), F.count("*").alias("n_words"),
         F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(speaker).alias("s"), F.col(text).alias("t"), F.col("_why").alias("w")))).alias("_w"),
     )
@@ -89,22 +88,22 @@ def utterances(words: DataFrame, by: list[str], order: str, span: Span, speaker:
     return out.select(*by, "first", "last", "start", "end", "n_words", F.when(F.size("_sp") == 1, F.get("_sp", F.lit(0))).alias("speaker"), F.array_join("_sp", ",").alias("speakers"), F.element_at("_w", -1)["w"].alias("end_boundary"), F.array_join(F.transform("_w", lambda x: x["t"]), " ").alias("text"))
 
 
-def chained_runs(pairs: DataFrame, by: list[str], order: str, left: str, right: str) -> DataFrame:
+def chained_runs(pairs: DataFrame, by: list[str], order: str, left: str, right: str, width: int = WORDS_CELL) -> DataFrame:
     """Adds run: pairs chain while one's `right` is the next one's `left`."""
-    w = Window.partitionBy(*by).orderBy(order)
-    new = F.coalesce((F.lag(right).over(w) != F.col(left)).cast("int"), F.lit(1))
-    return pairs.withColumn("_new", new).withColumn("run", F.sum("_new").over(w)).drop("_new")
+    out = beside(pairs, by, [order], [right], width, name="_b")
+    new = F.coalesce((F.col(f"_b.{right}") != F.col(left)).cast("long"), F.lit(1))
+    return running_sum(out, by, [order], new, width, "run").drop("_b")
 
 
 def region_conflicts(words: DataFrame, regions: DataFrame, on: list[str], word_id: str, word_span: Span, region_span: Span, region_id: str, label: str, width: int) -> DataFrame:
     """Words that overlap two or more regions which follow one another without any gap and have two or more labels, a missing
-    label being one: word_id, region_ids, labels."""
+    label being one: on, word_id, region_ids, labels."""
     pairs = overlap_join(words.select(*on, word_id, *word_span), regions.select(*on, region_id, *region_span, label), on, word_span, region_span, width)
-    got = pairs.groupBy(word_id).agg(F.array_sort(F.collect_list(F.struct(F.col(region_span[0]).alias("s"), F.col(region_span[1]).alias("e"), F.col(region_id).alias("id"), F.coalesce(F.col(label).cast("string"), F.lit("<unknown>")).alias("l")))).alias("r"))
+    got = pairs.groupBy(*on, word_id).agg(F.array_sort(F.collect_list(F.struct(F.col(region_span[0]).alias("s"), F.col(region_span[1]).alias("e"), F.col(region_id).alias("id"), F.coalesce(F.col(label).cast("string"), F.lit("<unknown>")).alias("l")))).alias("r"))
     n = F.size("r")
     joined = F.forall(F.zip_with(F.slice("r", F.lit(1), n - 1), F.slice("r", F.lit(2), n - 1), lambda a, b: a["e"] == b["s"]), lambda x: x)
     labels = F.array_distinct(F.transform("r", lambda x: x["l"]))
-    return got.where((n > 1) & joined & (F.size(labels) > 1)).select(word_id, F.array_join(F.transform("r", lambda x: x["id"].cast("string")), ",").alias("region_ids"), F.array_join(labels, ",").alias("labels"))
+    return got.where((n > 1) & joined & (F.size(labels) > 1)).select(*on, word_id, F.array_join(F.transform("r", lambda x: x["id"].cast("string")), ",").alias("region_ids"), F.array_join(labels, ",").alias("labels"))
 
 
 def mean_activity(frames: DataFrame, by: list[str], values: str) -> DataFrame:
@@ -263,12 +262,12 @@ def merged_region_runs(conflicts: DataFrame, by: list[str], order: str, regions:
 
 
 def activity_window(frames: DataFrame, windows: DataFrame, on: list[str], window_id: str, span: Span, frame: str, values: str, frame_duration: float) -> DataFrame:
-    """window_id, means and dominant: of each window [start, end) the mean of every speaker's activity over the frames from the one that
+    """on, window_id, means and dominant: of each window [start, end) the mean of every speaker's activity over the frames from the one that
     its start lies in up to the one that its end lies in, that one left out, one at least, and the first speaker with the largest mean; nulls where there is no frame."""
     first = F.greatest(F.lit(0), F.floor(F.col(span[0]) / frame_duration)).cast("long")
     last = F.greatest(first + 1, F.floor(F.col(span[1]) / frame_duration).cast("long"))
     wanted = windows.select(*on, window_id, F.explode(F.sequence(first, last - 1)).alias("_f"))
-    flat = wanted.join(frames.select(*on, F.col(frame).alias("_f"), values), [*on, "_f"]).select(window_id, F.posexplode(values).alias("_s", "_v"))
-    means = flat.groupBy(window_id, "_s").agg(F.avg(F.col("_v").cast("double")).alias("_m"))
-    got = means.groupBy(window_id).agg(F.transform(F.array_sort(F.collect_list(F.struct("_s", "_m"))), lambda x: x["_m"]).alias("means"), F.max_by("_s", F.struct("_m", -F.col("_s"))).alias("dominant"))
-    return windows.select(window_id).join(got, window_id, "left")
+    flat = wanted.join(frames.select(*on, F.col(frame).alias("_f"), values), [*on, "_f"]).select(*on, window_id, F.posexplode(values).alias("_s", "_v"))
+    means = flat.groupBy(*on, window_id, "_s").agg(F.avg(F.col("_v").cast("double")).alias("_m"))
+    got = means.groupBy(*on, window_id).agg(F.transform(F.array_sort(F.collect_list(F.struct("_s", "_m"))), lambda x: x["_m"]).alias("means"), F.max_by("_s", F.struct("_m", -F.col("_s"))).alias("dominant"))
+    return with_sides(windows, got, [*on, window_id])

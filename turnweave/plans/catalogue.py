@@ -156,7 +156,7 @@ SELECT w.word_id, coalesce(n, 0) AS n_regions, CASE WHEN lo = hi THEN lo END AS
 FROM w LEFT JOIN g USING (word_id)"""
 )
 def interval_overlap_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return speakers.attribute_words(_words(spark, sf_dir), _regions(spark, sf_dir), ["source"], "word_id", W, R, "label", CELL)
+    return speakers.attribute_words(_words(spark, sf_dir), _regions(spark, sf_dir), ["source"], "word_id", W, R, "label", CELL).drop("source")
 
 
 @_query(
@@ -165,7 +165,7 @@ g AS (SELECT word_id, count(*) AS n, string_agg(CAST(region_id AS VARCHAR), ','
 SELECT w.word_id, coalesce(n, 0) AS n, coalesce(ids, '') AS ids FROM w LEFT JOIN g USING (word_id)"""
 )
 def overlapping_region_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intervals.overlapping_ids(_words(spark, sf_dir), _regions(spark, sf_dir), ["source"], "word_id", "region_id", W, R, CELL)
+    return intervals.overlapping_ids(_words(spark, sf_dir), _regions(spark, sf_dir), ["source"], "word_id", "region_id", W, R, CELL).drop("source")
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,7 +241,7 @@ SELECT source, min(w_start) AS first, max(w_start) AS last, min(w_start) AS "sta
 )
 def utterance_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = _words(spark, sf_dir).withColumns({"speaker": F.lit(None).cast("string"), "sat": F.lit(False), "text": F.lit("")})
-    return speakers.utterances(words, ["source"], "w_start", W, "speaker", "sat", "text", 60 * SECOND).select("source", "first", "last", "start", "end", "n_words", "end_boundary")
+    return speakers.utterances(words, ["source"], "w_start", W, "speaker", "sat", "text", 60 * SECOND, CELL).select("source", "first", "last", "start", "end", "n_words", "end_boundary")
 
 
 @_query(
@@ -263,7 +263,7 @@ UNION ALL SELECT source, 'long_word', w_start, w_start FROM w WHERE w_end - w_st
 UNION ALL SELECT source, 'long_gap', w_start, nxt FROM g WHERE nxt - w_end > 120000000"""
 )
 def alignment_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignment.timing_issues(_words(spark, sf_dir), ["source"], "w_start", W, 120 * SECOND, SECOND)
+    return alignment.timing_issues(_words(spark, sf_dir), ["source"], "w_start", W, 120 * SECOND, SECOND, CELL)
 
 
 _CONFLICTS = f"""{_R}, {_W}, x AS (SELECT *, lead(region_id) OVER p AS right_id, lead(label) OVER p AS nl, lead(r_start) OVER p AS ns FROM r WINDOW p AS (PARTITION BY source ORDER BY r_start, r_end, region_id)),
@@ -282,7 +282,7 @@ k AS (SELECT *, sum(f) OVER (PARTITION BY source ORDER BY r_start) AS run FROM n
 def conflict_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = intervals.beside(_regions(spark, sf_dir), ["source"], [*R, "region_id"], ["region_id", "label"], CELL, after=True, name="r")
     pairs = r.where(F.col("r").isNotNull() & ~F.col("label").eqNullSafe(F.col("r.label"))).withColumn("right_id", F.col("r.region_id"))
-    runs = speakers.chained_runs(pairs, ["source"], "r_start", "region_id", "right_id")
+    runs = speakers.chained_runs(pairs, ["source"], "r_start", "region_id", "right_id", CELL)
     return runs.groupBy("source", F.col("run").cast("long").alias("run")).agg(F.count("*").alias("n_pairs"), F.min("r_end").alias("first_boundary"))
 
 
@@ -300,7 +300,7 @@ g AS (SELECT word_id, count(*) AS n, count(DISTINCT label) AS labels FROM p GROU
 SELECT word_id, coalesce(n, 0) AS n_regions, CASE WHEN n IS NULL THEN 'no_matching_region' WHEN labels > 1 THEN 'multiple_speakers' ELSE 'candidate' END AS status FROM w LEFT JOIN g USING (word_id)"""
 )
 def midpoint_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evidence.midpoint_states(_words(spark, sf_dir), _regions(spark, sf_dir), ["source"], "word_id", midpoint(F.col("w_start"), F.col("w_end")), R, "label", CELL)
+    return evidence.midpoint_states(_words(spark, sf_dir), _regions(spark, sf_dir), ["source"], "word_id", midpoint(F.col("w_start"), F.col("w_end")), R, "label", CELL).drop("source")
 
 
 @_query(
@@ -314,7 +314,7 @@ def turn_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"WITH {_R}, {_W} SELECT r.region_id, CAST(coalesce(sum(CASE WHEN w_start IS NOT NULL THEN least(r_end, w_end) - greatest(r_start, w_start) END), 0) AS BIGINT) AS covered FROM r LEFT JOIN w ON w.source = r.source AND least(r_end, w_end) > greatest(r_start, w_start) GROUP BY r.region_id")
 def speech_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intervals.coverage(_regions(spark, sf_dir), _words(spark, sf_dir), ["source"], "region_id", R, W, CELL)
+    return intervals.coverage(_regions(spark, sf_dir), _words(spark, sf_dir), ["source"], "region_id", R, W, CELL).drop("source")
 
 
 @_query(

@@ -57,7 +57,7 @@ def projected_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat_ws(":", "source", "region_id")
     moved = regions.select("source", "region_id", key.alias("range"), (F.col("r_start") + 2.25).alias("s"), (F.col("r_end") + 3.125).alias("e"))
     out = evidence.project_ranges(moved, words.select("source", "word", "w_start", "w_end"), regions.select("source", "utterance", "word_start", "word_end"), "range", ("s", "e"), CELL)
-    return moved.select("source", "region_id", "range").join(out, "range").select("source", "region_id", *(_said(c).alias(c) for c in ("words", "suspicious", "complete", "touched")))
+    return moved.select("source", "region_id", "range").join(out, ["source", "range"]).select("source", "region_id", *(_said(c).alias(c) for c in ("words", "suspicious", "complete", "touched")))
 
 
 @_query(
@@ -347,3 +347,30 @@ def utterance_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = _words(spark, sf_dir)
     regions = _regions(words).where("region_id % 5 <> 4").withColumns({"r_start": F.col("r_start") + 0.25, "r_end": F.col("r_end") - F.when(F.col("region_id") % 4 == 1, 30.0).otherwise(0.25), "label": F.coalesce("label", F.lit("none"))})
     return evidence.utterance_states(words.select("source", F.floor(F.col("word") / 40).alias("utterance"), "w_start", "w_end"), regions, CELL)
+
+
+@_query(
+    f"""WITH {_CW}, g AS (SELECT source, r_start - 1.5 AS r_start, r_end + 1.25 AS r_end, label FROM regions WHERE region_id % 5 <> 4), p AS (SELECT w.source, w.word, label FROM words w JOIN g ON g.source = w.source AND least(r_end, w_end) > greatest(r_start, w_start)),
+a AS (SELECT source, word, count(*) AS n, min(label) AS lo, max(label) AS hi FROM p GROUP BY ALL)
+SELECT w.source, w.word, coalesce(n, 0) AS n_regions, CASE WHEN lo = hi THEN lo END AS speaker, CASE WHEN n IS NULL THEN 'no_overlapping_region' WHEN lo IS NULL THEN 'no_speaker_label' WHEN lo <> hi THEN 'conflicting_overlapping_speakers' WHEN n = 1 THEN 'single_overlapping_region' ELSE 'consistent_overlapping_regions' END AS method
+FROM words w LEFT JOIN a USING (source, word)"""
+)
+def attributed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and regions are numbered within their source."""
+    words = _words(spark, sf_dir)
+    regions = _regions(words).where("region_id % 5 <> 4").select("source", (F.col("r_start") - 1.5).alias("r_start"), (F.col("r_end") + 1.25).alias("r_end"), "label")
+    return speakers.attribute_words(words, regions, ["source"], "word", ("w_start", "w_end"), ("r_start", "r_end"), "label", CELL)
+
+
+@_query(
+    f"""WITH {_CW}, p AS (SELECT r.source, r.region_id, w.word, least(r_end + 2, w_end) - greatest(r_start, w_start) AS part, w_start, w_end FROM regions r JOIN words w ON w.source = r.source AND least(r_end + 2, w_end) > greatest(r_start, w_start)),
+a AS (SELECT source, region_id, sum(part) AS covered, count(*) AS n, string_agg(CAST(word AS VARCHAR), ',' ORDER BY w_start, w_end, word) AS ids FROM p GROUP BY ALL)
+SELECT r.source, r.region_id, round(coalesce(covered, 0), 6) AS covered, coalesce(n, 0) AS n, coalesce(ids, '') AS ids FROM regions r LEFT JOIN a USING (source, region_id)"""
+)
+def covered_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each region, two seconds longer, its source's words cover, and which they are."""
+    words = _words(spark, sf_dir).select("source", "word", "w_start", "w_end")
+    regions = _regions(_words(spark, sf_dir)).select("source", "region_id", "r_start", (F.col("r_end") + 2).alias("r_end"))
+    spans = ("r_start", "r_end"), ("w_start", "w_end")
+    held = intervals.coverage(regions, words, ["source"], "region_id", *spans, CELL).join(intervals.overlapping_ids(regions, words, ["source"], "region_id", "word", *spans, CELL), ["source", "region_id"])
+    return held.select("source", "region_id", F.round("covered", 6).alias("covered"), "n", "ids")

@@ -2,72 +2,165 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from typing import Any
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from turnweave.sources.scratch import settled
+
 REGION_SCHEMA = "id string, source_id string, source_start double, source_end double, detector string, detector_label string"
 
 
+class Conflict(Exception):
+    """Another writer has committed since the state that a change was made from."""
+
+
 class Catalog:
-    """Tables under one root folder, each a row of versions.
+    """Tables under one root folder, changed by commits that take effect whole or not at all.
+
+    Rows lie in part folders that Spark has finished; a commit is a small file _commits/NUMBER.json that names the parts of every table. It is made by creating that
+    file, which fails if it is there: of two writers who started from one state the second is refused (`Conflict`), whatever tables they changed, and a writer who dies
+    before that leaves folders that nothing refers to. Readers take the newest whole commit file. Ids are unique: an append whose ids are there already, or
+    twice in the batch, is refused, as are updates of ids that are missing or named twice. (Creating a file exclusively is what HDFS and local file systems do;
+    a store without it needs a lock of its own.)
 
-    A version is a folder version=N that Spark has finished (its _SUCCESS is there); readers take the newest and nothing else, so
-    a replacement that dies half way changes nothing. Appends go into the newest version. Ids are unique: an append whose ids
-    are there already, or twice in the batch, is refused, as are updates of ids that are missing or named twice.
-    Writers of one table must take turns.
+    A table's version grows when its rows are replaced; an append belongs to the version that it adds to.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _list(self, path: str) -> list[tuple[str, bool]]:
-        """(name, whether it is a finished folder or a plain one) of a folder's entries; none if it isn't there."""
-        jvm = self.spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        fs = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(where):
-            return []
-        return [(x.getPath().getName(), x.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(x.getPath(), "_SUCCESS"))) for x in fs.listStatus(where)]
+    def _path(self, name: str) -> tuple[Any, Any]:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def _numbers(self) -> list[int]:
+        fs, where = self._path("_commits")
+        names = [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
+        return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
+
+    def _commit_file(self, number: int) -> dict | None:
+        """What a commit says; None if its writer died while writing it."""
+        fs, where = self._path(f"_commits/{number:010d}.json")
+        stream = fs.open(where)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return json.loads(text)
+        except ValueError:
+            return None
+
+    def head(self) -> tuple[int, dict]:
+        """The newest commit's number, 0 before the first, and its tables: for each its version and parts."""
+        for number in reversed(self._numbers()):
+            said = self._commit_file(number)
+            if said is not None:
+                return number, said
+        return 0, {}
 
     def versions(self, table: str) -> list[int]:
-        """Finished versions, oldest first."""
-        names = [name for name, done in self._list(f"{self.root}/{table}") if done and name.startswith("version=")]
-        return sorted(int(name.removeprefix("version=")) for name in names)
-
-    def read(self, table: str, version: int | None = None, schema: str | None = None) -> DataFrame:
-        """The newest version, or the one named. A table that isn't there is empty if a schema is given, else an error."""
-        known = self.versions(table)
-        if version is None and not known and schema:
-            return self.spark.createDataFrame([], schema)
-        if not known or (version is not None and version not in known):
-            raise KeyError(f"no table {table}" if not known else f"no version {version} of {table}")
+        """Versions of a table, oldest first."""
+        said = (self._commit_file(n) for n in self._numbers())
+        return sorted({x[table]["version"] for x in said if x and table in x})
+
+    def _tables_at(self, table: str, version: int) -> dict:
+        for number in reversed(self._numbers()):
+            said = self._commit_file(number)
+            if said and said.get(table, {}).get("version") == version:
+                return said
+        raise KeyError(f"no version {version} of {table}")
+
+    def read(self, table: str, version: int | None = None, schema: str | None = None, at: dict | None = None) -> DataFrame:
+        """The table as the newest commit has it, or at the end of a version, or as of the tables of a `head`. A table that isn't there is empty if a schema
+        is given, else an error."""
+        now = at if at is not None else self.head()[1] if version is None else self._tables_at(table, version)
+        if table not in now:
+            if schema:
+                return self.spark.createDataFrame([], schema)
+            raise KeyError(f"no table {table}")
         reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(f"{self.root}/{table}/version={known[-1] if version is None else version}")
+        return reader.parquet(*(f"{self.root}/{table}/{part}" for part in now[table]["parts"]))
+
+    def commit(self, replaced: dict[str, DataFrame] | None = None, added: dict[str, DataFrame] | None = None, base: tuple[int, dict] | None = None) -> int:
+        """Replaces whole tables and adds rows to others in one step, and returns the commit's number. `base` is the head that the change was made from; if
+        another commit is there by now, nothing is changed (`Conflict`)."""
+        number, tables = base if base is not None else self.head()
+        made = {}
+        for change in (replaced or {}, added or {}):
+            for table, rows in change.items():
+                part = f"part-{uuid.uuid4().hex}"
+                rows.write.parquet(f"{self.root}/{table}/{part}")
+                old = made.get(table, tables.get(table))
+                made[table] = {"version": old["version"] if old else 1, "parts": [*old["parts"], part] if old else [part]} if change is added else {"version": old["version"] + 1 if old else 1, "parts": [part]}
+        if self.head()[0] != number:
+            raise Conflict(f"commit {number} is not the newest")
+        after = max([number, *self._numbers()]) + 1
+        fs, where = self._path(f"_commits/{after:010d}.json")
+        try:
+            stream = fs.create(where, False)
+        except Py4JJavaError as error:
+            raise Conflict(f"commit {after} is there already") from error
+        try:
+            stream.write(bytearray(json.dumps({**tables, **made}).encode()))
+        finally:
+            stream.close()
+        return after
 
     def append(self, table: str, rows: DataFrame, key: str | None = None) -> None:
-        """Adds rows. With `key`, refuses ids that the batch has twice or not at all, or that the table has."""
-        known = self.versions(table)
+        """Adds rows. With `key`, refuses ids that the batch has twice or not at all, or that the table has. Without, it doesn't matter what others add meanwhile."""
+        base = self.head()
         if key:
-            old = self.read(table).select(key) if known else None
-            bad = key_clashes(rows, key, old)
-            if not bad.isEmpty():
-                raise ValueError(f"{table}: {bad.first()['reason']}: {bad.first()[key]}")
-        rows.write.mode("append").parquet(f"{self.root}/{table}/version={known[-1] if known else 1}")
-
-    def replace(self, table: str, rows: DataFrame) -> int:
-        """Makes `rows` the table, whole, and returns the new version. `rows` may come from the table itself."""
-        version = (self.versions(table) or [0])[-1] + 1
-        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/version={version}")
-        return version
+            bad = key_clashes(rows, key, self.read(table, at=base[1]).select(key) if table in base[1] else None).first()
+            if bad:
+                raise ValueError(f"{table}: {bad['reason']}: {bad[key]}")
+            self.commit(added={table: rows}, base=base)
+            return
+        for _ in range(100):
+            try:
+                self.commit(added={table: rows}, base=base)
+                return
+            except Conflict:
+                base = self.head()
+        raise Conflict(f"{table}: others kept committing")
+
+    def replace(self, table: str, rows: DataFrame, base: tuple[int, dict] | None = None) -> int:
+        """Makes `rows` the table, whole, and returns its new version. `rows` may come from the table itself."""
+        base = base or self.head()
+        self.commit({table: rows}, base=base)
+        return base[1].get(table, {"version": 0})["version"] + 1
 
     def update(self, table: str, changes: DataFrame, key: str = "id") -> int:
         """Replaces the columns of `changes` in the rows that its keys name, nulls included."""
-        now = self.read(table)
-        bad = update_clashes(now, changes, key)
-        if not bad.isEmpty():
-            first = bad.first()
+        base = self.head()
+        now = self.read(table, at=base[1])
+        first = update_clashes(now, changes, key).first()
+        if first:
             raise (KeyError if first["reason"] == "missing" else ValueError)(f"{table}: {first['reason']}: {first[key]}")
-        return self.replace(table, changed(now, changes, key))
+        return self.replace(table, changed(now, changes, key), base)
+
+    def attach(self, table: str, rows: DataFrame, key: list[str]) -> DataFrame:
+        """Write-once evidence: adds rows under new keys in one commit and returns the keys with the action, as `import_plan` says. Where a key is there with an
+        equal record nothing is added; if one is there with another, or comes twice with different ones, all is refused."""
+        base = self.head()
+        if table not in base[1]:
+            held = self.spark.createDataFrame([], rows.schema)
+        else:
+            held = self.read(table, at=base[1])
+        plan = settled(import_plan(held, rows, key, [c for c in rows.columns if c not in key]))
+        clash = plan.where("action = 'conflict'").first()
+        if clash:
+            raise ValueError(f"{table}: there already, and different: {[clash[k] for k in key]}")
+        fresh = plan.where("action = 'insert'").select(*(F.col(k).alias(f"_{k}") for k in key))
+        if not fresh.isEmpty():
+            new = rows.dropDuplicates(key).join(fresh, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key], "left_semi")
+            self.commit(added={table: new}, base=base)
+        return plan
 
     def get(self, table: str, record_id: object, key: str = "id") -> Row | None:
         """The row with this id, None if there is none; two are an error."""
@@ -79,10 +172,11 @@ class Catalog:
     def datasets(self, table: str) -> DataFrame:
         """The table in all datasets beside this one, this one included, with a column `dataset`, the folder's name."""
         parent = self.root.rsplit("/", 1)[0]
+        fs, where = Catalog(self.spark, parent)._path("")
         parts = []
-        for name, _ in sorted(self._list(parent)):
+        for name in sorted(x.getPath().getName() for x in fs.listStatus(where) if x.isDirectory()):
             one = Catalog(self.spark, f"{parent}/{name}")
-            if one.versions(table):
+            if table in one.head()[1]:
                 parts.append(one.read(table).withColumn("dataset", F.lit(name)))
         if not parts:
             raise KeyError(f"no dataset has a table {table}")
@@ -119,13 +213,31 @@ def changed(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(good, bad): records of the schema, and the lines that are none, with their file. Blank lines are neither."""
+    """(good, bad): records of the schema, and the lines that are none, with their file. Blank lines are neither.
+    `bad_json_lines` gives their numbers too."""
     text = spark.read.text(path).where("trim(value) <> ''")
     rows = text.select("value", F.col("_metadata.file_path").alias("file"), F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
     wrong = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
     return rows.where(~wrong).select("r.*").drop("_corrupt"), rows.where(wrong).select("file", F.col("value").alias("_corrupt"))
 
 
+def line_numbers(spark: SparkSession, path: str) -> DataFrame:
+    """file, line (from 1), value: all lines of text files with their numbers. The reader's parts of a file are numbered within, and each part gets the count
+    of the parts of its file before it."""
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), "value")
+    within = Window.partitionBy("file", "_block").orderBy("_at")
+    counts = text.groupBy("file", "_block").agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    return text.withColumn("_in", F.row_number().over(within)).join(before, ["file", "_block"]).select("file", (F.col("_before") + F.col("_in")).alias("line"), "value")
+
+
+def bad_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """file, line, _corrupt: the lines of JSON files that are no records of the schema, with their numbers."""
+    said = F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    rows = line_numbers(spark, path).where("trim(value) <> ''").withColumn("_r", said)
+    return rows.where(F.col("_r").isNull() | F.col("_r._corrupt").isNotNull()).select("file", "line", F.col("value").alias("_corrupt"))
+
+
 def write_json_lines(rows: DataFrame, path: str) -> None:
     rows.write.json(path)
 
