@@ -1,6 +1,6 @@
 """Fingerprints of documents: a Merkle tree over pieces, paragraphs and sections, in DataFrame functions only.
 
-A text is cut into words, each with the space behind it. Pieces are runs of words, cut behind a word whose hash is lower than those of the two words on
+A text is cut into words, each with the space behind it. Pieces are runs of words, cut behind a word whose hash is lower than those of the three words on
 either side, so that a change moves the cuts next to it only; the first SINGLES words are a piece each, which keeps short texts
 comparable; a paragraph's end, a line feed, always cuts. A section ends with an empty line or with a paragraph whose digest begins with
 SECTION, so long texts without empty lines have sections too. A piece's digest is the SHA-256 of its text; a paragraph's that of its pieces'
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 SINGLES = 8
 SECTION = "0"
 SHORT, PIECE = 8, 6
-REACH = 2  # words on either side that a cut's hash is compared with
+REACH = 3  # words on either side that a cut's hash is compared with
 
 CELL_ROWS = 64  # documents in a cell of neighbours, about
 SAMPLED = 8  # keys that are looked at for each cell's edge
