@@ -124,7 +124,7 @@ def likeness(a: Column, b: Column) -> Column:
 def edits(df: DataFrame, printed: str, other: str, keys: list[str]) -> DataFrame:
     """keys, section, paragraph, piece (numbers from 0): the pieces of `printed` that differ from `other`, found by going down branches that `other` doesn't have.
     Rows with equal roots give none."""
-    level = lambda c, k: F.transform(F.split(_part(F.col(c), k), ","), lambda x: F.struct(F.split_part(x, F.lit("-"), F.lit(1)).alias("d"), F.split_part(x, F.lit("-"), F.lit(2)).cast("int").alias("n")))
+    level = lambda c, k: F.transform(F.split(_part(F.col(c), k), ","), lambda x: F.struct(F.split_part(x, F.lit("-"), F.lit(1)).alias("d"), F.nullif(F.split_part(x, F.lit("-"), F.lit(2)), F.lit("")).cast("int").alias("n")))
     digests = lambda c, k: F.transform(level(c, k), lambda x: x["d"])
     apart = df.where(_part(F.col(printed), 0) != _part(F.col(other), 0))
     known = [F.col(c) for c in keys]
@@ -149,13 +149,13 @@ def _key(id_col: str, text_col: str) -> Column:
     return F.concat(F.when(F.col(id_col).isNull(), "0").otherwise("1"), digits(some), digits(F.xxhash64(text_col)))
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
-    """Adds next: `columns` of the next document in descending order of id (those without an id last, equal ids by their texts' hash); of the last one it
+def with_next(docs: DataFrame, id_col: str, text_col: str, columns: dict[str, Column]) -> DataFrame:
+    """Adds next: `columns` (expressions on a document's row, which are added as well) of the next document in descending order of id (those without an id last, equal ids by their texts' hash); of the last one it
     is the first.
 
     Cells of about CELL_ROWS documents lie between keys that really occur, taken evenly from a sample (one key in CELL_ROWS / SAMPLED, at most
     MOST_KEYS, on the driver). A cell's first document is known by its key, so it goes along to the cell before as a guest; everything else is one shuffle
-    by cell and a sort within. Rows equal in id and text lie in one cell.
+    by cell and a sort within. The columns are worked out behind the shuffle. Rows equal in id and text lie in one cell.
     """
     keyed = docs.withColumn("_key", _key(id_col, text_col))
     shown = keyed.select("_key").withColumn("_h", F.xxhash64("_key", F.lit("sample")))
@@ -174,9 +174,11 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, columns: list[str]) -
     placed = placed.withColumns({"_cell": cell, "_is_edge": is_edge})
     place = lambda at, guest: F.struct(at.alias("cell"), F.lit(guest).alias("guest"))
     own, as_guest = place(F.col("_cell"), False), place(F.when(key == F.lit(edges[-1]), 0).otherwise(F.col("_cell") + 1), True)
-    spread = placed.withColumn("_at", F.explode(F.when(F.col("_is_edge"), F.array(own, as_guest)).otherwise(F.array(own))))
-    order = Window.partitionBy("_at.cell").orderBy("_at.guest", F.desc("_key"))
-    return spread.withColumn("next", F.lead(F.struct(*columns)).over(order)).where("not _at.guest").select(*docs.columns, "next")
+    told = F.explode(F.when(F.col("_is_edge"), F.array(own, as_guest)).otherwise(F.array(own))).alias("_at")
+    dealt = placed.select(*docs.columns, "_key", told).select(*docs.columns, "_key", F.col("_at.cell").alias("_cell"), F.col("_at.guest").alias("_guest")).repartition("_cell")
+    order = Window.partitionBy("_cell").orderBy("_guest", F.desc("_key"))
+    out = dealt.withColumns(columns).withColumn("next", F.lead(F.struct(*columns)).over(order))
+    return out.where("not _guest").select(*docs.columns, *(c for c in columns if c not in docs.columns), "next")
 
 
 def edited(text: Column, other: Column) -> Column:
@@ -188,7 +190,7 @@ def edited(text: Column, other: Column) -> Column:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next: one row a row. Null texts count as empty."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    told = with_next(rows.withColumn("fingerprint", fingerprint(F.col("text"))), "doc_id", "text", ["text", "fingerprint"])
+    told = with_next(rows, "doc_id", "text", {"text": F.col("text"), "fingerprint": fingerprint(F.col("text"))})
     told = told.withColumn("_edited", edited(F.col("text"), F.col("next.text"))).withColumn("edited_fingerprint", fingerprint(F.col("_edited")))
     return told.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
