@@ -6,7 +6,11 @@ candidates are collected as well, and labelers vote on each: a strict pattern, a
 domains, issuer prefixes, calling codes, reserved nets), words before it that speak for or against its kind, and its edges. Expectation
 maximisation over all documents' votes estimates how reliable each labeler is for each kind, without any true label; its posteriors
 train a logistic span classifier, which decides on the candidates that no base span covers. Base spans always stay. Secrets (passwords,
-tokens, keys) have no base: all their spans are candidates, from what they are assigned to, from their known beginnings, and from their length.
+tokens, keys) have no base: all their spans are candidates, from what they are assigned to, from their known beginnings, and from their length;
+a secret of any length is one span, so nothing of it is left when spans are masked.
+
+Words speak for or against a candidate within the CONTEXT (40) characters before it. Candidates of digits are sought in zones, stretches of text in which two digits
+are at most 100 characters apart, and ZONE_EDGE (45) characters around them: more than any candidate's part without digits.
 
 What is gathered from the corpus is a count for each distinct pattern of votes and features: their number is bounded by
 the product of a few small value sets, not by the corpus, and partial counts are summed before and after one small shuffle.
@@ -56,9 +60,9 @@ _SPELT_SIGNS = tuple(bracket + at for bracket in "[({<" for at in ("at", "@"))
 
 # A secret: what a name of one is set to, a run with a known beginning, a long run of hexadecimal digits, a private key.
 _SECRET_NAMES = ("token", "secret", "passw", "pwd", "api_key", "api-key", "apikey", "access_key", "access-key", "credential")
-_ASSIGNED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|(?:api|access)[_-]?key|credential)s?[\"']?\x20{0,3}[:=]\x20{0,3}[\"']?(?P<secret>[A-Za-z0-9+/_.=~-]{8,512})")
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[0-9A-Fa-f]{32,128}|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,255}|sk-[A-Za-z0-9_-]{20,255}|xox[abprs]-[A-Za-z0-9-]{10,255}|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{10,2000}\.[A-Za-z0-9_-]{10,2000}\.[A-Za-z0-9_-]{5,2000})(?![A-Za-z0-9+/_-])")
-_PRIVATE = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]{1,20000}-----END [A-Z ]{0,30}PRIVATE KEY-----")
+_ASSIGNED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|(?:api|access)[_-]?key|credential)s?[\"']?\x20{0,3}[:=]\x20{0,3}[\"']?(?P<secret>[A-Za-z0-9+/_.=~-]{8,}+)")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[0-9A-Fa-f]{32,}+|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}+|sk-[A-Za-z0-9_-]{20,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{5,}+)(?![A-Za-z0-9+/_-])")
+_PRIVATE = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]++-----END [A-Z ]{0,30}PRIVATE KEY-----")
 _BEGINNINGS = re.compile(r"AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-|AIza|eyJ|-----BEGIN")
 RUN = 20  # characters of the shortest run that can be a secret by itself
 
