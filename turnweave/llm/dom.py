@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 # Element names by what they do to the text around them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title object svg math canvas audio video noframes".split())
+CODE = frozenset(["script", "style"])  # of the raw ones those that take all the rest of a page if nothing closes them
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark picture q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul li dt dd".split())
 # An element that opens closes an open one of these, unless one of the second set is in between.
@@ -40,7 +41,8 @@ class Page:
 
 
 def parse(source: str) -> Page:
-    """Element 0 is the document itself. Never fails: what is no tag is text, what is never closed ends with its parent.
+    """Element 0 is the document itself. Never fails: what is no tag is text, what is never closed ends with its parent. Raw elements (pictures, players, code and the
+    like, with whatever they say to browsers that don't know them) are left out up to their end tag; without one only script and style take the rest of the page.
 
     Every tag costs a fixed number of steps, whatever is open: the open elements are a stack, with the places of each name, of
     those that shape the page and of those that end a search in stacks of their own; an inline element that ends stays in its place without a name.
@@ -52,6 +54,7 @@ def parse(source: str) -> Page:
     shaping, strong = [0], [0]  # places of open elements that aren't inline; and of those that are neither p nor div
     pieces: list[str] = []
     in_link = 0
+    endless: set[str] = set()  # raw elements that nothing closes any more
     at = 0
     tags_end = source.rfind(">") + 1
 
@@ -109,11 +112,14 @@ def parse(source: str) -> Page:
                 else:
                     flush()
             continue
-        if name in RAW:
-            if not m[3].endswith("/"):
-                close = _RAW_END[name].search(source, at)
+        if name in RAW and name not in endless:
+            if m[3].endswith("/"):
+                continue
+            close = _RAW_END[name].search(source, at)
+            if close or name in CODE:
                 at = close.end() if close else len(source)
-            continue
+                continue
+            endless.add(name)  # from here on an element like any other
         if name in VOID:
             if name == "br":
                 pieces.append(" ")
