@@ -113,38 +113,43 @@ def test_planned_candidates(spark):
     rng = random.Random(11)
     made = {s: recording(rng, s) for s in ("a", "b", "c")}
     words, regions = (frame(spark, [r for m in made.values() for r in m[k]], schema) for k, schema in ((0, WORDS), (1, REGIONS)))
-    for align in (evenly, effective.by_batches(by_python)):
-        out = effective.effective_alignment(words, regions, align, CELL)
-        first = out.candidates.where(F.col("kind") < effective.STRANDED)
-        got = sorted((r.source, r.region_id, r.r_start, r.r_end, r["first"], r["last"], r.kind) for r in first.collect())
-        assert got == sorted((s, *c) for s, (w, r) in made.items() for c in planned(w, r)[0])
-        times = {(r.source, r.word): (r.w_start, r.w_end) for r in out.words.collect()}
-        assert len(times) == sum(len(w) for w, _ in made.values())
-        told = out.recoveries.collect()
-        assert len({(r.source, r.word) for r in told}) == len(told) and {r.kind for r in told} >= {effective.WORD}
-        assert all(times[r.source, r.word] == (r.new_start, r.new_end) for r in told)
-        again = {(r.source, r.word) for r in told}
-        assert all(times[s, w[1]] == (w[3], w[4]) for s, (ws, _) in made.items() for w in ws if (s, w[1]) not in again)
-        bad = {(s, k) for s, (w, r) in made.items() for k in planned(w, r)[1]}
-        lost = {(r.source, r.word) for r in out.suppressed.collect()}
-        assert bad - again <= lost and not {x for x in bad & again if times[x][1] - times[x][0] > 0.05} & lost - {x for x in lost if x not in bad}
+    out = effective.effective_alignment(words, regions, effective.by_batches(by_python), CELL)
+    first = out.candidates.where(F.col("kind") < effective.STRANDED)
+    got = sorted((r.source, r.region_id, r.r_start, r.r_end, r["first"], r["last"], r.kind) for r in first.collect())
+    assert got == sorted((s, *c) for s, (w, r) in made.items() for c in planned(w, r)[0])
+    times = {(r.source, r.word): (r.w_start, r.w_end) for r in out.words.collect()}
+    assert len(times) == sum(len(w) for w, _ in made.values())
+    told = out.recoveries.collect()
+    assert len({(r.source, r.word) for r in told}) == len(told) and {r.kind for r in told} >= {effective.WORD}
+    assert all(times[r.source, r.word] == (r.new_start, r.new_end) for r in told)
+    again = {(r.source, r.word) for r in told}
+    assert all(times[s, w[1]] == (w[3], w[4]) for s, (ws, _) in made.items() for w in ws if (s, w[1]) not in again)
+    bad = {(s, k) for s, (w, r) in made.items() for k in planned(w, r)[1]}
+    lost = {(r.source, r.word) for r in out.suppressed.collect()}
+    assert bad - again <= lost and not {x for x in bad & again if times[x][1] - times[x][0] > 0.05} & lost - {x for x in lost if x not in bad}
 
 
 def test_zero_runs_and_refused_times(spark):
-    """A run of words without length in a region whose text isn't found; an aligner that leaves the region, cuts words or says others."""
-    rows = [("s", 0, "good", 0.0, 0.9), ("s", 1, "morning", 1.0, 1.9), ("s", 2, "dear", 3.0, 3.0), ("s", 3, "my", 3.0, 3.0), ("s", 4, "frend", 3.0, 3.0), ("s", 5, "bye", 6.0, 6.9)]
-    regions = [("s", "r0", 0.0, 2.0, "x", "good morning"), ("s", "r1", 2.5, 4.5, "x", "dear my friend"), ("s", "r2", 6.0, 7.0, "y", "bye")]
-    words, held = frame(spark, rows, WORDS), frame(spark, regions, REGIONS)
-    out = effective.effective_alignment(words, held, evenly, CELL)
-    assert {(r.word, r.kind) for r in out.recoveries.collect()} == {(k, effective.ZERO) for k in (2, 3, 4)}
-    assert out.suppressed.count() == 0 and out.unresolved.count() == 0
-    for spoil in ({"new_end": F.col("new_end") + 9}, {"text": F.lit("other")}, {"word": F.lit(2).cast("long")}, {"new_start": F.col("new_start") + F.col("word") % 2 * -1.5}):
-        out = effective.effective_alignment(words, held, lambda c, spoil=spoil: evenly(c).withColumns(spoil), CELL)
-        assert out.recoveries.count() == 0 and {r.word for r in out.unresolved.collect()} == {2, 3, 4} == {r.word for r in out.suppressed.collect()}
+    """A run of words without length in a region whose text isn't found, in a source for each aligner: one that is right, others that leave the region, say other
+    words, repeat a word or go back in time; and rows with nulls."""
+    rows = [("good", 0.0, 0.9), ("morning", 1.0, 1.9), ("dear", 3.0, 3.0), ("my", 3.0, 3.0), ("frend", 3.0, 3.0), ("bye", 6.0, 6.9)]
+    regions = [("r0", 0.0, 2.0, "x", "good morning"), ("r1", 2.5, 4.5, "x", "dear my friend"), ("r2", 6.0, 7.0, "y", "bye")]
+    sources = ["right", "leaves", "others", "repeats", "back"]
+    words = frame(spark, [(s, k, *r) for s in sources for k, r in enumerate(rows)] + [(None, 0, None, None, None), ("right", 6, None, 8.0, 9.0)], WORDS)
+    held = frame(spark, [(s, *r) for s in sources for r in regions] + [(None, None, None, None, None, None)], REGIONS)
+    when = lambda s, value, c: F.when(F.col("source") == s, value).otherwise(F.col(c))
+
+    def spoilt(candidates):
+        told = evenly(candidates)
+        return told.withColumns({"new_end": when("leaves", F.col("new_end") + 9, "new_end"), "text": when("others", F.lit("other"), "text"), "word": when("repeats", F.lit(2).cast("long"), "word"), "new_start": when("back", F.col("new_start") - F.col("word") % 2 * 1.5, "new_start")})
+
+    out = effective.effective_alignment(words, held, spoilt, CELL)
+    assert {(r.source, r.word, r.kind) for r in out.recoveries.collect()} == {("right", k, effective.ZERO) for k in (2, 3, 4)}
+    lost = {(s, k) for s in sources[1:] for k in (2, 3, 4)}
+    assert {(r.source, r.word) for r in out.unresolved.collect()} == lost == {(r.source, r.word) for r in out.suppressed.collect()}
+    assert out.words.count() == words.count()
     none = effective.effective_alignment(words.limit(0), held, evenly, CELL)
     assert none.words.count() == 0 and none.recoveries.count() == 0
-    odd = effective.effective_alignment(words.unionByName(frame(spark, [(None, 0, None, None, None), ("s", 6, None, 8.0, 9.0)], WORDS)), held.unionByName(frame(spark, [(None, None, None, None, None, None)], REGIONS)), evenly, CELL)
-    assert odd.words.count() == 8 and {r.word for r in odd.recoveries.collect()} == {2, 3, 4}
 
 
 def test_stages_work_once(spark, tmp_path):

@@ -488,6 +488,6 @@ def neighbour_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.join(other, ["source", "region_id"], "left").select("region_id", F.coalesce(overlap(F.col("r_start"), F.col("r_end"), F.col("s"), F.col("e")) * F.col("s").isNotNull().cast("long"), F.lit(0)).cast("long").alias("shared"))
 
 
-from turnweave.plans import dialogue  # noqa: E402  (it adds its queries to the ones above)
+from turnweave.plans import dialogue, records  # noqa: E402  (they add their queries to the ones above)
 
-__all__ = ["ORACLE_SQL", "QUERIES", "dialogue"]
+__all__ = ["ORACLE_SQL", "QUERIES", "dialogue", "records"]
