@@ -10,6 +10,7 @@ All of it is built-in array work within a row: no shuffle, no Python.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,24 +143,50 @@ def _none() -> Column:
     return F.expr("array()").cast("array<struct<at:int,to:int,id:string>>")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+_BLOCK = 256
+
+
+def _sums_before(values: Column) -> Column:
+    """Of each number the sum of those before it: block by block, and over the blocks, so that no array grows one by one over all of them."""
+
+    def running(numbers: Column) -> Column:
+        start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("before"))
+        return F.aggregate(numbers, start, lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.concat(acc["before"], F.array(acc["sum"])).alias("before")))
+
+    def block(k: Column) -> Column:
+        last = F.least((k + 1) * _BLOCK, F.size(values)) - 1
+        return running(F.transform(F.sequence(k * _BLOCK, last), lambda i: F.get(values, i)))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int")), block)
+    shifted = lambda all_: F.zip_with(all_, running(F.transform(all_, lambda b: b["sum"]))["before"], lambda b, s: F.transform(b["before"], lambda x: x + s))
+    return F.when(F.size(values) > 0, F.flatten(_let(blocks, shifted))).otherwise(F.array().cast("array<int>"))
+
+
 def _sequence(text: Column) -> Column:
-    """The known sentences of a text: array of (first piece's number, last piece's number, identifier)."""
+    """The known sentences of a text: array of (first piece's number, last piece's number, identifier). Every array is bound once and read by place, so a text costs what its length is."""
     pieces = F.transform(F.split(text, CUT), lambda s, i: F.struct(i.alias("at"), F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")).alias("norm")))
     pieces = F.filter(pieces, lambda x: x["norm"] != "")  # one piece a line from here on
-    lines = F.array_join(F.transform(pieces, lambda x: x["norm"]), "\n")
-    parts = F.split(F.regexp_replace(lines, _RUN, "\x01$0\x02"), "\x01")  # all but the first begin with a known sentence
     known = _map(KNOWN)
     breaks = lambda x: F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit("")))
 
-    def add(done: Column, part: Column) -> Column:
-        found = F.substring_index(part, "\x02", 1)
-        first = done["line"]
-        here = F.struct(F.get(pieces, first)["at"].alias("at"), F.get(pieces, first + breaks(found))["at"].alias("to"), F.try_element_at(known, F.trim(F.translate(found, "\n", " "))).alias("id"))
-        return F.struct((first + breaks(part)).alias("line"), F.concat(done["seq"], F.array(here)).alias("seq"))
+    def of_pieces(held: Column) -> Column:
+        lines = F.array_join(F.transform(held, lambda x: x["norm"]), "\n")
+        parts = F.split(F.regexp_replace(lines, _RUN, "\x01$0\x02"), "\x01")  # all but the first begin with a known sentence
+        return _let(parts, lambda some: of_parts(held, some))
+
+    def of_parts(held: Column, parts: Column) -> Column:
+        found = lambda line: F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: one(held, F.substring_index(F.get(parts, k), "\x02", 1), F.get(line, k)))
+        return F.when(F.size(parts) > 1, _let(F.transform(parts, breaks), lambda n: _let(_sums_before(n), found))).otherwise(_none())
+
+    def one(held: Column, said: Column, first: Column) -> Column:
+        return F.struct(F.get(held, first)["at"].alias("at"), F.get(held, first + breaks(said))["at"].alias("to"), F.try_element_at(known, F.trim(F.translate(said, "\n", " "))).alias("id"))
 
-    start = F.struct(breaks(F.get(parts, F.lit(0))).alias("line"), _none().alias("seq"))
-    found = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), start, add, lambda done: done["seq"])
-    return F.when(F.size(parts) > 1, found).otherwise(_none())
+    return _let(pieces, of_pieces)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,13 +204,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def at(x: Column, i: Column) -> Column:
         """The longest rule that begins with the i-th known sentence."""
-        here = F.transform(F.slice("seq", i + 1, _LONGEST), lambda y: y["id"])
-        best = F.get(F.filter(table, lambda r: F.slice(here, F.lit(1), F.size(r["ids"])) == r["ids"]), F.lit(0))
-        return F.struct(i.alias("i"), F.size(best["ids"]).alias("n"), best["rule"].alias("rule"), best["licence"].alias("licence"))
+        here = F.transform(F.sequence(i, F.least(i + _LONGEST, F.size("seq")) - 1), lambda k: F.get(F.col("seq"), k)["id"])
+        first = lambda ids: F.get(F.filter(table, lambda r: F.slice(ids, F.lit(1), F.size(r["ids"])) == r["ids"]), F.lit(0))
+        told = lambda best: F.struct(i.alias("i"), F.size(best["ids"]).alias("n"), best["rule"].alias("rule"), best["licence"].alias("licence"))
+        return _let(_let(here, first), told)
 
     rows = rows.withColumn("hits", F.filter(F.transform("seq", at), lambda h: h["rule"].isNotNull()))
-    outer = F.filter("hits", lambda h: ~F.exists("hits", lambda g: (g["i"] <= h["i"]) & (g["i"] + g["n"] >= h["i"] + h["n"]) & (g["n"] > h["n"])))
-    rows = rows.withColumn("hits", outer)
+    # One hit a place at most, in order of places: what covers a hit begins no more than _LONGEST hits before it.
+    covers = lambda g, h: (g["i"] + g["n"] >= h["i"] + h["n"]) & (g["n"] > h["n"])
+    near = lambda h, k: F.exists(F.sequence(F.greatest(F.lit(0), k - _LONGEST), k), lambda m: covers(F.get(F.col("hits"), m), h))
+    rows = rows.withColumn("hits", F.array_compact(F.transform("hits", lambda h, k: F.when(~near(h, k), h))))
     place = lambda k, end: F.get(F.col("seq"), k)[end].cast("string")
     spans = F.transform("hits", lambda h: F.concat_ws(":", h["rule"], place(h["i"], "at"), place(h["i"] + h["n"] - 1, "to")))
     return rows.select("doc_id", F.size("seq").cast("long").alias("n_sentences"), F.array_join(F.array_distinct(F.transform("hits", lambda h: h["licence"])), ",").alias("licences"), F.array_join(spans, ",").alias("matches"))
