@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.test_operators import ODD, documents
-from turnweave.llm import align, divergence, dom, merkle, personal
+from turnweave.llm import align, divergence, dom, licences, merkle, personal
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -240,3 +240,15 @@ def test_unclosed_raw_elements():
     began = time.time()
     assert len(dom.parse("<p>a</p><svg>" * 100_000).block) == 100_000
     assert time.time() - began < 60
+
+
+def test_licences_of_a_long_text(spark):
+    """100,000 notices in one text take seconds, and each is found at its place."""
+    names = {v: k for k, v in licences.KNOWN.items()}
+    name, _, ids = next(r for r in licences.RULES if len(r[2]) == 1)
+    text = (names[ids[0]] + ".\n") * 100_000
+    began = time.time()
+    got = licences.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    places = [tuple(map(int, m.split(":")[1:])) for m in got.matches.split(",")]
+    assert got.n_sentences == 100_000 == len(places) and places[-1][1] > places[0][0] and all(a[1] < b[0] for a, b in itertools.pairwise(places)), name
+    assert time.time() - began < 120
