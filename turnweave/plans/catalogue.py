@@ -227,7 +227,10 @@ def context_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speakers.fill_consistent_context(_talk(spark, sf_dir), ["conv_id"], "turn", "speaker").select("conv_id", "turn", "filled")
 
 
-@_query()
+@_query(
+    f"""WITH {_C}, n AS (SELECT *, last_value(speaker IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l, lead(speaker) OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM c)
+SELECT conv_id, turn, coalesce(speaker, CASE WHEN l IS NULL OR r IS NULL OR l = r THEN coalesce(l, r) END) AS resolved, CASE WHEN speaker IS NULL THEN CASE WHEN l = r THEN 'consistent' WHEN r IS NULL AND l IS NOT NULL THEN 'left' WHEN l IS NULL AND r IS NOT NULL THEN 'right' END END AS step FROM n"""
+)
 def fragment_resolver(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = _talk(spark, sf_dir).select("conv_id", "turn", "speaker", F.when(F.col("speaker").isNull(), F.array(F.lit("user"), F.lit("assistant"))).alias("candidates"))
     return speakers.resolve_fragments(words, ["conv_id"], "turn", "speaker", "candidates").select("conv_id", "turn", "resolved", "step")
