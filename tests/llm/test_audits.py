@@ -193,6 +193,31 @@ def test_alignment_of_nothing(spark):
     assert all(tuple(r)[1:] == (0, 0, 0, 0, 0, 0, "") for r in none)
 
 
+def test_alignment_of_distinct_stretches(spark, sf_dir):
+    """The interpreted work is done on each distinct stretch of a block, a small part of the tokens; put together stretches are whole texts, and so are
+    their groups and links."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(-1, "x ▁ y"), (-2, None), (-3, "ŝ日 a  b")], "doc_id long, text string"))
+    texts, blocks, tokens, done = dict(docs.collect()), align.tokenised(docs.repartition(2), A, B), 0, 0
+    coders = align._coders(A, B)
+    for block in blocks.collect():
+        assert len({(*s.a_ids, None, *s.b_ids) for s in block.told}) == len(block.told)
+        done += sum(len(s.a_ids) + len(s.b_ids) for s in block.told)
+        for d in block.docs:
+            tokens += d.n_a + d.n_b
+            for side, coder in zip(("a_ids", "b_ids"), coders, strict=True):
+                got = [i for k in d.stretches for i in block.told[k][side]]
+                assert len(got) == d["n_" + side[0]] and got == (coder.encode([f" {texts[d.doc_id]}"])[0] if d.stretches else [])
+            assert {k.stretch: k.times for k in d.kinds} == collections.Counter(d.stretches)
+    assert 0 < 10 * done < tokens
+    whole = {r.doc_id: r for r in align.aligned(blocks).collect()}
+    told = align.alignment(docs, A, B).collect()
+    assert len(told) == len(whole) == len(texts) and not whole[-1].groups and not whole[-2].links and len(whole[-3].groups) > 2
+    for r in told:
+        w = whole[r.doc_id]
+        assert (r.n_a, r.n_b, r.n_groups, r.n_links) == (w.n_a, w.n_b, len(w.groups), len(w.links))
+        assert r.groups_sha256 == (hashlib.sha256(";".join(w.groups).encode()).hexdigest() if w.groups else "")
+
+
 def test_tokenisers_agree_on_all_characters():
     """tiktoken cuts and encodes as the tokenizers library does, whatever the character."""
     from tokenizers import Tokenizer
