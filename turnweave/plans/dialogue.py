@@ -14,6 +14,7 @@ from turnweave.functions import text as T
 from turnweave.operators import changes, evidence, intervals, recovery, speakers, transitions, views
 from turnweave.plans.catalogue import _query, _table
 from turnweave.sources.catalog import new_regions, with_new_ids
+from turnweave.sources.scratch import dealt
 
 CELL = 64
 
@@ -27,7 +28,7 @@ def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = intervals.running_sum(talk, ["conv_id"], ["turn"], F.size("w"), 1024, "base", before_only=True)
     flat = counted.select(F.col("conv_id").alias("source"), "turn", "role", "heard", "base", F.posexplode("w").alias("i", "text")).withColumn("word", F.col("base") + F.col("i"))
     length = F.when(F.col("word") % 7 == 3, 0.0).when(F.col("word") % 11 == 5, 2.5).otherwise(0.75)
-    return flat.select("source", "word", "turn", "role", "heard", "text", F.col("word").cast("double").alias("w_start"), (F.col("word") + length).alias("w_end"))
+    return dealt(flat.select("source", "word", "turn", "role", "heard", "text", F.col("word").cast("double").alias("w_start"), (F.col("word") + length).alias("w_end")))
 
 
 def _regions(words: DataFrame) -> DataFrame:
