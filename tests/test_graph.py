@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnweave.operators import automatic, curated, effective, graph, linked, spans
-from turnweave.sources.catalog import Catalog, Conflict, bad_json_lines, line_numbers
+from turnweave.sources.catalog import Catalog, Conflict, bad_json_lines, line_numbers, with_new_ids
 from turnweave.sources.stages import Stages
 
 WORDS = "source string, word long, text string, w_start double, w_end double"
@@ -360,3 +360,15 @@ def test_lines_are_numbered(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     want = {(name, k + 1): line for name in "ab" for k, line in enumerate((tmp_path / f"{name}.jsonl").read_text().split("\n")[:-1])}
     assert told == want and bad == {x for x, line in want.items() if line.startswith("bad")}
+
+
+def test_new_ids_are_one_count(spark):
+    """Ids of more rows than the ranges are sampled from follow one another, none twice."""
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("place"), F.repeat(F.col("id").cast("string"), 20).alias("text"))
+    old = spark.range(1).select(F.lit("turn-000041").alias("id"))
+    spark.conf.set("spark.sql.execution.rangeExchange.sampleSizePerPartition", "5")
+    try:
+        got = with_new_ids(rows, old, "turn", ["place"]).orderBy("place").collect()  # with the text, which a count does without
+    finally:
+        spark.conf.unset("spark.sql.execution.rangeExchange.sampleSizePerPartition")
+    assert [r.id for r in got] == [f"turn-{k:06d}" for k in range(42, 20_042)]

@@ -299,10 +299,11 @@ def padded(prefix: str, number: Column, width: int = 6) -> Column:
 
 def with_new_ids(rows: DataFrame, existing: DataFrame, prefix: str, order: list[str], column: str = "id") -> DataFrame:
     """`rows` with ids that follow the largest of `existing`, in the order given, without gaps. Rows are ranged by `order` over the
-    partitions and numbered within them; what is carried from partition to partition is one count each."""
+    partitions and numbered within them; what is carried from partition to partition is one count each. The ranges come from a sample, another one each time, so rows
+    are stored with their numbers before they are counted."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    ranged = ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    ranged = settled(ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order))))
     counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     top = existing.agg(largest_number(existing, column, prefix).alias("_top"))
