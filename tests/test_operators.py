@@ -39,6 +39,39 @@ def test_overlap_join_with_a_few_absurd_intervals(spark):
     assert set(found) == want and len(found) == len(want)
 
 
+def test_overlapping_ids_without_pairs(spark):
+    """Against all pairs: spans of very different lengths, absurd ends, nulls and repeated ids; and no pair goes through a shuffle."""
+    rng = random.Random(5)
+    span = lambda: (a := rng.randrange(-3000, 3000), a + rng.choice([0, 1, 7, 60, 900, 40_000, 5_000_000, -5]))
+    left = [(rng.choice("ab"), k, *span()) for k in range(150)] + [("a", 1000, 0, 10**15), ("a", 1001, None, 5), (None, 1002, 0, 9), ("a", 7, 3, 90), ("b", None, 0, 50), ("a", 1003, -(10**12), 0)]
+    right = [(rng.choice("ab"), k, *span()) for k in range(150)] + [("a", 2000, 5, 10**15), ("b", 2001, -(10**15), 1), (None, 2002, 0, 9)]
+    want = {}
+    for s, i, a, b in left:
+        hits = [(c, d, j) for t, j, c, d in right if s is not None and s == t and None not in (a, b) and min(b, d) > max(a, c)]
+        want.setdefault((s, i), []).extend(hits)
+    df = lambda rows, names: frame(spark, rows, "s string, {} long, {} long, {} long".format(*names))
+    got = intervals.overlapping_ids(df(left, "iab"), df(right, "jcd"), ["s"], "i", "j", ("a", "b"), ("c", "d"), 50)
+    rows = got.collect()
+    assert len(rows) == len(left)
+    for r in rows:
+        hits = sorted(want[(r.s, r.i)]) if r.i is not None else []
+        assert (r.n, r.ids) == (len(hits), ",".join(str(j) for *_, j in hits)) or r.i is None
+    many = spark.range(20_000).select(F.lit("s").alias("s"), F.col("id").alias("i"), (F.col("id") * 0).alias("a"), (F.col("id") * 0 + 10).alias("b"))
+    few = many.where("i < 300").withColumnsRenamed({"i": "j", "a": "c", "b": "d"})
+    done = intervals.overlapping_ids(many, few, ["s"], "i", "j", ("a", "b"), ("c", "d"), 50)._jdf.queryExecution()
+    assert done.toRdd().count() == 20_000
+    assert max(moved(done.executedPlan())) < 100_000  # of 6,000,000 pairs
+
+
+def moved(plan):
+    """Rows of each shuffle of a plan that has run."""
+    children = plan.children()
+    below = [children.apply(i) for i in range(children.size())]
+    below += [plan.executedPlan()] if plan.nodeName().startswith("AdaptiveSparkPlan") else [plan.plan()] if "QueryStage" in plan.nodeName() else []
+    own = [plan.metrics().apply("shuffleRecordsWritten").value()] if plan.nodeName() == "Exchange" else []
+    return own + [n for p in below for n in moved(p)]
+
+
 def test_rows_beside_and_running_values_across_cells(spark):
     rng = random.Random(6)
     rows = [(rng.choice("ab"), rng.randrange(0, 200) * rng.choice([1, 40]), i, rng.randrange(100)) for i in range(150)]

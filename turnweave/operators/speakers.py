@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnweave.functions import text as T
-from turnweave.operators.intervals import Span, beside, known_beside, merge_touching, overlap_join, running_max, running_sum, with_sides
+from turnweave.operators.intervals import Span, beside, known_beside, merge_touching, overlap_join, overlapped, running_max, running_sum, with_sides
 
 WORDS_CELL = 4096  # words of a source in a cell, where order is their number
 
@@ -98,8 +98,9 @@ def chained_runs(pairs: DataFrame, by: list[str], order: str, left: str, right:
 def region_conflicts(words: DataFrame, regions: DataFrame, on: list[str], word_id: str, word_span: Span, region_span: Span, region_id: str, label: str, width: int) -> DataFrame:
     """Words that overlap two or more regions which follow one another without any gap and have two or more labels, a missing
     label being one: on, word_id, region_ids, labels."""
-    pairs = overlap_join(words.select(*on, word_id, *word_span), regions.select(*on, region_id, *region_span, label), on, word_span, region_span, width)
-    got = pairs.groupBy(*on, word_id).agg(F.array_sort(F.collect_list(F.struct(F.col(region_span[0]).alias("s"), F.col(region_span[1]).alias("e"), F.col(region_id).alias("id"), F.coalesce(F.col(label).cast("string"), F.lit("<unknown>")).alias("l")))).alias("r"))
+    more = [F.col(region_id).alias("id"), F.coalesce(F.col(label).cast("string"), F.lit("<unknown>")).alias("l")]
+    own, _, pairs = overlapped(words, regions, on, word_id, word_span, region_span, more, width)
+    got = own.union(pairs).withColumnRenamed("_r", "r")
     n = F.size("r")
     joined = F.forall(F.zip_with(F.slice("r", F.lit(1), n - 1), F.slice("r", F.lit(2), n - 1), lambda a, b: a["e"] == b["s"]), lambda x: x)
     labels = F.array_distinct(F.transform("r", lambda x: x["l"]))
