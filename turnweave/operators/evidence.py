@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from turnweave.functions import text as T
 from turnweave.operators.intervals import beside, overlap_join, point_join, running_sum, with_sides
 from turnweave.operators.speakers import WORDS_CELL
+from turnweave.sources.scratch import dealt
 
 EDGE = 1e-6
 LONG_WORD = 2.0  # seconds; longer words are suspicious, as those without length are
@@ -136,8 +137,8 @@ def sentence_utterances(texts: DataFrame, words: DataFrame) -> tuple[DataFrame,
     differ = both.where(~F.coalesce(F.col("_a"), F.lit("")).eqNullSafe(F.coalesce(F.col("_b"), F.lit("")))).select("source", F.lit("texts differ").alias("problem"))
     ends = lettered.where("_n > 0").select("source", "_stop", F.col("word").alias("_last"))
     met = said.join(ends, ["source", "_stop"], "left")
-    cut = met.where("_last is null").select("source", F.lit("cut word").alias("problem")).distinct().join(differ, "source", "left_anti")
-    problems = differ.union(cut)
+    cut = met.where("_last is null").select("source", F.lit("cut word").alias("problem")).distinct().join(dealt(differ), "source", "left_anti")
+    problems = dealt(differ.union(cut))
     good = met.join(problems, "source", "left_anti")
     numbered = beside(good, ["source"], ["_k"], ["_last"], WORDS_CELL)
     total = words.groupBy("source").agg(F.max("word").alias("_end"))
