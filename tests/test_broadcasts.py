@@ -19,7 +19,7 @@ def sent(plan):
     return own + [n for p in below for n in sent(p)]
 
 
-@pytest.mark.parametrize("name", ["covered_regions", "text_match_spans", "region_text_matches", "inferred_boundaries", "issue_recoveries", "word_sets_left", "restricted_projections", "derived_utterances"])
+@pytest.mark.parametrize("name", ["covered_regions", "text_match_spans", "region_text_matches", "inferred_boundaries", "issue_recoveries", "word_sets_left", "restricted_projections", "derived_utterances", "validated_boundaries"])
 def test_words_are_not_sent_through_the_driver(spark, sf_dir, monkeypatch, name):
     frame = type(spark.range(1))
     seen, checkpoint = [], frame.checkpoint
