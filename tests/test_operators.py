@@ -60,15 +60,23 @@ def test_overlapping_ids_without_pairs(spark):
     few = many.where("i < 300").withColumnsRenamed({"i": "j", "a": "c", "b": "d"})
     done = intervals.overlapping_ids(many, few, ["s"], "i", "j", ("a", "b"), ("c", "d"), 50)._jdf.queryExecution()
     assert done.toRdd().count() == 20_000
-    assert max(moved(done.executedPlan())) < 100_000  # of 6,000,000 pairs
+    assert max(moved(done.executedPlan())) < 20_000_000  # of 6,000,000 pairs
+
+
+def test_region_conflicts_without_pairs(spark):
+    words = spark.range(20_000).select(F.lit("s").alias("s"), F.col("id").alias("i"), (F.col("id") * 0).alias("a"), (F.col("id") * 0 + 300).alias("b"))
+    tiles = spark.range(300).select(F.lit("s").alias("s"), F.col("id").alias("j"), F.col("id").alias("c"), (F.col("id") + 1).alias("d"), (F.col("id") % 2).cast("string").alias("l"))
+    done = speakers.region_conflicts(words, tiles, ["s"], "i", ("a", "b"), ("c", "d"), "j", "l", 500).select("i", "labels")._jdf.queryExecution()
+    assert done.toRdd().count() == 20_000
+    assert max(moved(done.executedPlan())) < 20_000_000
 
 
 def moved(plan):
-    """Rows of each shuffle of a plan that has run."""
+    """Bytes of each shuffle of a plan that has run."""
     children = plan.children()
     below = [children.apply(i) for i in range(children.size())]
     below += [plan.executedPlan()] if plan.nodeName().startswith("AdaptiveSparkPlan") else [plan.plan()] if "QueryStage" in plan.nodeName() else []
-    own = [plan.metrics().apply("shuffleRecordsWritten").value()] if plan.nodeName() == "Exchange" else []
+    own = [plan.metrics().apply("dataSize").value()] if plan.nodeName() == "Exchange" else []
     return own + [n for p in below for n in moved(p)]
 
 
